@@ -10,6 +10,7 @@ from martflow.functions.numbers import fmt_int, fmt_money, fmt_rounded, lenient_
 from martflow.functions.times import lenient_ts, month_key
 from martflow.operators.aggregates import top_labels
 from martflow.operators.quality import require_columns, require_rows, require_values
+from martflow.session import shared_dir
 
 # The fact columns, the chunk kinds and the texts.
 REQUIRED = ["order_guid", "order_created_at_utc", "state", "quantity", "product_name", "price"]
@@ -53,40 +54,65 @@ def clean_fact(fact: DataFrame) -> DataFrame:
     )
 
 
-def _totals(cube: DataFrame, *keys: str) -> DataFrame:
-    return cube.groupBy(*keys).agg(F.sum("units").alias("units"), F.sum("revenue").alias("revenue"))
+def summaries(lines: DataFrame) -> DataFrame:
+    """Distinct orders, units and revenue of every label and label pair, in one pass.
 
-
-def order_counts(lines: DataFrame) -> DataFrame:
-    """Distinct orders per state, per product and per month, in one pass.
-
-    A line counts once under each of its three labels; equal (label, order)
-    pairs fold before the shuffle, which spreads over labels and orders, so a
-    label that covers a third of the data stays balanced.
+    Rows are (kind, a, b): single labels carry their orders; pairs leave the
+    order empty, as only their units are needed, and so fold to few rows
+    map-side. Distinct counting spreads over (label, order), so a label that
+    covers a third of the data stays balanced. The result is as small as the
+    number of labels and label pairs.
     """
-    labels = F.array(*[
-        F.struct(F.lit(kind).alias("kind"), F.col(kind).alias("label"))
-        for kind in ("state", "product_name", "month")
-    ])
-    pairs = lines.select("order_guid", F.inline(labels))
-    return pairs.groupBy("kind", "label").agg(F.countDistinct("order_guid").alias("orders"))
-
-
-def summaries(lines: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """The (state, product, month) cube and, per label, orders, units and revenue."""
-    cube = _totals(lines, "state", "product_name", "month")
-    counts = order_counts(lines)
-    by_label = {
-        kind: _totals(cube, kind).join(
-            counts.where(F.col("kind") == kind).select(F.col("label").alias(kind), "orders"), kind
+    nothing = F.lit(None).cast("string")
+    order = F.col("order_guid")
+
+    def grain(kind: str, a: str, b: str | None = None) -> Column:
+        return F.struct(
+            F.lit(kind).alias("kind"),
+            F.col(a).alias("a"),
+            (F.col(b) if b else nothing).alias("b"),
+            (F.lit(None).cast(lines.schema["order_guid"].dataType) if b else order).alias("order_guid"),
         )
-        for kind in ("state", "product_name", "month")
-    }
-    return cube, by_label
 
+    grains = F.array(
+        grain("state", "state"),
+        grain("product", "product_name"),
+        grain("month", "month"),
+        grain("state_product", "state", "product_name"),
+        grain("month_product", "month", "product_name"),
+        grain("month_state", "month", "state"),
+    )
+    return (
+        lines.select("units", "revenue", F.inline(grains))
+        .groupBy("kind", "a", "b")
+        .agg(
+            F.countDistinct("order_guid").alias("orders"),
+            F.sum("units").alias("units"),
+            F.sum("revenue").alias("revenue"),
+        )
+    )
 
-def _text(template: str, *parts: Column | str) -> Column:
-    return F.format_string(template, *parts).alias("text")
+
+def leaders(totals: DataFrame) -> DataFrame:
+    """(kind, a, top_products, top_states): the top-3 texts of every state, product and month."""
+    def ranking(kind: str, what: str, owner: str, label: str) -> Column:
+        return F.struct(
+            F.lit(kind).alias("kind"), F.col(owner).alias("a"),
+            F.lit(what).alias("what"), F.col(label).alias("label"),
+        )
+
+    rankings = (
+        F.when(F.col("kind") == "state_product", F.array(
+            ranking("state", "products", "a", "b"), ranking("product", "states", "b", "a")))
+        .when(F.col("kind") == "month_product", F.array(ranking("month", "products", "a", "b")))
+        .when(F.col("kind") == "month_state", F.array(ranking("month", "states", "a", "b")))
+    )
+    ranked = totals.where(F.col("b").isNotNull()).select("units", F.inline(rankings))
+    best = top_labels(ranked, ["kind", "a", "what"], "label", "units")
+    return best.groupBy("kind", "a").agg(
+        F.max(F.when(F.col("what") == "products", F.col("top"))).alias("top_products"),
+        F.max(F.when(F.col("what") == "states", F.col("top"))).alias("top_states"),
+    )
 
 
 def context_chunks(
@@ -94,59 +120,41 @@ def context_chunks(
 ) -> DataFrame:
     """One text per state, product and month of an order-line fact.
 
-    Units and revenue come from the small (state, product, month) cube, which
-    is folded map-side in one pass; a second pass counts distinct orders. Equal
-    units are ranked by name. ``check_rows`` fails now, with an extra job, if
-    nothing usable is left; otherwise the result is then empty.
+    The fact is read once; its small summary is checkpointed, and ranking and
+    texts are built from that. Equal units are ranked by name. ``check_rows``
+    fails if nothing usable is left; otherwise the result is then empty.
     """
-    lines = clean_fact(fact)
+    shared_dir(fact.sparkSession, "checkpoint")  # a local session gets its checkpoint folder here
+    totals = summaries(clean_fact(fact)).checkpoint()
     if check_rows:
-        require_rows(lines, "no usable rows in the order fact")
-    cube, by_label = summaries(lines)
-    period = cube.agg(F.min("month").alias("first"), F.max("month").alias("last"))
-    span = F.concat("first", F.lit(" to "), "last")
+        require_rows(totals, "no usable rows in the order fact")
+    labels = totals.where(F.col("b").isNull()).drop("b").join(leaders(totals), ["kind", "a"])
+    months = totals.where(F.col("kind") == "month")
+    span = F.struct(F.min("a").alias("first"), F.max("a").alias("last")).alias("span")
+    period = months.agg(span).scalar()
+    first, last = period["first"], period["last"]
     orders, units = fmt_int(F.col("orders")), fmt_rounded(F.col("units"))
     revenue, name = fmt_money(F.col("revenue")), F.lit(brand)
-    processed = F.lit(str(processed_date)).cast("date").alias("processed_date")
-    nothing = F.lit(None).cast("string")
-
-    state_product = _totals(cube, "state", "product_name")
-    states = (
-        by_label["state"]
-        .join(top_labels(state_product, ["state"], "product_name", "units"), "state")
-        .join(period)
-        .select(
-            F.lit("state_summary").alias("chunk_type"), "state", nothing.alias("product_name"),
-            span.alias("source_period"),
-            _text(STATE_TEXT, name, "state", "first", "last", orders, units, "top", revenue),
-            processed,
-        )
+    is_state, is_product = F.col("kind") == "state", F.col("kind") == "product"
+    text = (
+        F.when(is_state, F.format_string(
+            STATE_TEXT, name, "a", first, last, orders, units, "top_products", revenue))
+        .when(is_product, F.format_string(
+            PRODUCT_TEXT, name, "a", first, last, units, orders, "top_states", revenue))
+        .otherwise(F.format_string(
+            MONTH_TEXT, name, "a", orders, units, "top_products", "top_states", revenue))
     )
-    products = (
-        by_label["product_name"]
-        .join(top_labels(state_product, ["product_name"], "state", "units"), "product_name")
-        .join(period)
-        .select(
-            F.lit("product_summary").alias("chunk_type"), nothing.alias("state"), "product_name",
-            span.alias("source_period"),
-            _text(PRODUCT_TEXT, name, "product_name", "first", "last", units, orders, "top", revenue),
-            processed,
-        )
+    chunk_type = (
+        F.when(is_state, "state_summary").when(is_product, "product_summary").otherwise("monthly_trend")
     )
-    months = (
-        by_label["month"]
-        .join(top_labels(_totals(cube, "month", "product_name"), ["month"], "product_name", "units",
-                         alias="top_products"), "month")
-        .join(top_labels(_totals(cube, "month", "state"), ["month"], "state", "units",
-                         alias="top_states"), "month")
-        .select(
-            F.lit("monthly_trend").alias("chunk_type"), nothing.alias("state"),
-            nothing.alias("product_name"), F.col("month").alias("source_period"),
-            _text(MONTH_TEXT, name, "month", orders, units, "top_products", "top_states", revenue),
-            processed,
-        )
+    chunks = labels.select(
+        chunk_type.alias("chunk_type"),
+        F.when(is_state, F.col("a")).alias("state"),
+        F.when(is_product, F.col("a")).alias("product_name"),
+        F.when(is_state | is_product, F.concat(first, F.lit(" to "), last))
+        .otherwise(F.col("a")).alias("source_period"),
+        text.alias("text"),
+        F.lit(str(processed_date)).cast("date").alias("processed_date"),
     )
     order = ["chunk_type", "source_period", "state", "product_name"]
-    return states.unionByName(products).unionByName(months).orderBy(
-        *[F.col(c).asc_nulls_last() for c in order]
-    )
+    return chunks.orderBy(*[F.col(c).asc_nulls_last() for c in order])

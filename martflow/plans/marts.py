@@ -45,6 +45,8 @@ def orders_enriched(
     addresses: DataFrame,
     order_items: DataFrame,
     region: Callable[[Column], Column] = us_region,
+    small: float = 2,
+    medium: float = 4,
 ) -> DataFrame:
     """One row per order with its place, line quantity, basket size and region.
 
@@ -58,7 +60,7 @@ def orders_enriched(
     return joined.select(
         *orders.columns, "state", "country",
         quantity.alias("total_quantity"),
-        basket_size(quantity).alias("basket_size"),
+        basket_size(quantity, small, medium).alias("basket_size"),
         region(F.col("state")).alias("us_region"),
     )
 

@@ -4,23 +4,35 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-USERS = T.StructType.fromDDL(
+_TYPES = {
+    "string": T.StringType(), "int": T.IntegerType(), "double": T.DoubleType(),
+    "timestamp": T.TimestampType(), "date": T.DateType(),
+}
+
+
+def struct(columns: str) -> T.StructType:
+    """A schema from ``name type, ...``; unlike fromDDL it needs no running session."""
+    pairs = [column.split() for column in columns.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
+USERS = struct(
     "user_id string, first_name string, last_name string, email string, phone_number string, "
     "created_at timestamp, updated_at timestamp, address_id string"
 )
 # zipcode is text from the start: a number would lose leading zeros.
-ADDRESSES = T.StructType.fromDDL(
+ADDRESSES = struct(
     "address_id string, address string, zipcode string, state string, country string"
 )
-PRODUCTS = T.StructType.fromDDL("product_id string, name string, price double, inventory int")
-PROMOS = T.StructType.fromDDL("promo_id string, discount int, status string")
-ORDERS = T.StructType.fromDDL(
+PRODUCTS = struct("product_id string, name string, price double, inventory int")
+PROMOS = struct("promo_id string, discount int, status string")
+ORDERS = struct(
     "order_id string, user_id string, promo_id string, address_id string, created_at timestamp, "
     "order_cost double, shipping_cost double, order_total double, tracking_id string, "
     "shipping_service string, estimated_delivery_at timestamp, delivered_at timestamp, status string"
 )
-ORDER_ITEMS = T.StructType.fromDDL("order_id string, product_id string, quantity int")
-EVENTS = T.StructType.fromDDL(
+ORDER_ITEMS = struct("order_id string, product_id string, quantity int")
+EVENTS = struct(
     "event_id string, session_id string, user_id string, page_url string, created_at timestamp, "
     "event_type string, order_id string, product_id string"
 )
@@ -84,7 +96,7 @@ FEED = T.ArrayType(T.StructType([
     T.StructField("body", MOVEMENT_BODY),
 ]))
 
-CONTEXT_CHUNKS = T.StructType.fromDDL(
+CONTEXT_CHUNKS = struct(
     "chunk_type string, state string, product_name string, source_period string, text string, "
     "processed_date date"
 )

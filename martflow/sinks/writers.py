@@ -61,9 +61,10 @@ def replace_day(
     write instead, before anything is committed. No rows means no change.
     """
     day = F.lit(str(ds)).cast("date")
-    wrong = F.raise_error(F.concat(F.lit(f"row outside {ds}: "), F.coalesce(F.col(ts_col).cast("string"), F.lit("null"))))
+    found = F.coalesce(F.col(ts_col).cast("string"), F.lit("null"))
+    wrong = F.raise_error(F.concat(F.lit(f"row outside {ds}: "), found))
     dated = df.withColumn(ds_col, F.when(_day(ts_col) == day, day).otherwise(wrong.cast("date")))
-    write(dated, path, partition_by=[ds_col], partitionOverwriteMode="dynamic")
+    write(dated.hint("rebalance"), path, partition_by=[ds_col], partitionOverwriteMode="dynamic")
 
 
 def run_day(
@@ -96,17 +97,22 @@ def union_evolving(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def write_clustered(
-    df: DataFrame, table: str, cols: Sequence[str], buckets: int, disposition: str = "truncate"
+    df: DataFrame,
+    table: str,
+    cols: Sequence[str],
+    buckets: int,
+    disposition: str = "truncate",
+    path: str | None = None,
 ) -> None:
-    """A bucketed and sorted table: joins and groupings on ``cols`` need no shuffle."""
-    (
-        df.repartition(buckets, *cols)
-        .write.format("parquet")
-        .mode(DISPOSITIONS[disposition])
-        .bucketBy(buckets, *cols)
-        .sortBy(*cols)
-        .saveAsTable(table)
-    )
+    """A bucketed and sorted table: joins and groupings on ``cols`` need no shuffle.
+
+    Rebalancing gathers the rows of a bucket in few tasks, but lets several
+    tasks write the bucket of a very frequent value.
+    """
+    writer = df.hint("rebalance", *cols).write.format("parquet").mode(DISPOSITIONS[disposition])
+    if path:
+        writer = writer.option("path", path)
+    writer.bucketBy(buckets, *cols).sortBy(*cols).saveAsTable(table)
 
 
 def write_sorted(df: DataFrame, path: str, cols: Sequence[str], files: int) -> None:
