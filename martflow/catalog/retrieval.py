@@ -12,7 +12,7 @@ from martflow.operators.models import echo_generator, embed, generate, letter_em
 from martflow.operators.search import similarity_rows, vector_search
 from martflow.plans.context import context_chunks
 from martflow.plans.prompts import COURSE_PROMPT, INSIGHT_PROMPT, assemble_prompt
-from martflow.session import shared_dir
+from martflow.session import settle, shared_dir
 from martflow.sinks.writers import write_checked
 
 DATE = "2026-09-19"
@@ -38,7 +38,8 @@ def embeddings(spark: SparkSession, sf: str) -> DataFrame:
 
 def centres(spark: SparkSession, sf: str) -> DataFrame:
     """One question vector per label: the mean of all its vectors."""
-    return group_means(embeddings(spark, sf), "label", "embedding").withColumnRenamed("label", "query_id")
+    means = group_means(embeddings(spark, sf), "label", "embedding")
+    return settle(means.withColumnRenamed("label", "query_id"), "centres")
 
 
 def vector_topk(spark: SparkSession, sf: str) -> DataFrame:
@@ -100,11 +101,12 @@ def embed_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _prompts(spark: SparkSession, sf: str, numbered: bool, template: str) -> DataFrame:
-    questions = centres(spark, sf).select(
+    topics = centres(spark, sf)
+    questions = topics.select(
         F.col("query_id").alias("question_id"),
         F.concat(F.lit("What is topic "), F.col("query_id").cast("string"), F.lit(" about?")).alias("question"),
     )
-    hits = vector_search(embeddings(spark, sf), centres(spark, sf), k=3)
+    hits = settle(vector_search(embeddings(spark, sf), topics, k=3), "hits")
     texts = table(spark, sf, "documents").select(F.col("doc_id").alias("vec_id"), "text")
     found = hits.withColumnRenamed("query_id", "question_id").join(texts, "vec_id")
     return assemble_prompt(found, questions, numbered=numbered, template=template)

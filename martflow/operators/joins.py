@@ -10,17 +10,27 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from martflow.session import settle
 
-def orphans(
-    child: DataFrame, col: str, parent: DataFrame, field: str | None = None
-) -> DataFrame:
+
+def orphans(child: DataFrame, col: str, parent: DataFrame, field: str | None = None) -> DataFrame:
     """Child rows whose non-null key has no parent.
 
-    Parent keys are folded to distinct values first; that exchange is the one
-    the join needs anyway, and it keeps a repeated parent key from piling up.
+    Only distinct keys are compared, folded map-side on both sides, so neither
+    a key held by many children nor one repeated among parents piles up. The
+    keys that fail, normally none, are settled and then pick out their rows.
     """
-    keys = parent.select(F.col(field or col).alias(col)).distinct()
-    return child.where(F.col(col).isNotNull()).join(keys, col, "left_anti")
+    failing = orphan_keys(child, col, parent, field).select(col)
+    return child.join(settle(failing, "orphan-keys"), col, "left_semi").select(*child.columns)
+
+
+def orphan_keys(
+    child: DataFrame, col: str, parent: DataFrame, field: str | None = None
+) -> DataFrame:
+    """(key, n): child keys without a parent and how many rows hold each."""
+    known = parent.select(F.col(field or col).alias(col)).distinct()
+    held = child.where(F.col(col).isNotNull()).groupBy(col).agg(F.count("*").alias("n"))
+    return held.join(known, col, "left_anti")
 
 
 def lookup(df: DataFrame, dimension: DataFrame, on: str | Sequence[str]) -> DataFrame:

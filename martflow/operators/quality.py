@@ -7,7 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from martflow.operators.joins import orphans
+from martflow.operators.joins import orphan_keys, orphans
+from martflow.session import settle
 
 # Texts read as booleans.
 TRUE_TEXT = ["1", "on", "t", "true", "y", "yes"]
@@ -21,16 +22,17 @@ def not_null(df: DataFrame, col: str) -> DataFrame:
 def unique(df: DataFrame, cols: str | Sequence[str]) -> DataFrame:
     """Repeated values with their count; a null in any column is not a value."""
     cols = [cols] if isinstance(cols, str) else list(cols)
-    return df.dropna(subset=cols).groupBy(*cols).agg(F.count("*").alias("n")).where("n > 1")
+    return require_values(df, cols).groupBy(*cols).agg(F.count("*").alias("n")).where("n > 1")
 
 
 def values_unique(df: DataFrame, col: str) -> DataFrame:
     """Every row whose value occurs more than once.
 
-    Repeats are found by a map-side count and joined back, so a value that
-    fills a third of the table is never gathered.
+    Repeats are found by a map-side count and settled, then pick out their
+    rows, so a value that fills a third of the table is never gathered.
     """
-    return df.join(unique(df, col).select(col), col, "left_semi").select(*df.columns)
+    repeated = settle(unique(df, col).select(col), "repeated-values")
+    return df.join(repeated, col, "left_semi").select(*df.columns)
 
 
 def accepted_values(df: DataFrame, col: str, values: Sequence[object]) -> DataFrame:
@@ -72,8 +74,14 @@ def require_rows(df: DataFrame, message: str = "no rows") -> DataFrame:
 
 
 def require_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Only rows that have a value in each of the columns."""
-    return df.dropna(subset=list(cols))
+    """Only rows that have a value in each of the columns.
+
+    One filter per column, which Catalyst can push into scans and joins
+    (``dropna`` is a single opaque predicate).
+    """
+    for name in cols:
+        df = df.where(F.col(name).isNotNull())
+    return df
 
 
 def row_checks(df: DataFrame, failing: Mapping[str, Column]) -> DataFrame:
@@ -91,6 +99,14 @@ def failure_count(name: str, failing: DataFrame) -> DataFrame:
     return failing.agg(F.count("*").alias("failures")).select(F.lit(name).alias("check"), "failures")
 
 
+def relationship_count(
+    name: str, child: DataFrame, col: str, parent: DataFrame, field: str
+) -> DataFrame:
+    """(check, failures) of ``relationships`` from the folded keys alone."""
+    counted = orphan_keys(child, col, parent, field).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failures"))
+    return counted.select(F.lit(name).alias("check"), "failures")
+
+
 def schema_check(df: DataFrame, name: str, holds: bool) -> DataFrame:
     """(check, failures) for a check on the schema, which reads no data."""
     one = df.sparkSession.range(1)

@@ -67,12 +67,13 @@ def _against(
 
 
 def _distances(points: np.ndarray, query: np.ndarray, metric: str) -> np.ndarray:
+    """Distance per row. Each row is summed alone, so equal vectors get equal distances."""
     if metric == "euclidean":
         gap = points - query
         return np.sqrt(np.einsum("ij,ij->i", gap, gap))
-    norms = np.linalg.norm(points, axis=1) * np.linalg.norm(query)
+    norms = np.sqrt(np.einsum("ij,ij->i", points, points)) * math.sqrt(query @ query)
     with np.errstate(divide="ignore", invalid="ignore"):
-        similarity = np.where(norms > 0, points @ query / norms, np.nan)
+        similarity = np.where(norms > 0, np.einsum("ij,j->i", points, query) / norms, np.nan)
     return similarity if metric == "similarity" else 1.0 - similarity
 
 

@@ -10,7 +10,7 @@ from martflow.functions.numbers import fmt_int, fmt_money, fmt_rounded, lenient_
 from martflow.functions.times import lenient_ts, month_key
 from martflow.operators.aggregates import top_labels
 from martflow.operators.quality import require_columns, require_rows, require_values
-from martflow.session import shared_dir
+from martflow.session import settle
 
 # The fact columns, the chunk kinds and the texts.
 REQUIRED = ["order_guid", "order_created_at_utc", "state", "quantity", "product_name", "price"]
@@ -120,12 +120,11 @@ def context_chunks(
 ) -> DataFrame:
     """One text per state, product and month of an order-line fact.
 
-    The fact is read once; its small summary is checkpointed, and ranking and
+    The fact is read once; its small summary is settled, and ranking and
     texts are built from that. Equal units are ranked by name. ``check_rows``
     fails if nothing usable is left; otherwise the result is then empty.
     """
-    shared_dir(fact.sparkSession, "checkpoint")  # a local session gets its checkpoint folder here
-    totals = summaries(clean_fact(fact)).checkpoint()
+    totals = settle(summaries(clean_fact(fact)), "summaries")
     if check_rows:
         require_rows(totals, "no usable rows in the order fact")
     labels = totals.where(F.col("b").isNull()).drop("b").join(leaders(totals), ["kind", "a"])

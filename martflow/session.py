@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -14,6 +14,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Whole documents and pages go through Arrow: 1,000 long ones are about 100 MB.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.ui.enabled": "false",
 }
 
@@ -50,3 +52,16 @@ def shared_dir(spark: SparkSession, label: str) -> str:
         base = tempfile.mkdtemp(prefix="martflow-")
         context.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame, label: str = "settled") -> DataFrame:
+    """Write a small intermediate result to the shared folder and read it back.
+
+    It is computed once however often it is used, survives a lost executor,
+    and is planned with its real size afterwards: Catalyst broadcasts it if it
+    is under ``spark.sql.autoBroadcastJoinThreshold`` and shuffles it
+    otherwise, with both join sides plain exchanges that AQE can split.
+    """
+    path = shared_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,0 +1,174 @@
+"""Row-level change and history, by example and against random changes."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from martflow.operators import history, mutate
+from martflow.sinks.writers import union_evolving
+from martflow.sources.extract import find
+
+DAY = dt.datetime
+SALES = [
+    (1, "electronics", 299.99, DAY(2025, 5, 1), None),
+    (2, "clothing", 79.99, DAY(2025, 5, 30), None),
+    (3, "groceries", 45.5, DAY(2025, 5, 30), None),
+    (4, "electronics", 999.99, DAY(2025, 6, 2), None),
+    (5, "clothing", 120.0, DAY(2025, 6, 2), None),
+]
+SCHEMA = "id int, category string, amount double, created_at timestamp_ntz, updated_at timestamp_ntz"
+
+
+@pytest.fixture()
+def sales(spark):
+    return spark.createDataFrame(SALES, SCHEMA)
+
+
+def ids(df):
+    return sorted(r.id for r in df.collect())
+
+
+def test_predicates(sales):
+    amount, category = F.col("amount"), F.col("category")
+    assert ids(sales.where(category.startswith("elec"))) == [1, 4]
+    assert ids(sales.where((category == "clothing") & (amount > 80))) == [5]
+    assert rows(sales.where("id = 3").select("category", "amount")) == [("groceries", 45.5)]
+    assert ids(sales.where(amount.isNull())) == []
+    assert ids(sales.where(category.isin("clothing", "groceries"))) == [2, 3, 5]
+
+
+def test_upsert_of_same_rows_changes_nothing(sales):
+    assert rows(mutate.upsert(sales, sales, ["id"])) == rows(sales)
+    assert tuple(mutate.upsert_counts(sales, sales, ["id"]).first()) == (0, 0)
+
+
+def test_upsert_into_empty_inserts_all(sales):
+    assert ids(mutate.upsert(sales.limit(0), sales, ["id"])) == [1, 2, 3, 4, 5]
+    assert tuple(mutate.upsert_counts(sales.limit(0), sales, ["id"]).first()) == (0, 5)
+
+
+def test_upsert_rejects_repeated_source_key(sales):
+    with pytest.raises(ValueError, match="repeated key"):
+        mutate.upsert(sales, sales.unionByName(sales), ["id"])
+
+
+def test_overwrite_delete_update(sales):
+    now = F.lit("2025-06-09").cast("timestamp_ntz")
+    row = mutate.update_where(sales.where("id = 4"), F.lit(True), {"updated_at": now})
+    after = mutate.overwrite_where(sales, row, F.col("id") == 4)
+    assert ids(after) == [1, 2, 3, 4, 5]
+    assert after.where("updated_at is not null").select("id").first().id == 4
+    assert rows(mutate.update_where(sales, F.col("id") == 4, {"updated_at": now})) == rows(after)
+    assert ids(mutate.delete_where(after, F.col("id") == 1)) == [2, 3, 4, 5]
+
+
+def test_unknown_predicate_touches_nothing(spark):
+    df = spark.createDataFrame([(1, None), (2, 5), (3, 50)], "id int, x int")
+    assert ids(mutate.delete_where(df, F.col("x") > 10)) == [1, 2]
+    assert rows(mutate.update_where(df, F.col("x") > 10, {"x": F.lit(0)})) == [(1, None), (2, 5), (3, 0)]
+    assert ids(mutate.overwrite_where(df, df.limit(0), F.col("x") < 10)) == [1, 3]
+
+
+def test_schema_change(sales):
+    wider = mutate.evolve(sales, add={"email": "string"})
+    assert wider.columns[-1] == "email"
+    assert mutate.evolve(wider, drop=["email"]).schema == sales.schema
+    both = union_evolving(sales.drop("amount"), sales.drop("category"))
+    assert both.count() == 10 and both.where("amount is null").count() == 5
+
+
+def test_required_fields(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "id int, category string")
+    assert mutate.enforce_required(df, ["id"]).count() == 2
+    with pytest.raises(Exception, match="required field category is null"):
+        mutate.enforce_required(df, ["category"]).collect()
+
+
+def test_find_documents(spark):
+    docs = spark.createDataFrame([("A85123", 3), ("B1", 1), (None, 2)], "customer_id string, n int")
+    assert rows(find(docs, {"customer_id": "A85123"}, include=["customer_id"])) == [("A85123",)]
+    assert [r.n for r in find(docs, sort=[("customer_id", 1)]).collect()] == [2, 3, 1]
+    assert [r.customer_id for r in find(docs, sort=[("n", -1)], exclude=["n"]).collect()] == ["A85123", None, "B1"]
+
+
+def naive_upsert(target, source):
+    merged = {r[0]: r for r in target}
+    merged.update({r[0]: r for r in source})
+    return sorted(merged.values(), key=repr)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_upserts(spark, seed):
+    rng = random.Random(seed)
+    target = [(k, rng.randint(0, 9)) for k in rng.sample(range(60), 40)]
+    source = [(k, rng.randint(0, 9)) for k in rng.sample(range(60), 25)]
+    a, b = (spark.createDataFrame(x, "id int, v int") for x in (target, source))
+    once = mutate.upsert(a, b, ["id"])
+    assert rows(once) == naive_upsert(target, source)
+    assert rows(mutate.upsert(once, b, ["id"])) == rows(once)
+
+
+def users(spark, versions):
+    return spark.createDataFrame(
+        [(k, f"{k}@{n}", DAY(2024, 1, 1) + dt.timedelta(days=n)) for k, n in versions.items()],
+        "user_id int, email string, updated_at timestamp_ntz",
+    )
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_random_snapshots(spark, seed):
+    """Versions never overlap, one is open per key, and a repeated run changes nothing."""
+    rng = random.Random(seed)
+    state = {k: 0 for k in range(10)}
+    seen = {(k, 0) for k in state}
+    past = history.start_history(users(spark, state), "user_id", "updated_at")
+    for step in range(1, 4):
+        for key in rng.sample(range(14), 6):
+            state[key] = step
+            seen.add((key, step))
+        for key in rng.sample(sorted(state), 2):
+            gone = dict(state)
+            gone.pop(key)
+        current = users(spark, gone)
+        seen = {(k, n) for k, n in seen if k in gone or n != step}
+        state = {k: n for k, n in state.items() if k in gone or n != step}
+        past = history.snapshot(past, current, "user_id", "updated_at")
+    again = history.snapshot(past, current, "user_id", "updated_at")
+    assert rows(again) == rows(past)
+    found = past.collect()
+    assert len(found) == len({r.scd_id for r in found})
+    by_key = {}
+    for r in found:
+        by_key.setdefault(r.user_id, []).append((r.valid_from, r.valid_to))
+    for spans in by_key.values():
+        spans.sort()
+        assert [s[1] for s in spans[:-1]] == [s[0] for s in spans[1:]]
+        assert spans[-1][1] is None
+
+
+def test_snapshot_rejects_repeated_keys(spark):
+    current = users(spark, {1: 0})
+    past = history.start_history(current, "user_id", "updated_at")
+    with pytest.raises(ValueError, match="repeated key"):
+        history.snapshot(past, current.unionByName(current), "user_id", "updated_at")
+
+
+@pytest.mark.parametrize("slices", [2, 7, 50])
+def test_validity_with_a_hot_key(spark, slices):
+    """Key 0 owns a third of the rows; many versions share an instant; one key is null."""
+    rng = random.Random(slices)
+    data = [
+        (i, 0 if i % 3 == 0 else rng.choice([None, 1, 2, 3]), DAY(2024, 1, 1) + dt.timedelta(minutes=rng.randint(0, 150)))
+        for i in range(300)
+    ]
+    df = spark.createDataFrame(data, "event_id int, user_id int, ts timestamp_ntz")
+    got = {r.event_id: r.valid_to for r in history.validity(df, "user_id", "ts", "event_id", slices).collect()}
+    want = {}
+    for key in {d[1] for d in data}:
+        line = sorted((d[2], d[0]) for d in data if d[1] == key)
+        for (_, event), following in zip(line, line[1:] + [(None, None)]):
+            want[event] = following[0]
+    assert got == want
