@@ -118,8 +118,9 @@ def page_links(spark: SparkSession, sf: str) -> DataFrame:
 
 def _unescaped(pattern: str) -> str:
     text = f"regexp_extract(html, '{pattern}', 1)"
-    for entity, char in [("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]:
-        text = f"replace({text}, '{entity}', '{char}')"
+    # A cut title may end in an entity without its semicolon, which browsers decode too.
+    for entity, char in [("quot", '"'), ("copy", "©"), ("middot", "·"), ("amp", "&")]:
+        text = f"regexp_replace({text}, '&{entity};?', '{char}', 'g')"
     return f"trim({text})"
 
 

@@ -247,7 +247,8 @@ ENTRIES = {
     "prompt_assembly": (
         prompt_assembly,
         _prompt_sql("'[Context ' || place || '] ' || text", "chr(10) || chr(10)", _literal(INSIGHT_PROMPT))
-        + """ select question_id, question, length(prompt) as length, md5(prompt) as digest, question as answer
+        + """ select question_id, question, length(prompt) as length, md5(prompt) as digest,
+             case when prompt is not null then question end as answer
              from prompts""",
     ),
     "joined_prompts": (

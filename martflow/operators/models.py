@@ -15,16 +15,17 @@ BATCH = 20
 def _call_in_batches(
     df: DataFrame, text_col: str, out_col: str, kind: DataType, model: Callable, batch: int,
 ) -> DataFrame:
+    """One model result per text; a null text is not sent and gets null."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            texts = frame[text_col].astype(str).tolist()
-            results: list = []
-            for start in range(0, len(texts), batch):
-                part = texts[start:start + batch]
-                answer = list(model(part))
+            asked = frame.index[frame[text_col].notna()]
+            results = pd.Series([None] * len(frame), index=frame.index, dtype=object)
+            for start in range(0, len(asked), batch):
+                part = asked[start:start + batch]
+                answer = list(model(frame.loc[part, text_col].tolist()))
                 if len(answer) != len(part):
                     raise RuntimeError(f"model returned {len(answer)} results for {len(part)} texts")
-                results.extend(answer)
+                results.loc[part] = pd.Series(answer, index=part, dtype=object)
             yield frame.assign(**{out_col: results})
 
     schema = StructType([*df.schema.fields, StructField(out_col, kind)])

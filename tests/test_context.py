@@ -118,6 +118,12 @@ def test_embedder_must_return_one_vector_per_text(spark):
         embed(texts, "text", lambda batch: [[0.0]]).collect()
 
 
+def test_null_text_is_not_sent(spark):
+    texts = spark.createDataFrame([("a",), (None,), ("b",)], "text string").coalesce(1)
+    got = generate(texts, "text", lambda batch: [f"{t}{len(batch)}" for t in batch]).collect()
+    assert [(r.text, r.answer) for r in got] == [("a", "a2"), (None, None), ("b", "b2")]
+
+
 def test_batches_hold_at_most_twenty_texts(spark):
     texts = spark.range(45).selectExpr("cast(id as string) as text").coalesce(1)
     sizes = [r.embedding[0] for r in embed(texts, "text", lambda batch: [[float(len(batch))]] * len(batch)).collect()]
