@@ -55,7 +55,8 @@ def time_slice(df: DataFrame, ts: str, slices: int, alias: str) -> DataFrame:
     cuts = timed.approxQuantile("_seconds", [i / slices for i in range(1, slices)], 0.5 / slices)
     splits = [-float("inf"), *sorted(set(cuts)), float("inf")]
     cut = Bucketizer(splits=splits, inputCol="_seconds", outputCol=alias, handleInvalid="keep")
-    return cut.transform(timed).drop("_seconds")
+    sliced = cut.transform(timed).drop("_seconds")
+    return sliced.withColumn(alias, F.col(alias).cast("int"))
 
 
 def validity(

@@ -7,15 +7,21 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Settings that may change in a running session; ``tune`` applies them to one built elsewhere.
+RUNTIME = {
+    # Split a hot key also in a join whose partitioning the next step would have reused.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Whole documents and pages go through Arrow: 1,000 long ones are about 100 MB.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+}
 DEFAULTS = {
+    **RUNTIME,
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Whole documents and pages go through Arrow: 1,000 long ones are about 100 MB.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.ui.enabled": "false",
 }
 
@@ -37,6 +43,13 @@ def build_session(app: str = "martflow", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the runtime settings to a session that was built elsewhere."""
+    for key, value in RUNTIME.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh, unused path under the folder named by ``spark.checkpoint.dir``.
 

@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from martflow.functions.times import on_day
+from martflow.operators.aggregates import except_distinct
 
 
 def extract_full(df: DataFrame, first: int | None = None, order_by: Sequence[str] = ()) -> DataFrame:
@@ -40,12 +41,8 @@ def high_water_mark(df: DataFrame, col: str, alias: str = "high_water_mark") ->
 
 
 def extract_diff(source: DataFrame, destination: DataFrame) -> DataFrame:
-    """Distinct source rows the destination lacks, for tables without key or date.
-
-    Both sides are made distinct first: repeats then fold map-side instead of
-    travelling to one task.
-    """
-    return source.distinct().subtract(destination.distinct())
+    """Distinct source rows the destination lacks, for tables without key or date."""
+    return except_distinct(source, destination)
 
 
 def find(
