@@ -11,7 +11,7 @@ from martflow.operators.aggregates import group_means
 from martflow.operators.models import echo_generator, embed, generate, letter_embedder
 from martflow.operators.search import similarity_rows, vector_search
 from martflow.plans.context import context_chunks
-from martflow.plans.prompts import COURSE_PROMPT, INSIGHT_PROMPT, assemble_prompt
+from martflow.plans.prompts import ASSISTANT_PROMPT, COURSE_PROMPT, INSIGHT_PROMPT, assemble_prompt, prompt_text
 from martflow.session import settle, shared_dir
 from martflow.sinks.writers import write_checked
 
@@ -127,6 +127,14 @@ def joined_prompts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def record_prompts(spark: SparkSession, sf: str) -> DataFrame:
+    """A question about every order, with the order's JSON record as context."""
+    record = F.to_json(F.struct("o_orderkey", "o_orderstatus", "o_orderpriority"))
+    question = F.concat(F.lit("What should customer "), F.col("o_custkey").cast("string"), F.lit(" expect?"))
+    prompt = prompt_text(record, question)
+    return table(spark, sf, "orders").select("o_orderkey", F.md5(prompt).alias("digest"))
+
+
 _LINES = f"""(select order_guid, state, product_name, coalesce(quantity, 0)::double as units,
     strftime(order_created_at_utc, '%Y-%m') as month,
     (coalesce(quantity, 0) * coalesce(price, 0))::decimal(28, 6) as revenue
@@ -251,6 +259,14 @@ ENTRIES = {
              case when prompt is not null then question end as answer
              from prompts""",
     ),
+    "record_prompts": (
+        record_prompts,
+        f"""select o_orderkey, md5({_literal(ASSISTANT_PROMPT)} || chr(10) || 'Context:' || chr(10)
+                || '{{"o_orderkey":' || o_orderkey || ',"o_orderstatus":"' || o_orderstatus
+                || '","o_orderpriority":"' || o_orderpriority || '"}}'
+                || chr(10) || chr(10) || 'Question:' || chr(10)
+                || 'What should customer ' || o_custkey || ' expect?' || chr(10)) as digest from orders""",
+    ),
     "joined_prompts": (
         joined_prompts,
         _prompt_sql("text", "' / '", _literal(COURSE_PROMPT))

@@ -12,7 +12,7 @@ from martflow.streaming import movements as mv
 
 def feed(spark: SparkSession, sf: str) -> DataFrame:
     """Each event as one feed line: clicks are of another type, errors are cut-off JSON,
-    sign-ups have no train, purchases no planned time."""
+    sign-ups name no train, purchases no planned time."""
     kind = F.col("event_type")
     ms = F.unix_millis(F.col("ts").cast("timestamp")).cast("string")
     values = {
@@ -66,7 +66,12 @@ def feed_dead_letters(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def topic_dead_letters(spark: SparkSession, sf: str) -> DataFrame:
-    records = mv.to_topic_records(mv.explode_feed(feed(spark, sf)))
+    """Topic records without the train's key for sign-ups, and cut off for errors."""
+    kind = F.col("event_type")
+    train = F.when(kind != "signup", F.concat(F.lit("T"), F.col("user_id")))
+    record = F.to_json(F.struct(train.alias("train_id"), kind.alias("event_type")))
+    cut = F.when(kind == "error", F.substring(record, 1, 12)).otherwise(record)
+    records = table(spark, sf, "events").select(cut.alias("value"))
     _, dead = mv.split_dead_letters(mv.parse_movements(records))
     return dead.groupBy("reason").agg(F.count("*").alias("n"))
 
@@ -85,11 +90,12 @@ _MS = "date_trunc('milliseconds', ts)"
 ENTRIES = {
     "movement_stream": (
         movement_stream,
-        f"""select event_id, 'T' || user_id as train_id, event_type, json_extract_string(props, '$.k') as route,
+        f"""select event_id, case when event_type <> 'signup' then 'T' || user_id end as train_id,
+                event_type, json_extract_string(props, '$.k') as route,
                 {_MS} as actual_timestamp, cast(null as timestamp) as gbtt_timestamp,
                 cast(null as timestamp) as original_loc_timestamp,
                 case when event_type <> 'purchase' then {_MS} end as planned_timestamp
-            from events where event_type in ('view', 'purchase')""",
+            from events where event_type in ('view', 'purchase', 'signup')""",
     ),
     "feed_movements": (
         feed_movements,
@@ -104,6 +110,7 @@ ENTRIES = {
     ),
     "topic_dead_letters": (
         topic_dead_letters,
-        "select 'no train_id' as reason, count(*) as n from events where event_type = 'signup'",
+        """select case event_type when 'signup' then 'no train_id' else 'broken JSON' end as reason,
+               count(*) as n from events where event_type in ('signup', 'error') group by 1""",
     ),
 }

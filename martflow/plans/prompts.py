@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Prompt wording and separators.
 INSIGHT_PROMPT = """
@@ -27,6 +27,24 @@ Question:
 """
 
 
+ASSISTANT_PROMPT = """
+You are a helpful assistant. Use the following context to answer the question.
+
+Context:
+{context}
+
+Question:
+{question}
+"""
+
+
+def prompt_text(context: Column, question: Column, template: str = ASSISTANT_PROMPT) -> Column:
+    """A template filled with a context (fixed text, a JSON record, found texts) and a question."""
+    before, rest = template.split("{context}")
+    between, after = rest.split("{question}")
+    return F.concat(F.lit(before), context, F.lit(between), question, F.lit(after))
+
+
 def assemble_prompt(
     hits: DataFrame,
     questions: DataFrame,
@@ -51,7 +69,5 @@ def assemble_prompt(
     else:
         context = F.array_join(F.transform(ranked, lambda hit: hit["words"]), " / ")
     contexts = hits.groupBy(question_id).agg(context.alias("context"))
-    before, rest = template.split("{context}")
-    between, after = rest.split("{question}")
-    prompt = F.concat(F.lit(before), "context", F.lit(between), F.col(question), F.lit(after))
+    prompt = prompt_text(F.col("context"), F.col(question), template)
     return questions.join(contexts, question_id, "left").withColumn("prompt", prompt)

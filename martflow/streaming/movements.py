@@ -63,14 +63,14 @@ def movement_fields(body: str = "message.body") -> list[Column]:
 
 
 def to_topic_records(messages: DataFrame) -> DataFrame:
-    """The JSON text put on the topic: times as UK wall clock with offset."""
+    """The JSON text put on the topic: all 29 keys, times as UK wall clock with offset."""
     body = "message.body"
     fields = [
         (epoch_ms_to_london_text(F.col(f"{body}.{name}")) if name in MOVEMENT_TIMES
          else F.col(f"{body}.{name}")).alias(name)
         for name in MOVEMENT_FIELDS
     ]
-    return messages.select(F.to_json(F.struct(*fields)).alias("value"))
+    return messages.select(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"))
 
 
 def parse_movements(df: DataFrame, value: str = "value") -> DataFrame:
@@ -81,8 +81,10 @@ def parse_movements(df: DataFrame, value: str = "value") -> DataFrame:
 
 
 def _reason() -> Column:
-    broken = F.try_parse_json("raw").isNull()
-    return F.when(broken, "broken JSON").when(F.col("movement.train_id").isNull(), "no train_id")
+    document = F.try_parse_json("raw")
+    # The key must be there; its value may be null.
+    train = F.try_variant_get(document, "$.train_id", "variant")
+    return F.when(document.isNull(), "broken JSON").when(train.isNull(), "no train_id")
 
 
 def split_dead_letters(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
