@@ -41,7 +41,9 @@ def parse_feed(df: DataFrame, value: str = "value") -> tuple[DataFrame, DataFram
     dead = parsed.where(F.col("messages").isNull()).select(
         "raw", F.lit("broken JSON").alias("reason")
     )
-    return parsed.select("raw", F.explode("messages").alias("message")), dead
+    # The outer form: for a plain explode Catalyst adds a filter that parses the text again.
+    messages = parsed.select("raw", F.explode_outer("messages").alias("message"))
+    return messages.where(F.col("message").isNotNull()), dead
 
 
 def only_type(messages: DataFrame, code: str = MOVEMENT_TYPE) -> DataFrame:
