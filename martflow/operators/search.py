@@ -77,6 +77,34 @@ def _distances(points: np.ndarray, query: np.ndarray, metric: str) -> np.ndarray
     return similarity if metric == "similarity" else 1.0 - similarity
 
 
+def _close(
+    points: np.ndarray, matrix: np.ndarray, reach: np.ndarray, k: int, metric: str
+) -> Iterator[tuple[int, np.ndarray]]:
+    """Per query, the rows that can be among the ``k`` best.
+
+    One matrix product gives all distances at once, but rounded differently
+    from ``_distances``. So every row within a slack far above that rounding
+    is kept; the caller settles the order with exact distances.
+    """
+    products = points @ matrix.T
+    squares, sizes = np.einsum("ij,ij->i", points, points), np.einsum("ij,ij->i", matrix, matrix)
+    if metric == "euclidean":
+        rough = squares[:, None] + sizes - 2 * products
+        limit, slack = reach**2, 1e-9 * (np.nanmax(squares) + sizes)
+    else:
+        with np.errstate(divide="ignore", invalid="ignore"):
+            rough = 1 - products / np.sqrt(squares[:, None] * sizes)
+        limit, slack = reach, 1e-9
+    if len(points) > k:
+        limit = np.fmin(limit, np.partition(rough, k - 1, axis=0)[k - 1])
+    near = rough <= limit + slack
+    for at in np.flatnonzero(near.any(axis=0)):
+        rows = np.flatnonzero(near[:, at])
+        if metric == "cosine":
+            rows = rows[squares[rows] > 0]
+        yield at, rows
+
+
 def vector_search(
     base: DataFrame,
     queries: DataFrame,
@@ -96,26 +124,24 @@ def vector_search(
         raise ValueError(f"unknown metric {metric}")
 
     def nearest(ids: np.ndarray, matrix: np.ndarray, batches: Batches) -> Batches:
-        best: dict = {}
+        best: list = [None] * len(ids)
+        reach = np.full(len(ids), np.inf)  # distance of the k-th best so far
         for batch in batches:
             points = _matrix(batch[vector])
             names = batch[base_id].to_numpy()
-            for query, at in zip(ids, matrix):
-                distance = _distances(points, at, metric)
-                known = best.get(query)
-                limit = known["distance"].iloc[-1] if known is not None and len(known) == k else np.inf
-                usable = np.flatnonzero(distance <= limit)
-                if not len(usable):
-                    continue
-                if len(usable) > k:
-                    border = np.partition(distance[usable], k - 1)[k - 1]
-                    usable = usable[distance[usable] <= border]
-                found = pd.DataFrame({base_id: names[usable], "distance": distance[usable]})
-                if known is not None:
-                    found = pd.concat([known, found])
-                best[query] = found.sort_values(["distance", base_id]).head(k)
-        for query, found in best.items():
-            yield found.assign(**{query_id: query})[[query_id, base_id, "distance"]]
+            for at, rows in _close(points, matrix, reach, k, metric):
+                found, distance = names[rows], _distances(points[rows], matrix[at], metric)
+                if best[at] is not None:
+                    found = np.concatenate([best[at][0], found])
+                    distance = np.concatenate([best[at][1], distance])
+                order = np.argsort(found, kind="stable")
+                order = order[np.argsort(distance[order], kind="stable")][:k]
+                best[at] = found[order], distance[order]
+                if len(order) == k:
+                    reach[at] = distance[order[-1]]
+        for query, hits in zip(ids, best):
+            if hits is not None:
+                yield pd.DataFrame({query_id: query, base_id: hits[0], "distance": hits[1]})
 
     schema = StructType([
         queries.schema[query_id], base.schema[base_id], StructField("distance", DoubleType()),
