@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +42,34 @@ def read_bytes(spark: SparkSession, path: str, most: int = 64 << 20) -> bytes:
     return bytes(found.head()["content"])
 
 
+def pieces(batches: Iterable[pa.RecordBatch], column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``most`` bytes of ``column`` (one row at least).
+
+    Python code then holds a bounded amount of text and of what it makes of it,
+    however long the rows are.
+    """
+    for batch in batches:
+        size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        group = np.cumsum(size, dtype=np.int64) // most
+        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
+        for start, end in zip(cuts, cuts[1:]):
+            if end > start:
+                yield batch.slice(start, end - start)
+
+
+def with_arrays(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:
+    """``batch`` with further columns at its end."""
+    return pa.RecordBatch.from_arrays(
+        [*batch.columns, *columns.values()], names=[*batch.schema.names, *columns]
+    )
+
+
+def number_lists(lists: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
+    ends = np.cumsum([0, *(len(x) for x in lists)])
+    flat = np.concatenate(lists) if lists else np.empty(0)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, kind))
+
+
 # ---- word hashes -------------------------------------------------------------------------------
 
 _IS_SPACE = np.zeros(256, dtype=bool)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from martflow.llm import mixing
+from martflow.llm import mixing, secrets, tokens
 
 ENTRIES = {
+    "op3_byte_bpe": (tokens.query, None),
+    "op5_secret_ledger": (secrets.query, None),
     "op10_source_mix": (mixing.query, mixing.SQL),
 }
