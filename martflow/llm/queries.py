@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from martflow.llm import mixing, secrets, tokens
+from martflow.llm import lines, mixing, secrets, tokens
 
 ENTRIES = {
     "op3_byte_bpe": (tokens.query, None),
     "op5_secret_ledger": (secrets.query, None),
+    "op8_line_shards": (lines.query, lines.SQL),
     "op10_source_mix": (mixing.query, mixing.SQL),
 }
