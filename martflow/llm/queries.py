@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from martflow.llm import lines, mixing, secrets, tokens
+from martflow.llm import lines, mixing, quality, secrets, tokens
 
 ENTRIES = {
+    "op1_quality_gam": (quality.query, None),
     "op3_byte_bpe": (tokens.query, None),
     "op5_secret_ledger": (secrets.query, None),
     "op8_line_shards": (lines.query, lines.SQL),
