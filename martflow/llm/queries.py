@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from martflow.llm import lines, mixing, quality, secrets, tokens
+from martflow.llm import lines, mixing, quality, secrets, tokenfiles, tokens
 
 ENTRIES = {
     "op1_quality_gam": (quality.query, None),
     "op3_byte_bpe": (tokens.query, None),
+    "op4_token_files": (tokenfiles.query, None),
     "op5_secret_ledger": (secrets.query, None),
     "op8_line_shards": (lines.query, lines.SQL),
     "op10_source_mix": (mixing.query, mixing.SQL),
