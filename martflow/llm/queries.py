@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from martflow.llm import lines, mixing, quality, secrets, tokenfiles, tokens
+from martflow.llm import lines, mixing, quality, secrets, simhash, tokenfiles, tokens
 
 ENTRIES = {
     "op1_quality_gam": (quality.query, None),
+    "op2_simhash": (simhash.query, None),
     "op3_byte_bpe": (tokens.query, None),
     "op4_token_files": (tokenfiles.query, None),
     "op5_secret_ledger": (secrets.query, None),
