@@ -90,7 +90,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _POWER or len(_POWER["up"]) < n:
         size = max(n, CHUNK + 4096)
         for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
@@ -102,7 +102,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _chunk_hashes(data: np.ndarray) -> np.ndarray:
     n = len(data)
-    up, down = _powers(n + 1)
+    up, down = powers(n + 1)
     space = np.ones(n + 2, dtype=np.int8)
     space[1:-1] = _IS_SPACE[data]
     edges = np.flatnonzero(np.diff(space))

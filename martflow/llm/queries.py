@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from martflow.llm import lines, mixing, neardup, quality, secrets, simhash, tokenfiles, tokens, vectors
+from martflow.llm import lines, mixing, neardup, passages, quality, secrets, simhash, tokenfiles, tokens, vectors
 
 ENTRIES = {
     "op1_quality_gam": (quality.query, None),
@@ -11,6 +11,7 @@ ENTRIES = {
     "op4_token_files": (tokenfiles.query, None),
     "op5_secret_ledger": (secrets.query, None),
     "op6_setsketch": (neardup.query, None),
+    "op7_passages": (passages.query, passages.SQL),
     "op8_line_shards": (lines.query, lines.SQL),
     "op9_posting_lists": (vectors.query, None),
     "op10_source_mix": (mixing.query, mixing.SQL),
