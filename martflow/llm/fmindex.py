@@ -68,10 +68,11 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
 
 
 class FmIndex:
-    """Counts of patterns of up to ``depth`` symbols in ``text`` (whole numbers from 0, all used)."""
+    """Counts of patterns of up to ``depth`` symbols in ``text`` (whole numbers from 0)."""
 
     def __init__(self, text: np.ndarray, depth: int):
-        n_symbols = int(text.max(initial=0)) + 1
+        text = np.concatenate([text + 1, [0]])  # 0 ends the text, so that no count runs over its end
+        n_symbols = int(text.max()) + 1
         order = suffix_order(text, depth + 1)
         self.size = len(text)
         self.wavelet = Wavelet(text[order - 1].astype(np.int64), n_symbols)
@@ -87,7 +88,7 @@ class FmIndex:
         low, high = np.zeros(len(ends), dtype=np.int64), np.full(len(ends), self.size, dtype=np.int64)
         live = np.arange(len(ends))
         for step in range(1, longest + 1):
-            symbol = text[ends[live] - step].astype(np.int64)
+            symbol = text[ends[live] - step].astype(np.int64) + 1
             low = self.start[symbol] + self.wavelet.rank(symbol, low)
             high = self.start[symbol] + self.wavelet.rank(symbol, high)
             often = high - low >= least
