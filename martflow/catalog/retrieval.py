@@ -9,7 +9,7 @@ from martflow.catalog.retail import table
 from martflow.functions import vectors
 from martflow.operators.aggregates import group_means
 from martflow.operators.models import echo_generator, embed, generate, letter_embedder
-from martflow.operators.search import similarity_rows, vector_search
+from martflow.operators.search import similarities, vector_search
 from martflow.plans.context import context_chunks
 from martflow.plans.prompts import ASSISTANT_PROMPT, COURSE_PROMPT, INSIGHT_PROMPT, assemble_prompt, prompt_text
 from martflow.session import settle, shared_dir
@@ -76,7 +76,7 @@ def cosine_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 def similarity_matrix(spark: SparkSession, sf: str) -> DataFrame:
     """Rows of the cosine matrix of all vectors against the label means, summed up per vector."""
-    rows = similarity_rows(embeddings(spark, sf), centres(spark, sf))
+    rows = similarities(embeddings(spark, sf), centres(spark, sf))
     best = F.array_max("similarities")
     return rows.select(
         "vec_id",

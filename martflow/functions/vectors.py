@@ -29,6 +29,12 @@ def euclidean(a: Column, b: Column) -> Column:
     return F.sqrt(_total(F.zip_with(a, b, square)))
 
 
+def is_finite(a: Column) -> Column:
+    """Whether a vector has components and all of them are numbers; false for null."""
+    bad = F.exists(a, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
+    return F.coalesce((F.size(a) > 0) & ~bad, F.lit(False))
+
+
 def dimension(a: Column) -> Column:
     return F.size(a)
 

@@ -1,26 +1,30 @@
-"""Exact nearest-neighbour search and similarity rows.
+"""Exact nearest-neighbour search and similarities to a stated set of questions.
 
-The searched table never moves. Each task compares its rows with the query
-vectors and lets only its own ``k`` best per query leave. The query vectors
-are sent to every task only up to ``query_limit`` of them; a larger set is cut
-into blocks and the table into slices, and each (block, slice) pair is one
-task. Both ways give the same rows.
+The searched table never moves. Each task compares its rows with the question
+vectors and lets only its own ``k`` best per question leave. Questions go to
+the tasks in blocks of at most ``block_bytes`` of vectors, one pass over the
+table for each block; how many blocks there are doesn't change the rows.
+
+Vectors that are null, empty or hold a null, NaN or infinite component take no
+part, on either side, and neither do table vectors of another length than the
+questions'. Questions of different lengths are an error.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
+from martflow.functions.vectors import is_finite
 from martflow.operators.aggregates import top_n_per_group
 
-QUERY_LIMIT = 2048
-SLICE_ROWS = 50_000
+BLOCK_BYTES = 16 << 20
 
 Batches = Iterator[pd.DataFrame]
 Kernel = Callable[[np.ndarray, np.ndarray, Batches], Batches]
@@ -30,40 +34,28 @@ def _matrix(vectors) -> np.ndarray:
     return np.asarray([np.asarray(v, dtype=np.float64) for v in vectors])
 
 
-def _against(
-    base: DataFrame, queries: DataFrame, kernel: Kernel, schema: StructType,
-    query_limit: int, slice_rows: int,
-) -> DataFrame:
-    """Run ``kernel`` for every base row against every query; columns are (id, vector) on both."""
-    sample = queries.limit(query_limit + 1).toPandas()
-    if len(sample) <= query_limit:
-        ids, matrix = sample.iloc[:, 0].to_numpy(), _matrix(sample.iloc[:, 1])
-        sent = base.sparkSession.sparkContext.broadcast((ids, matrix))
-
-        def one_pass(batches: Batches) -> Batches:
-            yield from kernel(*sent.value, batches)
-
-        return base.mapInPandas(one_pass, schema)
-
-    blocks = math.ceil(queries.count() / query_limit)
-    slices = math.ceil(base.count() / slice_rows)
-    spread = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    copies = F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))
-    left = base.select(
-        "*", F.pmod(F.xxhash64(base.columns[0]), F.lit(slices)).cast("int").alias("_slice"),
-    ).select("*", spread.alias("_block"))
-    right = queries.select(
-        "*", F.pmod(F.xxhash64(queries.columns[0]), F.lit(blocks)).cast("int").alias("_block"),
-    ).select("*", copies.alias("_slice"))
-
-    def one_pair(rows: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        if rows.empty or block.empty:
-            return pd.DataFrame(columns=schema.names)
-        found = kernel(block.iloc[:, 0].to_numpy(), _matrix(block.iloc[:, 1]), iter([rows]))
-        return pd.concat(list(found))
-
-    keys = ["_block", "_slice"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(one_pair, schema)
+def _blocks(queries: DataFrame, block_bytes: int) -> tuple[int, int]:
+    """Length of the question vectors (0 without any) and the number of blocks."""
+    size = F.size(queries.columns[1])
+    found = queries.agg(F.count(F.lit(1)).alias("n"), F.min(size).alias("low"), F.max(size).alias("high")).head()
+    if not found["n"]:
+        return 0, 0
+    if found["low"] != found["high"]:
+        raise ValueError(f"question vectors have {found['low']} to {found['high']} components")
+    return found["high"], math.ceil(8 * found["high"] * found["n"] / block_bytes)
+
+
+def _one_pass(base: DataFrame, queries: DataFrame, dim: int, kernel: Kernel, schema: StructType) -> DataFrame:
+    """``kernel`` over every base row and the questions of one block; columns are (id, vector) on both."""
+    block = queries.toPandas()
+    sent = base.sparkSession.sparkContext.broadcast((block.iloc[:, 0].to_numpy(), _matrix(block.iloc[:, 1])))
+
+    def run(batches: Batches) -> Batches:
+        ids, matrix = sent.value
+        if len(ids):
+            yield from kernel(ids, matrix, batches)
+
+    return base.where(F.size(base.columns[1]) == dim).mapInPandas(run, schema)
 
 
 def _distances(points: np.ndarray, query: np.ndarray, metric: str) -> np.ndarray:
@@ -113,12 +105,12 @@ def vector_search(
     base_id: str = "vec_id",
     query_id: str = "query_id",
     vector: str = "embedding",
-    query_limit: int = QUERY_LIMIT,
-    slice_rows: int = SLICE_ROWS,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """The ``k`` nearest base rows of every query: (query_id, base_id, distance, rank).
 
     ``metric`` is ``euclidean`` or ``cosine``. Equal distances are ranked by id.
+    A zero vector has no direction, so it has no cosine distance.
     """
     if metric not in ("euclidean", "cosine"):
         raise ValueError(f"unknown metric {metric}")
@@ -127,6 +119,8 @@ def vector_search(
         best: list = [None] * len(ids)
         reach = np.full(len(ids), np.inf)  # distance of the k-th best so far
         for batch in batches:
+            if batch.empty:
+                continue
             points = _matrix(batch[vector])
             names = batch[base_id].to_numpy()
             for at, rows in _close(points, matrix, reach, k, metric):
@@ -146,32 +140,36 @@ def vector_search(
     schema = StructType([
         queries.schema[query_id], base.schema[base_id], StructField("distance", DoubleType()),
     ])
-    candidates = _against(
-        base.select(base_id, vector), queries.select(query_id, vector), nearest, schema,
-        query_limit, slice_rows,
-    )
-    return top_n_per_group(candidates, [query_id], [F.asc("distance"), F.asc(base_id)], k)
+    stored = base.select(base_id, vector).where(is_finite(F.col(vector)))
+    asked = queries.select(query_id, vector).where(is_finite(F.col(vector)))
+    dim, blocks = _blocks(asked, block_bytes)
+    if not blocks:
+        return base.sparkSession.createDataFrame([], schema).withColumn("rank", F.lit(0))
+    block = F.pmod(F.xxhash64(query_id), F.lit(blocks))
+    passes = [_one_pass(stored, asked.where(block == i), dim, nearest, schema) for i in range(blocks)]
+    return top_n_per_group(reduce(DataFrame.union, passes), [query_id], [F.asc("distance"), F.asc(base_id)], k)
 
 
-def similarity_rows(
+def similarities(
     base: DataFrame,
-    others: DataFrame,
+    questions: DataFrame,
     base_id: str = "vec_id",
-    other_id: str = "query_id",
+    question_id: str = "query_id",
     vector: str = "embedding",
-    query_limit: int = QUERY_LIMIT,
-    slice_rows: int = SLICE_ROWS,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """The cosine matrix of two vector sets, one row per base vector and block of others.
+    """Cosines of every base vector to a stated set of questions, one row per base vector.
 
-    A row holds ``other_ids`` and the matching ``similarities`` as arrays, null
-    where a vector is zero. With ``others`` = ``base`` it is the all-pairs
-    matrix of a text set, without a pair row per cell.
+    A row holds ``other_ids`` in ascending order and the matching
+    ``similarities``, null where a vector is zero. The set must fit one block: a
+    larger one is an error, as the rows would grow with it.
     """
 
     def compare(ids: np.ndarray, matrix: np.ndarray, batches: Batches) -> Batches:
         order = np.argsort(ids, kind="stable")
         for batch in batches:
+            if batch.empty:
+                continue
             points = _matrix(batch[vector])
             cells = np.stack([_distances(points, matrix[i], "similarity") for i in order], axis=1)
             rows = [[None if math.isnan(x) else x for x in row] for row in cells.tolist()]
@@ -182,10 +180,12 @@ def similarity_rows(
 
     schema = StructType([
         base.schema[base_id],
-        StructField("other_ids", ArrayType(others.schema[other_id].dataType)),
+        StructField("other_ids", ArrayType(questions.schema[question_id].dataType)),
         StructField("similarities", ArrayType(DoubleType())),
     ])
-    return _against(
-        base.select(base_id, vector), others.select(other_id, vector), compare, schema,
-        query_limit, slice_rows,
-    )
+    stored = base.select(base_id, vector).where(is_finite(F.col(vector)))
+    asked = questions.select(question_id, vector).where(is_finite(F.col(vector)))
+    dim, blocks = _blocks(asked, block_bytes)
+    if blocks > 1:
+        raise ValueError(f"the questions take {blocks} blocks of {block_bytes} bytes; similarities need one")
+    return _one_pass(stored, asked, dim, compare, schema)

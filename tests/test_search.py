@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from martflow.operators.search import similarity_rows, vector_search
+from martflow.operators.search import similarities, vector_search
 
 
 @pytest.fixture(scope="module")
@@ -36,11 +36,11 @@ def brute(points, questions, k, metric):
 
 
 @pytest.mark.parametrize("metric", ["euclidean", "cosine"])
-@pytest.mark.parametrize("limit", [2048, 4])
-def test_matches_brute_force(data, metric, limit):
+@pytest.mark.parametrize("block_bytes", [1 << 20, 200])
+def test_matches_brute_force(data, metric, block_bytes):
     points, questions, base, queries = data
     for k in (1, 5, 400):
-        hits = vector_search(base, queries, k, metric, query_limit=limit, slice_rows=70)
+        hits = vector_search(base, queries, k, metric, block_bytes=block_bytes)
         got = {(r.query_id, r.vec_id, r.rank) for r in hits.collect()}
         want = brute(points, questions, k, metric)
         assert got == want
@@ -59,21 +59,40 @@ def test_text_ids(spark):
     assert [(r.vec_id, r.rank) for r in vector_search(base, queries, 2).orderBy("rank").collect()] == [("a", 1), ("b", 2)]
 
 
-@pytest.mark.parametrize("limit", [2048, 4])
-def test_similarity_matrix(data, limit):
+def test_similarities(data):
     points, questions, base, queries = data
-    cells = {}
-    for row in similarity_rows(base, queries, query_limit=limit, slice_rows=70).collect():
-        for other, value in zip(row.other_ids, row.similarities):
-            cells[row.vec_id, other] = value
-    assert len(cells) == len(points) * len(questions)
+    rows = similarities(base, queries).collect()
+    assert len(rows) == len(points)
     norms = np.outer(np.linalg.norm(points, axis=1), np.linalg.norm(questions, axis=1))
     want = points @ questions.T / norms
-    assert all(abs(cells[i, j] - want[i, j]) < 1e-12 for i, j in cells)
+    for row in rows:
+        assert row.other_ids == list(range(len(questions)))
+        assert np.abs(np.array(row.similarities) - want[row.vec_id]).max() < 1e-12
+    with pytest.raises(ValueError):
+        similarities(base, queries, block_bytes=200)
 
 
 def test_zero_vector_has_no_similarity(spark):
     base = spark.createDataFrame([(1, [0.0, 0.0]), (2, [1.0, 0.0])], "vec_id int, embedding array<double>")
     queries = base.withColumnRenamed("vec_id", "query_id")
-    got = {r.vec_id: r.similarities for r in similarity_rows(base, queries).collect()}
+    got = {r.vec_id: r.similarities for r in similarities(base, queries).collect()}
     assert got == {1: [None, None], 2: [None, 1.0]}
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "cosine"])
+@pytest.mark.parametrize("block_bytes", [1 << 20, 16])
+def test_unusable_vectors_take_no_part(spark, metric, block_bytes):
+    nan, inf = float("nan"), float("inf")
+    odd = [None, [], [None, 1.0], [nan, 1.0], [inf, 0.0], [1.0, 2.0, 3.0]]
+    base = spark.createDataFrame(
+        [(i, v) for i, v in enumerate([[1.0, 1.0], [1.0, 0.0], *odd])], "vec_id int, embedding array<double>"
+    )
+    queries = spark.createDataFrame(
+        [(0, [2.0, 0.0]), (1, [0.0, 1.0]), *((9 + i, v) for i, v in enumerate(odd[:-1]))], "query_id int, embedding array<double>"
+    )
+    hits = vector_search(base, queries, 3, metric, block_bytes=block_bytes).collect()
+    assert sorted((r.query_id, r.vec_id) for r in hits) == [(0, 0), (0, 1), (1, 0), (1, 1)]
+    assert vector_search(base, queries.limit(0), 3, metric).count() == 0
+    assert vector_search(base.limit(0), queries, 3, metric).count() == 0
+    with pytest.raises(ValueError):
+        vector_search(base, queries.union(spark.createDataFrame([(99, [1.0])], queries.schema)), 3).count()
