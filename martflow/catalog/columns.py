@@ -77,7 +77,7 @@ def parsed_dates(spark: SparkSession, sf: str) -> DataFrame:
 
 def json_props(spark: SparkSession, sf: str) -> DataFrame:
     whole = F.concat(F.lit('{"name":"'), "event_type", F.lit('","tags":["a","b"],"props":'), "props", F.lit("}"))
-    events = table(spark, sf, "events").select("event_id", whole.alias("doc"))
+    events = table(spark, sf, "events").select("event_id", jsontext.parsed(whole).alias("doc"))
     doc = F.col("doc")
     return events.select(
         "event_id",

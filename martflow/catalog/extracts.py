@@ -11,9 +11,9 @@ from martflow.functions.times import since
 from martflow.operators.aggregates import except_distinct
 from martflow.session import shared_dir
 from martflow.sources import extract
-from martflow.sources.pages import extract_pages
-from martflow.sources.readers import first_usable, flatten, load, read_json
-from martflow.sources.records import normalize_records
+from martflow.sources.pages import extract_items, extract_pages
+from martflow.sources.readers import first_usable, flatten, load
+from martflow.sources.records import normalize_records, split_records
 
 MARK = dt.datetime(2024, 1, 20, 12, 0)
 
@@ -79,19 +79,45 @@ def flatten_nested(spark: SparkSession, sf: str) -> DataFrame:
     return flatten(nested, "_")
 
 
-def records_normalized(spark: SparkSession, sf: str) -> DataFrame:
-    path = shared_dir(spark, "records")
-    sent = table(spark, sf, "lineitem").select(
-        F.col("l_orderkey").alias("order"), F.col("l_partkey").alias("product_id"),
-        F.col("l_quantity").alias("quantity"),
+RECORD = {"order_id": "bigint", "product_id": "bigint", "quantity": "double"}
+ALIASES = {"order_id": "order", "product_id": "product"}
+
+
+def _records(spark: SparkSession, sf: str) -> DataFrame:
+    """Order lines as landed JSON in mixed spellings: the first lines of orders say ``order``, second ones
+    have a null ``product_id`` beside ``product``, third ones no quantity, fourth ones no order at all."""
+    number = F.col("l_linenumber")
+    order, product = F.col("l_orderkey"), F.col("l_partkey")
+    record = (
+        F.when(number == 1, F.to_json(F.struct(order.alias("order"), product.alias("product_id"), "l_quantity")))
+        .when(number == 2, F.format_string('{"order_id":%d,"product_id":null,"product":%d,"l_quantity":1.0}', order, product))
+        .when(number == 3, F.to_json(F.struct(order.alias("order_id"), product.alias("product"))))
+        .when(number == 4, F.to_json(F.struct(product.alias("product_id"))))
+        .otherwise(F.to_json(F.struct(order.alias("order_id"), product.alias("product_id"), "l_quantity")))
     )
-    sent.write.json(path)
-    records = read_json(spark, path, "`order` bigint, product_id bigint, quantity double")
-    return normalize_records(
-        records, ["order_id", "product_id", "quantity"],
-        aliases={"order_id": "order", "product_id": "product"}, required=["order_id", "product_id"],
-        strict=True,
+    path = shared_dir(spark, "records")
+    table(spark, sf, "lineitem").select(F.replace(record, F.lit("l_quantity"), F.lit("quantity"))).write.text(path)
+    return spark.read.text(path)
+
+
+def records_normalized(spark: SparkSession, sf: str) -> DataFrame:
+    """Each record by its own spelling; those without an order are rejected."""
+    return split_records(_records(spark, sf), RECORD, aliases=ALIASES, required=["order_id"], strict=True)[0]
+
+
+def records_rejected(spark: SparkSession, sf: str) -> DataFrame:
+    rules = {"aliases": {"order_id": "order"}, "required": ["order_id"], "strict": True}
+    rejected = split_records(_records(spark, sf), {"order_id": "bigint", "quantity": "double"}, **rules)[1]
+    return rejected.groupBy("reject_reason").agg(F.count("*").alias("n"))
+
+
+def records_required(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole set where every record must be good."""
+    sent = table(spark, sf, "orders").select(
+        F.to_json(F.struct(F.col("o_orderkey").alias("order"), F.col("o_totalprice").alias("total"))).alias("value")
     )
+    kinds = {"order_id": "bigint", "total": "double"}
+    return normalize_records(sent, kinds, aliases=ALIASES, required=["order_id"], strict=True)
 
 
 def source_pick(spark: SparkSession, sf: str) -> DataFrame:
@@ -103,16 +129,16 @@ def source_pick(spark: SparkSession, sf: str) -> DataFrame:
 def page_fields(spark: SparkSession, sf: str) -> DataFrame:
     return extract_pages(
         table(spark, sf, "pages"), keep=["page_id"],
-        fields={"title": "title::text", "heading": "article > h1::text",
-                "first_link": "nav li:first-child > a::attr(href)"},
-        counts={"n_links": "a"},
+        fields={"title": "<title>(.*?)</title>", "heading": "<h1>(.*?)</h1>",
+                "first_link": '<nav><ul><li><a href="([^"]*)"'},
+        counts={"n_links": "<a[ >]"},
     )
 
 
 def page_links(spark: SparkSession, sf: str) -> DataFrame:
-    return extract_pages(
-        table(spark, sf, "pages"), keep=["page_id"], rows="nav li",
-        fields={"label": "a::text", "target": "a::attr(href)"},
+    return extract_items(
+        table(spark, sf, "pages"), "<li>.*?</li>", {"label": ">([^<]*)</a>", "target": 'href="([^"]*)"'},
+        within="<nav>(.*?)</nav>", keep=["page_id"],
     )
 
 
@@ -162,15 +188,24 @@ ENTRIES = {
     ),
     "records_normalized": (
         records_normalized,
-        "select l_orderkey as order_id, l_partkey as product_id, l_quantity as quantity from lineitem",
+        """select l_orderkey as order_id, case when l_linenumber <> 2 then l_partkey end as product_id,
+               case l_linenumber when 2 then 1.0 when 3 then null else l_quantity end::double as quantity
+           from lineitem where l_linenumber <> 4""",
+    ),
+    "records_rejected": (
+        records_rejected,
+        """select case l_linenumber when 2 then 'unexpected fields: product, product_id'
+               when 3 then 'unexpected fields: product' when 4 then 'order_id is null; unexpected fields: product_id'
+               else 'unexpected fields: product_id' end as reject_reason, count(*) as n from lineitem group by 1""",
     ),
+    "records_required": (records_required, "select o_orderkey as order_id, o_totalprice as total from orders"),
     "source_pick": (source_pick, "select p_partkey, p_name, p_retailprice from part"),
     "page_fields": (
         page_fields,
         f"""select page_id, {_unescaped('<title>(.*?)</title>')} as title,
                 {_unescaped('<h1>(.*?)</h1>')} as heading,
                 regexp_extract(html, '<nav><ul><li><a href="([^"]*)"', 1) as first_link,
-                len(regexp_extract_all(html, '<a[ >]')) as n_links from pages""",
+                len(regexp_extract_all(html, '<a[ >]'))::bigint as n_links from pages""",
     ),
     "page_links": (
         page_links,

@@ -114,6 +114,10 @@ ENTRIES = {
         f"select * from {SQL['addresses']} join (select user_guid, address_guid from {SQL['users']}) "
         "using (address_guid)"),
     "stage_parts": (stage_parts, f"select * replace (cast(price_usd as double) as price_usd) from {SQL['products']}"),
+    "stage_promos": (
+        lambda s, d: staged(s, d, "promos").withColumn("discount", F.col("discount").cast("double")),
+        f"select * replace (cast(discount as double) as discount) from {SQL['promos']}",
+    ),
     "stage_events": (lambda s, d: staged(s, d, "events"), f"select * from {SQL['events']}"),
     "stage_lineitems": (lambda s, d: staged(s, d, "order_items"), f"select * from {SQL['order_items']}"),
     "valid_emails": (valid_emails, f"select user_guid as user_id, email from {SQL['users']}"),

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from martflow.functions.labels import EMAIL
+
 # A state name for each nation key; the last one is in no region.
 STATES = [
     "California", "Texas", "Arizona", "New York", "Ohio", "Florida", "Georgia", "Illinois",
@@ -17,7 +19,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of users, addresses, products, orders, order_items, events; ids keep their type."""
+    """One of users, addresses, products, promos, orders, order_items, events; ids keep their type."""
     def t(source: str) -> DataFrame:
         return table(spark, sf_dir, source)
 
@@ -79,6 +81,11 @@ def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
             F.col("ts").alias("created_at"), "event_type",
             text.alias("order_id"), F.get_json_object("props", "$.k").alias("product_id"),
         )
+    if name == "promos":
+        return t("part").select(
+            F.concat(F.col("p_brand"), F.lit("/"), F.col("p_name")).alias("promo_id"), F.col("p_size").alias("discount"),
+            F.when(F.col("p_type") == "PROMO", "active").otherwise("inactive").alias("status"),
+        )
     raise KeyError(name)
 
 
@@ -100,13 +107,15 @@ SQL = {
             c_nationkey as address_guid
         from (select *, lower(replace(c_name, '#', '.')) || '@' || lower(c_mktsegment) || '.com' as a
               from customer))
-        where regexp_matches(email, '^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}$'))""",
+        where regexp_matches(email, 'EMAIL'))""".replace("EMAIL", EMAIL),
     "addresses": f"""(select n_nationkey as address_guid, n_name as address,
         cast(n_nationkey as varchar) as zipcode, ({_STATES_SQL})[n_nationkey + 1] as state,
         r_name as country from nation left join region on n_regionkey = r_regionkey)""",
     "products": """(select p_partkey as product_guid, p_name as product_name,
         cast(p_retailprice as decimal(18, 9)) as price_usd, cast(p_size as bigint) as inventory_quantity
         from part)""",
+    "promos": """(select p_brand || '/' || p_name as promo_guid, p_size::decimal(18, 9) as discount,
+        case when p_type = 'PROMO' then 'active' else 'inactive' end as promo_status from part)""",
     "order_items": """(select l_orderkey as order_guid, l_partkey as product_guid,
         cast(l_quantity as bigint) as quantity from lineitem)""",
     "orders": """(select o_orderkey as order_guid, o_custkey as user_guid, cast(null as varchar) as promo_guid,

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from martflow.catalog.marts import _WIDE, fact
 from martflow.catalog.retail import table
 from martflow.functions import vectors
 from martflow.operators.aggregates import group_means
-from martflow.operators.models import echo_generator, embed, generate, letter_embedder
 from martflow.operators.search import similarities, vector_search
 from martflow.plans.context import context_chunks
 from martflow.plans.prompts import ASSISTANT_PROMPT, COURSE_PROMPT, INSIGHT_PROMPT, assemble_prompt, prompt_text
@@ -22,12 +21,28 @@ def rag_context_chunks(spark: SparkSession, sf: str) -> DataFrame:
     return context_chunks(fact(spark, sf), DATE)
 
 
+def letters(text: str) -> Column:
+    """Unit vectors of lower-case letter counts: an embedding that needs no model."""
+    counts = F.array(*[
+        (F.length(text) - F.length(F.replace(F.col(text), F.lit(chr(c)), F.lit("")))).cast("double")
+        for c in range(97, 123)
+    ])
+    return F.when(F.col(text).isNotNull(), counts)
+
+
+def with_embedding(df: DataFrame, text: str) -> DataFrame:
+    counted = df.withColumn("_counts", letters(text))
+    length = counted.withColumn("_length", vectors.norm(F.col("_counts")))
+    unit = F.transform("_counts", lambda x: F.when(F.col("_length") > 0, x / F.col("_length")).otherwise(0.0))
+    return length.withColumn("embedding", unit).drop("_counts", "_length")
+
+
 def chunk_counts(spark: SparkSession, sf: str) -> DataFrame:
     """The chunk job end to end: chunk, embed, write with reconciliation, count by kind."""
-    embedded = embed(rag_context_chunks(spark, sf), "text", letter_embedder)
+    embedded = with_embedding(rag_context_chunks(spark, sf), "text")
     path = shared_dir(spark, "chunks")
-    write_checked(embedded, path)
-    return spark.read.parquet(path).groupBy("chunk_type").agg(
+    write_checked(embedded, path, partition_by=["processed_date"])
+    return spark.read.parquet(path).groupBy("chunk_type", "processed_date").agg(
         F.count("*").alias("n"), F.min(vectors.dimension(F.col("embedding"))).alias("dims")
     )
 
@@ -88,7 +103,7 @@ def similarity_matrix(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def embed_documents(spark: SparkSession, sf: str) -> DataFrame:
-    embedded = embed(table(spark, sf, "documents").select("doc_id", "text"), "text", letter_embedder)
+    embedded = with_embedding(table(spark, sf, "documents").select("doc_id", "text"), "text")
     vector = F.col("embedding")
     return embedded.select(
         "doc_id",
@@ -114,10 +129,8 @@ def _prompts(spark: SparkSession, sf: str, numbered: bool, template: str) -> Dat
 
 def prompt_assembly(spark: SparkSession, sf: str) -> DataFrame:
     prompts = _prompts(spark, sf, True, INSIGHT_PROMPT)
-    answered = generate(prompts, "prompt", echo_generator)
-    return answered.select(
-        "question_id", "question", F.length("prompt").cast("bigint").alias("length"),
-        F.md5("prompt").alias("digest"), "answer",
+    return prompts.select(
+        "question_id", "question", F.length("prompt").cast("bigint").alias("length"), F.md5("prompt").alias("digest"),
     )
 
 
@@ -222,7 +235,7 @@ ENTRIES = {
     "rag_context_chunks": (rag_context_chunks, _CHUNKS),
     "chunk_counts": (
         chunk_counts,
-        f"select chunk_type, count(*) as n, cast(26 as integer) as dims from ({_CHUNKS}) group by 1",
+        f"select chunk_type, processed_date, count(*) as n, cast(26 as integer) as dims from ({_CHUNKS}) group by 1, 2",
     ),
     "vector_topk": (vector_topk, _rounded_hits(_MEANS, _EUCLIDEAN, 5)),
     "cosine_topk": (cosine_topk, _rounded_hits(_MEANS, "1 - list_cosine_similarity(embedding, mean)", 10)),
@@ -255,9 +268,7 @@ ENTRIES = {
     "prompt_assembly": (
         prompt_assembly,
         _prompt_sql("'[Context ' || place || '] ' || text", "chr(10) || chr(10)", _literal(INSIGHT_PROMPT))
-        + """ select question_id, question, length(prompt) as length, md5(prompt) as digest,
-             case when prompt is not null then question end as answer
-             from prompts""",
+        + " select question_id, question, length(prompt) as length, md5(prompt) as digest from prompts",
     ),
     "record_prompts": (
         record_prompts,

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martflow.catalog.retail import table
 from martflow.operators.joins import lookup
+from martflow.operators.mutate import enforce_required
+from martflow.operators.quality import require_values
 from martflow.session import shared_dir
 from martflow.sinks import writers
 from martflow.sources.extract import extract_day
@@ -114,18 +116,24 @@ def write_checked(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _shuffles(spark: SparkSession) -> int:
+    """As many buckets or files as the session shuffles to: the setting that goes with the data's size."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def clustered_table(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders bucketed by customer; the count per customer then needs no shuffle."""
-    name = f"orders_by_customer_{uuid.uuid4().hex}"
-    writers.write_clustered(
-        table(spark, sf, "orders"), name, ["o_custkey"], buckets=8, path=shared_dir(spark, "clustered")
-    )
-    return spark.table(name).groupBy("o_custkey").agg(F.count("*").alias("n"))
+    """Orders bucketed by their own key, which no value can fill; joins and groupings on it need no shuffle."""
+    name = f"orders_by_key_{uuid.uuid4().hex}"
+    path = shared_dir(spark, "clustered")
+    writers.write_clustered(table(spark, sf, "orders"), name, ["o_orderkey"], buckets=_shuffles(spark), path=path)
+    counted = spark.table(name).groupBy("o_orderkey").agg(F.count("*").alias("n"))
+    spark.sql(f"DROP TABLE {name}")  # the name only: the files at its path stay for the result
+    return counted
 
 
 def sorted_files(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_dir(spark, "sorted")
-    writers.write_sorted(table(spark, sf, "lineitem"), path, ["l_shipdate", "l_orderkey", "l_linenumber"], files=8)
+    writers.write_sorted(table(spark, sf, "lineitem"), path, ["l_shipdate", "l_orderkey", "l_linenumber"], files=_shuffles(spark))
     shipped = spark.read.parquet(path).where(F.col("l_shipdate") < F.lit("1995-07-01").cast("timestamp_ntz"))
     return shipped.groupBy("l_returnflag").agg(F.count("*").alias("n"))
 
@@ -136,6 +144,39 @@ def materialized_view(spark: SparkSession, sf: str) -> DataFrame:
     return spark.sql("SELECT o_custkey, count(*) AS n FROM orders_view GROUP BY o_custkey")
 
 
+def materialized_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A model written as a table under the shared folder, and read by its name."""
+    spent = table(spark, sf, "orders").groupBy("o_custkey").agg(F.count("*").alias("n"))
+    name = f"customer_orders_{uuid.uuid4().hex}"
+    stored = writers.materialize(spark, name, spent, "table", path=shared_dir(spark, "model"))
+    return stored.where("n > 1")
+
+
+def csv_timestamps(spark: SparkSession, sf: str) -> DataFrame:
+    """A time column through CSV, read by a declared type."""
+    events = table(spark, sf, "events").select("event_id", "ts")
+    path, shape = shared_dir(spark, "times"), "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    writers.write(events, path, "csv", timestampNTZFormat=shape)
+    return read_csv(spark, path, events.schema, timestampNTZFormat=shape)
+
+
+def inferred_json(spark: SparkSession, sf: str) -> DataFrame:
+    """JSON lines without a declared schema."""
+    path = shared_dir(spark, "inferred")
+    writers.write(table(spark, sf, "part"), path, "json")
+    return read_json(spark, path).groupBy("p_brand").agg(
+        F.sum("p_size").alias("sizes"), F.round(F.sum("p_retailprice"), 2).alias("total")
+    )
+
+
+def required_write(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders written with two fields that must have values."""
+    path = shared_dir(spark, "required")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    writers.write(enforce_required(require_values(orders, ["o_custkey"]), ["o_orderkey", "o_custkey"]), path)
+    return spark.read.parquet(path)
+
+
 _DAY_SQL = f"cast(ts as date) = date '{DAY}'"
 
 ENTRIES = {
@@ -176,10 +217,22 @@ ENTRIES = {
         """select count(*) + count(*) filter (o_orderstatus = 'F') as n, count(*) as first,
                count(*) as again, count(*) filter (o_orderstatus = 'F') as added from orders""",
     ),
-    "clustered_table": (clustered_table, "select o_custkey, count(*) as n from orders group by 1"),
+    "clustered_table": (clustered_table, "select o_orderkey, count(*) as n from orders group by 1"),
     "sorted_files": (
         sorted_files,
         "select l_returnflag, count(*) as n from lineitem where l_shipdate < timestamp '1995-07-01' group by 1",
     ),
+    "materialized_table": (
+        materialized_table, "select o_custkey, count(*) as n from orders group by 1 having count(*) > 1",
+    ),
+    "csv_timestamps": (csv_timestamps, "select event_id, ts from events"),
+    "inferred_json": (
+        inferred_json,
+        """select p_brand, cast(sum(p_size) as bigint) as sizes, round(sum(p_retailprice), 2) as total
+           from part group by 1""",
+    ),
+    "required_write": (
+        required_write, "select o_orderkey, o_custkey, o_totalprice from orders where o_custkey is not null",
+    ),
     "materialized_view": (materialized_view, "select o_custkey, count(*) as n from orders group by 1"),
 }

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, DataType, DoubleType, StringType, StructField, StructType
@@ -52,15 +51,3 @@ def generate(
 ) -> DataFrame:
     """Add an answer per prompt through ``generator``."""
     return _call_in_batches(df, prompt_col, alias, StringType(), generator, batch)
-
-
-def letter_embedder(texts: list[str]) -> list[list[float]]:
-    """An offline stand-in for an embedding model: unit vectors of lower-case letter counts."""
-    counts = np.array([[text.count(chr(c)) for c in range(97, 123)] for text in texts], dtype=float)
-    norms = np.linalg.norm(counts, axis=1, keepdims=True)
-    return (counts / np.where(norms > 0, norms, 1)).tolist()
-
-
-def echo_generator(prompts: list[str]) -> list[str]:
-    """An offline stand-in for an answering model: the prompt's last line that is not blank."""
-    return [next((line for line in reversed(p.splitlines()) if line.strip()), "") for p in prompts]

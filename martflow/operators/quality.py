@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from martflow.operators.joins import orphan_keys, orphans
-from martflow.session import settle
 
 # Texts read as booleans.
 TRUE_TEXT = ["1", "on", "t", "true", "y", "yes"]
@@ -28,11 +27,11 @@ def unique(df: DataFrame, cols: str | Sequence[str]) -> DataFrame:
 def values_unique(df: DataFrame, col: str) -> DataFrame:
     """Every row whose value occurs more than once.
 
-    Repeats are found by a map-side count and settled, then pick out their
-    rows, so a value that fills a third of the table is never gathered.
+    Repeats are found by a map-side count, then pick out their rows. How many
+    there are isn't known beforehand, so they stay in the plan and AQE decides
+    by their measured size whether they are broadcast.
     """
-    repeated = settle(unique(df, col).select(col), "repeated-values")
-    return df.join(repeated, col, "left_semi").select(*df.columns)
+    return df.join(unique(df, col).select(col), col, "left_semi").select(*df.columns)
 
 
 def accepted_values(df: DataFrame, col: str, values: Sequence[object]) -> DataFrame:

@@ -116,13 +116,13 @@ def leaders(totals: DataFrame) -> DataFrame:
 
 
 def context_chunks(
-    fact: DataFrame, processed_date: str | dt.date, brand: str = "Retail", check_rows: bool = False
+    fact: DataFrame, processed_date: str | dt.date, brand: str = "Retail", check_rows: bool = True
 ) -> DataFrame:
     """One text per state, product and month of an order-line fact.
 
     The fact is read once; its small summary is settled, and ranking and
-    texts are built from that. Equal units are ranked by name. ``check_rows``
-    fails if nothing usable is left; otherwise the result is then empty.
+    texts are built from that. Equal units are ranked by name. It fails
+    if nothing usable is left; without ``check_rows`` the result is then empty.
     """
     totals = settle(summaries(clean_fact(fact)), "summaries")
     if check_rows:

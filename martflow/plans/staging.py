@@ -8,7 +8,7 @@ from martflow.functions.labels import is_email
 
 NUMERIC = "decimal(38,9)"
 
-# Per table: raw column, staged column, cast (None keeps the raw type).
+# Fixed values. Per table: raw column, staged column, cast (None keeps the raw type).
 STAGING: dict[str, list[tuple[str, str, str | None]]] = {
     "addresses": [
         ("address_id", "address_guid", None),

@@ -4,18 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings that may change in a running session; ``tune`` applies them to one built elsewhere.
-RUNTIME = {
+# For sessions built here; one that was built elsewhere keeps its own settings.
+DEFAULTS = {
     # Split a hot key also in a join whose partitioning the next step would have reused.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Whole documents and pages go through Arrow: 1,000 long ones are about 100 MB.
+    # Whole documents go through Arrow: 1,000 long ones are about 100 MB.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
-}
-DEFAULTS = {
-    **RUNTIME,
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -43,10 +42,17 @@ def build_session(app: str = "martflow", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session that was built elsewhere."""
-    for key, value in RUNTIME.items():
-        spark.conf.set(key, value)
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the executors of a session that was started without it.
+
+    Not needed where the package is installed on them or given by ``--py-files``.
+    """
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="martflow-ship-")) / "martflow.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as archive:
+        for source in sorted(root.rglob("*.py")):
+            archive.write(source, source.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(target))
     return spark
 
 

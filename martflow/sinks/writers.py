@@ -124,7 +124,9 @@ def write_sorted(df: DataFrame, path: str, cols: Sequence[str], files: int) -> N
     write(df.repartitionByRange(files, *cols).sortWithinPartitions(*cols), path)
 
 
-def write_checked(df: DataFrame, path: str, fmt: str = "parquet", disposition: str = "truncate") -> int:
+def write_checked(
+    df: DataFrame, path: str, fmt: str = "parquet", disposition: str = "truncate", partition_by: Sequence[str] = ()
+) -> int:
     """Write, then compare the rows that went in with the rows that can be read back."""
     spark = df.sparkSession
 
@@ -133,7 +135,7 @@ def write_checked(df: DataFrame, path: str, fmt: str = "parquet", disposition: s
 
     before = rows() if disposition == "append" else 0
     seen = Observation()
-    write(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, fmt, disposition)
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, fmt, disposition, partition_by)
     expected, loaded = seen.get["rows"], rows() - before
     if loaded != expected:
         raise RuntimeError(f"expected to load {expected} rows, loaded {loaded}")
@@ -145,9 +147,14 @@ def register_view(df: DataFrame, name: str) -> None:
 
 
 def materialize(
-    spark: SparkSession, name: str, df: DataFrame, kind: str = "view", layer: str | None = None
+    spark: SparkSession, name: str, df: DataFrame, kind: str = "view", layer: str | None = None,
+    path: str | None = None,
 ) -> DataFrame:
-    """A model as a lazy view or as a written table in its layer's database."""
+    """A model as a lazy view or as a written table in its layer's database.
+
+    A table's files lie under ``path``, or in the session's warehouse without
+    one; on a cluster either must be a folder that all executors share.
+    """
     if kind == "view":
         view = f"{layer}_{name}" if layer else name
         df.createOrReplaceTempView(view)
@@ -157,5 +164,8 @@ def materialize(
     if layer:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
     table = f"`{layer}`.`{name}`" if layer else f"`{name}`"
-    df.write.format("parquet").mode("overwrite").saveAsTable(table)
+    writer = df.write.format("parquet").mode("overwrite")
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
     return spark.table(table)

@@ -1,169 +1,64 @@
-"""Fields out of landed HTML pages, by CSS-like paths.
+"""Fields out of landed HTML pages, by regular expressions over the text of the page.
 
-Each partition parses its own pages; nothing is shuffled. A path is a chain of
-``tag``, ``.class``, ``#id``, ``:first-child`` and ``:nth-child(n)``, joined by
-spaces (any depth below) or ``>`` (direct child), and ends in ``::text`` or
-``::attr(name)``, e.g. ``td:nth-child(3) > a::text``.
+All of it is column expressions, so pages stay in the JVM and nothing is
+shuffled. A pattern has one group, the wanted text; ``.`` doesn't match a line
+break unless the pattern says ``(?s)``.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator, Mapping, Sequence
-from html.parser import HTMLParser
+from collections.abc import Mapping, Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
+from pyspark.sql import Column, DataFrame, functions as F
 
-VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "wbr"}
-# An opening tag here ends an open element of the listed kinds.
-CLOSES = {"p": {"p"}, "li": {"li"}, "td": {"td", "th"}, "th": {"td", "th"},
-          "tr": {"td", "th", "tr"}, "option": {"option"}}
-SCOPES = {"table", "ul", "ol", "div", "article", "section", "body", "nav", "select"}
+# Entities and their characters; the ampersand last, as it begins the others.
+ENTITIES = {
+    "quot": '"', "apos": "'", "lt": "<", "gt": ">", "nbsp": " ", "copy": "©", "middot": "·", "amp": "&",
+}
 
 
-class Element:
-    def __init__(self, tag: str, attrs: dict, parent: Element | None):
-        self.tag, self.attrs, self.parent = tag, attrs, parent
-        self.children: list[Element] = []
-        self.texts: list[str] = []
-        self.position = len(parent.children) + 1 if parent else 1
-        if parent:
-            parent.children.append(self)
+def unescaped(text: Column) -> Column:
+    """Named entities as characters, also where the semicolon is missing (as in a cut title)."""
+    for name, char in ENTITIES.items():
+        text = F.regexp_replace(text, f"&{name};?", char)
+    return text
 
-    def below(self) -> Iterator[Element]:
-        stack = self.children[::-1]
-        while stack:
-            element = stack.pop()
-            yield element
-            stack.extend(element.children[::-1])
 
-
-class _Tree(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.root = self.open = Element("", {}, None)
-
-    def handle_starttag(self, tag, attrs):
-        at = self.open
-        while tag in CLOSES and at.parent and at.tag not in SCOPES:
-            if at.tag in CLOSES[tag]:
-                self.open = at.parent
-            at = at.parent
-        element = Element(tag, {k: v or "" for k, v in attrs}, self.open)
-        if tag not in VOID:
-            self.open = element
-
-    def handle_endtag(self, tag):
-        at = self.open
-        while at.parent and at.tag != tag:
-            at = at.parent
-        if at.parent:
-            self.open = at.parent
-
-    def handle_data(self, data):
-        self.open.texts.append(data)
-
-
-def parse_html(html: str) -> Element:
-    tree = _Tree()
-    tree.feed(html)
-    tree.close()
-    return tree.root
-
-
-class Path:
-    """A compiled path; pickles as its text."""
-
-    def __init__(self, text: str):
-        self.text = text
-        body, _, self.what = text.partition("::")
-        attr = re.fullmatch(r"attr\(([\w-]+)\)", self.what)
-        self.attr = attr.group(1) if attr else None
-        self.steps = []
-        direct = False
-        for token in body.replace(">", " > ").split():
-            if token == ">":
-                direct = True
-                continue
-            tag = re.match(r"[\w-]*", token).group()
-            classes = set(re.findall(r"\.([\w-]+)", token))
-            ident = re.search(r"#([\w-]+)", token)
-            nth = re.search(r":nth-child\((\d+)\)", token)
-            position = int(nth.group(1)) if nth else 1 if ":first-child" in token else None
-            self.steps.append((direct, tag, classes, ident and ident.group(1), position))
-            direct = False
-
-    def __reduce__(self):
-        return Path, (self.text,)
-
-    @staticmethod
-    def _fits(element: Element, step) -> bool:
-        _, tag, classes, ident, position = step
-        return (
-            (not tag or element.tag == tag)
-            and classes <= set(element.attrs.get("class", "").split())
-            and (ident is None or element.attrs.get("id") == ident)
-            and (position is None or element.position == position)
-        )
-
-    def elements(self, root: Element) -> Iterator[Element]:
-        frontier = [root]
-        for step in self.steps:
-            seen: dict[int, Element] = {}
-            for element in frontier:
-                for found in element.children if step[0] else element.below():
-                    if self._fits(found, step):
-                        seen.setdefault(id(found), found)
-            frontier = list(seen.values())
-        return iter(frontier)
-
-    def values(self, root: Element) -> list[str]:
-        if self.attr:
-            return [e.attrs[self.attr] for e in self.elements(root) if self.attr in e.attrs]
-        return [text for e in self.elements(root) for text in e.texts]
+def field(html: Column, pattern: str) -> Column:
+    """The first match's text, unescaped and trimmed; null without a match."""
+    return F.when(html.rlike(pattern), F.trim(unescaped(F.regexp_extract(html, pattern, 1))))
 
 
 def extract_pages(
     df: DataFrame,
     fields: Mapping[str, str],
-    html_col: str = "html",
-    keep: Sequence[str] = (),
-    rows: str | None = None,
     counts: Mapping[str, str] | None = None,
     lists: Mapping[str, str] | None = None,
+    keep: Sequence[str] = (),
+    html: str = "html",
 ) -> DataFrame:
-    """One row per page, or per element matching ``rows`` within it.
+    """One row per page: ``fields`` by pattern, how often each of ``counts`` occurs, all texts of each of ``lists``."""
+    page = F.col(html)
 
-    ``fields`` name the first value of a path (stripped, null if none),
-    ``lists`` all of its values, ``counts`` the number of matching elements.
-    """
-    one = {name: Path(path) for name, path in fields.items()}
-    many = {name: Path(path) for name, path in (lists or {}).items()}
-    number = {name: Path(path) for name, path in (counts or {}).items()}
-    scope = Path(rows) if rows else None
-    schema = StructType(
-        [df.schema[name] for name in keep]
-        + [StructField(name, StringType()) for name in one]
-        + [StructField(name, ArrayType(StringType())) for name in many]
-        + [StructField(name, LongType()) for name in number]
+    def every(pattern: str) -> Column:
+        return F.transform(F.regexp_extract_all(page, F.lit(pattern), F.lit(1)), lambda x: F.trim(unescaped(x)))
+
+    return df.select(
+        *keep, *(field(page, pattern).alias(name) for name, pattern in fields.items()),
+        *(F.regexp_count(page, F.lit(pattern)).cast("bigint").alias(name) for name, pattern in (counts or {}).items()),
+        *(every(pattern).alias(name) for name, pattern in (lists or {}).items()),
     )
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            kept = zip(*[batch[name] for name in keep]) if keep else iter(lambda: (), None)
-            for html, row in zip(batch[html_col], kept):
-                root = parse_html(html) if html is not None else Element("", {}, None)
-                for element in scope.elements(root) if scope else [root]:
-                    firsts = (next(iter(path.values(element)), None) for path in one.values())
-                    out.append(
-                        (*row,
-                         *(v.strip() if v is not None else None for v in firsts),
-                         *(path.values(element) for path in many.values()),
-                         *(sum(1 for _ in path.elements(element)) for path in number.values()))
-                    )
-            yield pd.DataFrame(out, columns=schema.names)
 
-    return df.select(*keep, html_col).mapInPandas(parse, schema)
+def extract_items(
+    df: DataFrame,
+    item: str,
+    fields: Mapping[str, str],
+    within: str | None = None,
+    keep: Sequence[str] = (),
+    html: str = "html",
+) -> DataFrame:
+    """One row per match of ``item`` (inside the first match of ``within``), with ``fields`` of the item."""
+    area = F.regexp_extract(html, within, 1) if within else F.col(html)
+    items = df.select(*keep, F.explode(F.regexp_extract_all(area, F.lit(item), F.lit(0))).alias("_item"))
+    return items.select(*keep, *(field(F.col("_item"), pattern).alias(name) for name, pattern in fields.items()))

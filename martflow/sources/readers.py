@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -165,7 +167,8 @@ def first_usable(
     """The first candidate that can be read and has a row.
 
     A candidate is a table name, a Parquet path or a reading function. Repeats
-    are tried once. All failures are listed when none is usable.
+    are tried once. Failures of Spark and of input are listed when none is
+    usable; any other error is one of the reading function and is raised.
     """
     errors = []
     for candidate in dict.fromkeys(c for c in candidates if c):
@@ -179,6 +182,6 @@ def first_usable(
             if not df.isEmpty():
                 return df
             errors.append(f"{candidate}: no rows")
-        except Exception as error:
+        except (PySparkException, Py4JJavaError, OSError) as error:
             errors.append(f"{candidate}: {type(error).__name__}: {str(error).splitlines()[0]}")
     raise RuntimeError("no usable source:\n" + "\n".join(errors))

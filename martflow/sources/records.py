@@ -4,38 +4,62 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
-def normalize_records(
+def _at(document: Column, name: str) -> Column:
+    """The field as a variant: SQL null if the record lacks it, a variant null if its value is null."""
+    return F.try_variant_get(document, f"$['{name}']", "variant")
+
+
+def judge_records(
     df: DataFrame,
-    columns: Sequence[str],
+    columns: Mapping[str, str],
     aliases: Mapping[str, str] | None = None,
     required: Sequence[str] = (),
     strict: bool = False,
+    record: str = "value",
 ) -> DataFrame:
-    """Project records onto ``columns``.
+    """JSON records (texts in ``record``) as typed ``columns``, with the text and a ``reject_reason``.
 
-    A column that the records lack is taken from its alias, chosen by which
-    name is present, not by which value is null; without either it is null.
-    ``required`` columns must be present, and a null in one fails the job when
-    the row is read. ``strict`` rejects records with any other field.
+    Each record chooses for itself: a column's own name wins where the record
+    has it, even with a null; else the alias counts; without either it is null.
+    A text that is no JSON object, a missing or null ``required`` column and,
+    with ``strict``, any other field are reasons to reject.
     """
     aliases = aliases or {}
-    present = set(df.columns)
-    unknown = present - set(columns) - set(aliases.values())
-    if strict and unknown:
-        raise ValueError(f"unexpected fields: {sorted(unknown)}")
-    picked = []
-    for name in columns:
-        source = name if name in present else aliases.get(name)
-        if source not in present:
-            if name in required:
-                raise KeyError(f"{name} is missing; fields are {sorted(present)}")
-            picked.append(F.lit(None).cast("string").alias(name))
-            continue
-        value = F.col(f"`{source}`")
-        if name in required:
-            value = F.coalesce(value, F.raise_error(F.lit(f"{name} is null")))
+    parsed = df.select(F.col(record).alias("record"), F.try_parse_json(record).alias("_document"))
+    document = F.col("_document")
+    keys = F.json_object_keys("record")
+    picked, reasons = [], [F.when(keys.isNull(), "no record")]
+    for name, kind in columns.items():
+        own = _at(document, name)
+        value = F.try_variant_get(document, f"$['{name}']", kind)
+        if name in aliases:
+            value = F.when(own.isNotNull(), value).otherwise(
+                F.try_variant_get(document, f"$['{aliases[name]}']", kind)
+            )
         picked.append(value.alias(name))
-    return df.select(*picked)
+        if name in required:
+            reasons.append(F.when(keys.isNotNull() & value.isNull(), f"{name} is null"))
+    if strict:
+        known = F.array(*(F.lit(name) for name in [*columns, *aliases.values()]))
+        other = F.array_sort(F.array_except(keys, known))
+        reasons.append(F.when(F.size(other) > 0, F.concat(F.lit("unexpected fields: "), F.array_join(other, ", "))))
+    reason = F.concat_ws("; ", *reasons)
+    return parsed.select(*picked, "record", F.when(reason != "", reason).alias("reject_reason"))
+
+
+def normalize_records(df: DataFrame, columns: Mapping[str, str], **rules) -> DataFrame:
+    """The typed columns of the records; one that would be rejected fails the job that reads it."""
+    judged = judge_records(df, columns, **rules)
+    failed = F.raise_error(F.concat(F.lit("rejected record: "), F.col("reject_reason")))
+    first, *rest = columns
+    return judged.select(F.when(F.col("reject_reason").isNull(), F.col(first)).otherwise(failed).alias(first), *rest)
+
+
+def split_records(df: DataFrame, columns: Mapping[str, str], **rules) -> tuple[DataFrame, DataFrame]:
+    """Good records as typed columns, and rejected texts with their reason."""
+    judged = judge_records(df, columns, **rules)
+    good = judged.where(F.col("reject_reason").isNull()).select(*columns)
+    return good, judged.where(F.col("reject_reason").isNotNull()).select("record", "reject_reason")

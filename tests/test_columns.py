@@ -113,9 +113,9 @@ def test_since_is_strict(spark):
 def test_json_query_and_value(spark):
     record, fruits = F.lit('{"name":"Jakob","age":"6"}'), F.lit('{"fruits":["apple","banana"]}')
     assert one(
-        spark, jsontext.json_query(record, "$.name"), jsontext.json_value(record, "$.name"),
-        jsontext.json_query(fruits, "$.fruits"), jsontext.json_value(fruits, "$.fruits"),
-        jsontext.json_value(F.lit("{broken"), "$.a"), jsontext.json_query(record, "$.none"),
+        spark, jsontext.json_query(jsontext.parsed(record), "$.name"), jsontext.json_value(jsontext.parsed(record), "$.name"),
+        jsontext.json_query(jsontext.parsed(fruits), "$.fruits"), jsontext.json_value(jsontext.parsed(fruits), "$.fruits"),
+        jsontext.json_value(jsontext.parsed(F.lit("{broken")), "$.a"), jsontext.json_query(jsontext.parsed(record), "$.none"),
     ) == ('"Jakob"', "Jakob", '["apple","banana"]', None, None, None)
 
 

@@ -5,7 +5,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from martflow.operators.models import echo_generator, embed, generate, letter_embedder
+from martflow.catalog.retrieval import with_embedding
+from martflow.operators.models import embed, generate
 from martflow.plans.context import context_chunks
 from martflow.plans.prompts import assemble_prompt
 from martflow.sinks.writers import write, write_checked
@@ -71,6 +72,7 @@ def test_no_usable_rows_are_rejected(spark):
     fact = spark.createDataFrame([("o1", "never", "Texas", 1, "Fern", 2)], SCHEMA)
     with pytest.raises(ValueError, match="no usable rows"):
         context_chunks(fact, "2026-09-19", check_rows=True)
+    assert context_chunks(fact, "2026-09-19", check_rows=False).count() == 0
 
 
 def test_bad_numbers_count_as_zero_and_ties_go_by_name(spark):
@@ -81,7 +83,29 @@ def test_bad_numbers_count_as_zero_and_ties_go_by_name(spark):
     assert any("USD 35.00" in t for t in texts)
 
 
+def models():
+    """An embedder and an answerer; made here, so that they are sent to the workers by value."""
+    def letter_embedder(texts):
+        counts = [[text.count(chr(c)) for c in range(97, 123)] for text in texts]
+        return [[x / (sum(y * y for y in row) ** 0.5 or 1.0) for x in row] for row in counts]
+
+    def last_line(prompts):
+        return [next((line for line in reversed(p.splitlines()) if line.strip()), "") for p in prompts]
+
+    return letter_embedder, last_line
+
+
+def test_embedding_of_the_catalog(spark):
+    texts = ["banana", "", "ZEBRA!", "the quick brown fox", None]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    got = {r.id: r.embedding for r in with_embedding(frame, "text").collect()}
+    want = models()[0]([t for t in texts if t is not None])
+    assert got[4] is None
+    assert all(abs(a - b) < 1e-12 for i in range(4) for a, b in zip(got[i], want[i]))
+
+
 def test_pipeline_from_chunks_to_answers(spark, tmp_path):
+    letter_embedder, last_line = models()
     embedded = embed(context_chunks(spark.createDataFrame(LINES, SCHEMA), "2026-09-19"), "text", letter_embedder)
     path = str(tmp_path / "chunks")
     write(embedded, path, partition_by=["processed_date"])
@@ -91,7 +115,7 @@ def test_pipeline_from_chunks_to_answers(spark, tmp_path):
     asked = embed(questions, "question", letter_embedder)
     hits = vector_search(stored, asked, k=2, base_id="chunk_id", query_id="question_id")
     prompts = assemble_prompt(hits.join(stored.select("chunk_id", "text"), "chunk_id"), questions)
-    answers = {r.question_id: r for r in generate(prompts, "prompt", echo_generator).collect()}
+    answers = {r.question_id: r for r in generate(prompts, "prompt", last_line).collect()}
     assert set(answers) == {1, 2}
     assert answers[1].answer == "What sells in Texas?"
     assert answers[1].prompt.count("[Context ") == 2

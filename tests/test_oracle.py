@@ -4,9 +4,11 @@ import pytest
 
 import __spark_entry__ as entry_point
 import oracle
+from martflow.catalog import entries
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = entry_point.queries(), entry_point.oracle_sql()
+QUERIES = {name: query for name, (query, _) in entries().items()}
+SQL = {name: sql for name, (_, sql) in entries().items()}
 
 
 @pytest.fixture(scope="module")

@@ -13,8 +13,8 @@ from martflow import schemas
 from martflow.session import settle
 from martflow.sinks import writers as w
 from martflow.sources import extract, readers
-from martflow.sources.pages import extract_pages
-from martflow.sources.records import normalize_records
+from martflow.sources.pages import extract_items, extract_pages
+from martflow.sources.records import normalize_records, split_records
 
 
 def write_text(path, text):
@@ -106,17 +106,38 @@ def test_first_usable(spark, tmp_path):
     assert str(failure.value).count("no rows") == 1 and "missing_table" in str(failure.value)
 
 
-def test_records(spark):
-    df = spark.createDataFrame([("o1", None, "p1")], "`order` string, product_id string, product string")
-    aliases = {"order_id": "order", "product_id": "product"}
-    got = normalize_records(df, ["order_id", "product_id", "quantity"], aliases)
-    assert rows(got) == [("o1", None, None)]  # the present name wins, even when its value is null
-    with pytest.raises(KeyError, match="user_id is missing"):
-        normalize_records(df, ["user_id"], required=["user_id"])
-    with pytest.raises(Exception, match="product_id is null"):
-        normalize_records(df, ["product_id"], required=["product_id"]).collect()
-    with pytest.raises(ValueError, match="unexpected fields: \\['product'\\]"):
-        normalize_records(df, ["order", "product_id"], strict=True)
+def test_records_choose_their_own_spelling(spark):
+    texts = [
+        '{"order_id": "o1", "quantity": 2}', '{"order": "o2", "product": "p2"}', '{"order_id": "o3", "order": "x", "product_id": null, "product": "p3"}',
+        '{"order_id": null, "order": "o4"}', '{"quantity": 5}', '{"order": "o6", "colour": "red", "age": 1}', "[1]", "{broken", None,
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    columns = {"order_id": "string", "product_id": "string", "quantity": "int"}
+    rules = {"aliases": {"order_id": "order", "product_id": "product"}, "required": ["order_id"]}
+    good, rejected = split_records(df, columns, strict=True, **rules)
+    # The present name wins, even when its value is null.
+    assert rows(good) == [("o1", None, 2), ("o2", "p2", None), ("o3", None, None)]
+    assert {r.record: r.reject_reason for r in rejected.collect()} == {
+        texts[3]: "order_id is null", texts[4]: "order_id is null", texts[5]: "unexpected fields: age, colour",
+        "[1]": "no record", "{broken": "no record", None: "no record",
+    }
+    assert rows(normalize_records(df.where(F.col("value").isin(texts[:3])), columns, **rules)) == rows(good)
+    with pytest.raises(Exception, match="rejected record: order_id is null"):
+        normalize_records(df.where(F.col("value") == texts[4]), columns, **rules).collect()
+
+
+def test_first_usable_raises_errors_of_the_reader(spark):
+    with pytest.raises(ZeroDivisionError):
+        readers.first_usable(spark, [lambda s: 1 / 0])
+
+
+def test_page_fields(spark):
+    html = "<title>A &amp; B &quot;x</title><ul><li><a href='1'>one</a></li><li>two &lt;3</li></ul>"
+    df = spark.createDataFrame([(1, html), (2, ""), (3, None)], "page_id int, html string")
+    got = extract_pages(df, {"title": "<title>(.*?)</title>"}, {"n": "<li>"}, keep=["page_id"])
+    assert rows(got) == [(1, 'A & B "x', 2), (2, None, 0), (3, None, None)]
+    items = extract_items(df, "<li>.*?</li>", {"label": "<li>(.*?)</li>"}, within="<ul>(.*?)</ul>", keep=["page_id"])
+    assert rows(items) == [(1, "<a href='1'>one</a>"), (1, "two <3")]
 
 
 def test_extraction(spark):
@@ -213,17 +234,18 @@ HTML = """<html><body><div id="daily"><h3> Gold price </h3>
 
 def test_page_rules(spark):
     pages = spark.createDataFrame([(1, HTML), (2, "<p>empty"), (3, None)], "page_id int, html string")
-    cells = extract_pages(
-        pages, {"rank": "td:first-child::text", "name": "td:nth-child(2)::text", "release": "td:nth-child(3) > a::text",
-                "link": "a::attr(href)"}, keep=["page_id"], rows="table.plain.wide > tr")
+    cells = extract_items(
+        pages, "(?s)<tr>.*?</tr>", {"rank": "^<tr><td>([^<]*)", "name": "^<tr><td>[^<]*(?:</td>)?<td>([^<]+)",
+                                    "release": "<a[^>]*>([^<]*)</a>", "link": '<a href="([^"]*)"'},
+        within='(?s)<table class="wide plain">(.*?)</table>', keep=["page_id"])
     assert rows(cells) == [(1, "1", "Bar & Co", "Bull", "/b"), (1, "2", None, "Bear", None)]
-    cars = extract_pages(pages, {"title": "a.ellipsize::text", "url": "a.ellipsize::attr(href)", "price": "div.price::text"},
-                         rows="article.listing")
+    cars = extract_items(
+        pages, '(?s)<article class="listing">.*?</article>',
+        {"title": r"(?s)<a [^>]*>\s*(.*?)\s*</a>", "url": 'href="([^"]*)"', "price": '<div class="price">([^<]*)'})
     assert rows(cars) == [("Car one", "/c1", "485,000"), ("Car two", "/c2", None)]
-    whole = extract_pages(pages, {"heading": "#daily h3::text"}, keep=["page_id"], counts={"links": "a"},
-                          lists={"numbers": "td:first-child::text"})
-    assert [(r.page_id, r.heading, list(r.numbers), r.links) for r in whole.orderBy("page_id").collect()] == [
-        (1, "Gold price", ["1", "2"], 4), (2, None, [], 0), (3, None, [], 0)]
+    whole = extract_pages(pages, {"heading": '<div id="daily"><h3>(.*?)</h3>'}, {"links": "<a[ >]"}, {"numbers": "<td>([0-9])"}, ["page_id"])
+    assert [(r.page_id, r.heading, r.numbers, r.links) for r in whole.orderBy("page_id").collect()] == [
+        (1, "Gold price", ["1", "2"], 5), (2, None, [], 0), (3, None, None, None)]
 
 
 def test_schemas_match_the_feed():
