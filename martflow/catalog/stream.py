@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from martflow.catalog.retail import table
 from martflow.schemas import MOVEMENT_FIELDS, MOVEMENT_TIMES
@@ -10,6 +11,12 @@ from martflow.session import shared_dir
 from martflow.streaming import movements as mv
 
 
+def _filler(i: int, name: str) -> Column:
+    """A text for fields that events have nothing for; null at times, another step for each field."""
+    number = (F.col("event_id") % (i + 7)).cast("string")
+    return F.when(F.col("event_id") % (i + 2) != 0, F.concat(F.lit(f"{name}-"), number))
+
+
 def feed(spark: SparkSession, sf: str) -> DataFrame:
     """Each event as one feed line: clicks are of another type, errors are cut-off JSON,
     sign-ups name no train, purchases no planned time."""
@@ -22,10 +29,10 @@ def feed(spark: SparkSession, sf: str) -> DataFrame:
         "route": F.get_json_object("props", "$.k"),
         "actual_timestamp": ms,
         "planned_timestamp": F.when(kind != "purchase", ms),
+        "gbtt_timestamp": F.when(F.col("event_id") % 3 != 0, ms),
+        "original_loc_timestamp": F.when(F.col("event_id") % 2 == 0, ms),
     }
-    body = F.struct(*[
-        values.get(name, F.lit(None).cast("string")).alias(name) for name in MOVEMENT_FIELDS
-    ])
+    body = F.struct(*[values.get(name, _filler(i, name)).alias(name) for i, name in enumerate(MOVEMENT_FIELDS)])
     header = F.struct(
         F.when(kind == "click", "0001").otherwise("0003").alias("msg_type"), ms.alias("msg_queue_timestamp")
     )
@@ -34,32 +41,45 @@ def feed(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").select(cut.alias("value"))
 
 
-def movement_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """Feed files -> topic files -> landed JSON by date -> typed table, each stage a stream or a job."""
+RELAYED = StructType([StructField("value", StringType()), StructField("reason", StringType())])
+LETTERS = StructType([StructField("raw", StringType()), StructField("reason", StringType())])
+
+
+def _run_streams(spark: SparkSession, sf: str) -> str:
+    """Feed files -> relayed records and dead lines -> landed movements and dead letters; the base folder."""
     base = shared_dir(spark, "movements")
     feed(spark, sf).write.text(f"{base}/feed")
-    messages = mv.explode_feed(mv.stream_files(spark, f"{base}/feed"))
-    topic = mv.to_topic_records(messages)
-    sent = (
-        topic.writeStream.format("text").option("path", f"{base}/topic")
-        .option("checkpointLocation", f"{base}/topic-state").trigger(availableNow=True).start()
-    )
-    sent.awaitTermination()
+    day = F.coalesce(F.to_date("actual_timestamp"), F.lit("1970-01-01").cast("date"))
+    relayed = mv.relay_feed(mv.stream_files(spark, f"{base}/feed"))
+    mv.land_stream(
+        relayed, f"{base}/topic", f"{base}/topic-state", ingestion_date=F.lit("1970-01-01").cast("date")
+    ).awaitTermination()
     # The file sink's log tells readers which files are complete.
-    good, dead = mv.split_dead_letters(mv.parse_movements(mv.stream_files(spark, f"{base}/topic")))
-    running = [
-        mv.land_stream(good, f"{base}/raw", f"{base}/raw-state"),
-        mv.land_stream(dead, f"{base}/dead", f"{base}/dead-state"),
-    ]
-    for query in running:
-        query.awaitTermination()
+    sent = spark.readStream.schema("value string, status string").json(f"{base}/topic").where("status = 'sent'")
+    judged = mv.judge_movements(mv.parse_movements(sent))
+    mv.land_stream(judged, f"{base}/raw", f"{base}/raw-state", ingestion_date=day).awaitTermination()
+    return base
+
+
+def movement_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """All 29 fields of the movements that came through both streams, refined by ingestion date."""
+    base = _run_streams(spark, sf)
     refined = mv.refine_movements(spark, f"{base}/raw", f"{base}/processed")
     return refined.select(
-        F.col("toc_id").cast("bigint").alias("event_id"), "train_id", "event_type", "route",
-        *[F.col(name).cast("timestamp_ntz").alias(name) for name in MOVEMENT_TIMES],
+        "ingestion_date",
+        *[F.col(name).cast("timestamp_ntz").alias(name) if name in MOVEMENT_TIMES else name for name in MOVEMENT_FIELDS],
     )
 
 
+def landed_dead_letters(spark: SparkSession, sf: str) -> DataFrame:
+    """Dead letters that both streams have landed, by stage and reason."""
+    base = _run_streams(spark, sf)
+    dead = F.col("status") == "dead"
+    of_feed = mv.landed(spark, f"{base}/topic", RELAYED).where(dead).select(F.lit("feed").alias("stage"), "reason")
+    of_topic = mv.landed(spark, f"{base}/raw", LETTERS).where(dead).select(F.lit("topic").alias("stage"), "reason")
+    return of_feed.union(of_topic).groupBy("stage", "reason").agg(F.count("*").alias("n"))
+
+
 def feed_dead_letters(spark: SparkSession, sf: str) -> DataFrame:
     _, dead = mv.parse_feed(feed(spark, sf))
     return dead.groupBy("reason").agg(F.count("*").alias("n"))
@@ -86,17 +106,28 @@ def feed_movements(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _MS = "date_trunc('milliseconds', ts)"
+_VALUES = {
+    "train_id": "case when event_type <> 'signup' then 'T' || user_id end",
+    "event_type": "event_type", "toc_id": "cast(event_id as varchar)", "route": "json_extract_string(props, '$.k')",
+    "actual_timestamp": _MS, "planned_timestamp": f"case when event_type <> 'purchase' then {_MS} end",
+    "gbtt_timestamp": f"case when event_id % 3 <> 0 then {_MS} end",
+    "original_loc_timestamp": f"case when event_id % 2 = 0 then {_MS} end",
+}
+_FIELDS_SQL = ", ".join(
+    _VALUES.get(name, f"case when event_id % {i + 2} <> 0 then '{name}-' || (event_id % {i + 7}) end") + f" as {name}"
+    for i, name in enumerate(MOVEMENT_FIELDS)
+)
 
 ENTRIES = {
     "movement_stream": (
         movement_stream,
-        f"""select event_id, case when event_type <> 'signup' then 'T' || user_id end as train_id,
-                event_type, json_extract_string(props, '$.k') as route,
-                {_MS} as actual_timestamp, cast(null as timestamp) as gbtt_timestamp,
-                cast(null as timestamp) as original_loc_timestamp,
-                case when event_type <> 'purchase' then {_MS} end as planned_timestamp
+        f"""select cast({_MS} as date) as ingestion_date, {_FIELDS_SQL}
             from events where event_type in ('view', 'purchase', 'signup')""",
     ),
+    "landed_dead_letters": (
+        landed_dead_letters,
+        "select 'feed' as stage, 'broken JSON' as reason, count(*) as n from events where event_type = 'error'",
+    ),
     "feed_movements": (
         feed_movements,
         f"""select event_id, '0003' as msg_type,

@@ -5,11 +5,16 @@ Everything up to the sink works on batch and streaming frames alike.
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from martflow.functions.times import epoch_ms, epoch_ms_to_london_text
 from martflow.schemas import FEED, MOVEMENT_FIELDS, MOVEMENT_TIMES, MOVEMENTS
+from martflow.sinks.writers import write
 from martflow.sources.readers import read_json
 
 MOVEMENT_TYPE = "0003"
@@ -64,7 +69,7 @@ def movement_fields(body: str = "message.body") -> list[Column]:
     ]
 
 
-def to_topic_records(messages: DataFrame) -> DataFrame:
+def topic_record() -> Column:
     """The JSON text put on the topic: all 29 keys, times as UK wall clock with offset."""
     body = "message.body"
     fields = [
@@ -72,7 +77,28 @@ def to_topic_records(messages: DataFrame) -> DataFrame:
          else F.col(f"{body}.{name}")).alias(name)
         for name in MOVEMENT_FIELDS
     ]
-    return messages.select(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"))
+    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+
+
+def to_topic_records(messages: DataFrame) -> DataFrame:
+    return messages.select(topic_record().alias("value"))
+
+
+def relay_feed(df: DataFrame, value: str = "value", code: str = MOVEMENT_TYPE) -> DataFrame:
+    """What leaves the feed, in one frame: (status, value, reason).
+
+    ``sent`` rows hold topic records of the wanted type, ``dead`` rows the line
+    that is no message array, with the reason. Messages of other types end here.
+    """
+    raw = F.col(value).cast("string")
+    parsed = df.select(raw.alias("raw"), F.from_json(raw, FEED).alias("messages"))
+    each = parsed.select("raw", F.col("messages").isNull().alias("broken"), F.explode_outer("messages").alias("message"))
+    wanted = F.col("message.header.msg_type") == code
+    return each.where(F.col("broken") | wanted).select(
+        F.when(F.col("broken"), "dead").otherwise("sent").alias("status"),
+        F.when(F.col("broken"), F.col("raw")).otherwise(topic_record()).alias("value"),
+        F.when(F.col("broken"), "broken JSON").alias("reason"),
+    )
 
 
 def parse_movements(df: DataFrame, value: str = "value") -> DataFrame:
@@ -89,12 +115,18 @@ def _reason() -> Column:
     return F.when(document.isNull(), "broken JSON").when(train.isNull(), "no train_id")
 
 
+def judge_movements(parsed: DataFrame) -> DataFrame:
+    """All topic records in one frame: ``status`` (good or dead), raw text, reason and the 29 fields."""
+    judged = parsed.withColumn("reason", _reason())
+    status = F.when(F.col("reason").isNull(), "good").otherwise("dead")
+    return judged.select(status.alias("status"), "raw", "reason", "movement.*")
+
+
 def split_dead_letters(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Good movements, and dead letters with raw text and reason."""
-    judged = parsed.withColumn("reason", _reason())
-    good = judged.where(F.col("reason").isNull()).select("movement.*")
-    dead = judged.where(F.col("reason").isNotNull()).select("raw", "reason")
-    return good, dead
+    judged = judge_movements(parsed)
+    good = judged.where(F.col("status") == "good").select(*MOVEMENT_FIELDS)
+    return good, judged.where(F.col("status") == "dead").select("raw", "reason")
 
 
 def land_stream(
@@ -105,9 +137,10 @@ def land_stream(
     ingestion_date: Column | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Land a stream in folders by ingestion date.
+    """Land a stream in folders by status (where ``df`` has one) and ingestion date.
 
-    The checkpoint makes it resumable and the file sink exactly-once. With
+    Good rows and dead letters so land from one read of the source. The
+    checkpoint makes it resumable and the file sink exactly-once. With
     ``available_now`` it ends when the backlog is done.
     """
     day = F.current_date() if ingestion_date is None else ingestion_date
@@ -116,14 +149,28 @@ def land_stream(
         .writeStream.format(fmt)
         .option("path", path)
         .option("checkpointLocation", checkpoint)
-        .partitionBy("ingestion_date")
+        .partitionBy(*(["status"] if "status" in df.columns else []), "ingestion_date")
     )
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
 
 
-def refine_movements(spark: SparkSession, raw: str, out: str) -> DataFrame:
-    """All landed JSON, in every date folder, as one typed Parquet table."""
-    read_json(spark, raw, MOVEMENTS).write.mode("overwrite").parquet(out)
+def landed(spark: SparkSession, path: str, fields: T.StructType) -> DataFrame:
+    """A landed folder with ``status`` and ``ingestion_date``; filters on both prune folders."""
+    folders = [T.StructField("status", T.StringType()), T.StructField("ingestion_date", T.DateType())]
+    return read_json(spark, path, T.StructType([*fields.fields, *folders]), recursive=False)
+
+
+def refine_movements(
+    spark: SparkSession, raw: str, out: str, dates: Sequence[str | dt.date] | None = None
+) -> DataFrame:
+    """Landed good movements as a typed Parquet table by ingestion date.
+
+    Only the given dates are read and replaced; all of them without ``dates``.
+    """
+    good = landed(spark, raw, MOVEMENTS).where(F.col("status") == "good").drop("status")
+    if dates is not None:
+        good = good.where(F.col("ingestion_date").isin(*[F.lit(str(day)).cast("date") for day in dates]))
+    write(good.hint("rebalance", "ingestion_date"), out, partition_by=["ingestion_date"], partitionOverwriteMode="dynamic")
     return spark.read.parquet(out)

@@ -5,6 +5,7 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conftest import rows
 from martflow.streaming import movements as mv
@@ -55,28 +56,53 @@ def test_dead_letters_of_the_topic(spark):
         '{"platform": "4"}': "no train_id", '{"train_id": "T2", "rou': "broken JSON", "": "broken JSON", "7": "no train_id"}
 
 
+def test_relay_keeps_every_line(spark):
+    feed = spark.createDataFrame([(x,) for x in LINES], "value string")
+    relayed = mv.relay_feed(feed).collect()
+    assert sorted(json.loads(r.value)["train_id"] or "" for r in relayed if r.status == "sent") == ["", "T1", "T3"]
+    dead = {r.value: r.reason for r in relayed if r.status == "dead"}
+    assert dead == {'[{"header": {"msg_type": "0003"': "broken JSON", "not json": "broken JSON"}
+
+
 def test_stream_lands_by_date_resumes_and_equals_batch(spark, tmp_path):
     feed, raw, state = tmp_path / "feed", str(tmp_path / "raw"), str(tmp_path / "state")
 
-    def drain():
-        messages = mv.explode_feed(mv.stream_files(spark, str(feed)))
-        good, _ = mv.split_dead_letters(mv.parse_movements(mv.to_topic_records(messages)))
-        mv.land_stream(good, raw, state, ingestion_date=F.lit("2024-07-04").cast("date")).awaitTermination()
+    def judged(lines):
+        return mv.judge_movements(mv.parse_movements(mv.to_topic_records(mv.explode_feed(lines))))
+
+    def drain(day):
+        date = F.lit(day).cast("date")
+        mv.land_stream(judged(mv.stream_files(spark, str(feed))), raw, state, ingestion_date=date).awaitTermination()
 
     put(feed, "a.txt", LINES)
-    drain()
+    drain("2024-07-04")
     put(feed, "b.txt", [json.dumps([message("T9", actual_timestamp="1720000000001")])])
-    drain()
-    drain()
-    refined = mv.refine_movements(spark, raw, str(tmp_path / "out"))
-    batch, _ = mv.split_dead_letters(mv.parse_movements(mv.to_topic_records(mv.explode_feed(spark.read.text(str(feed))))))
+    drain("2024-07-05")
+    drain("2024-07-05")
+    out = str(tmp_path / "out")
+    first = mv.refine_movements(spark, raw, out, ["2024-07-04"])
+    assert first.count() == 3
+    kept = sorted(x.name for x in (tmp_path / "out" / "ingestion_date=2024-07-04").iterdir())
+    refined = mv.refine_movements(spark, raw, out, ["2024-07-05"])
+    assert kept == sorted(x.name for x in (tmp_path / "out" / "ingestion_date=2024-07-04").iterdir())
+    batch = judged(spark.read.text(str(feed))).select(*mv.MOVEMENT_FIELDS)
     assert rows(refined.select(*batch.columns)) == rows(batch)
-    assert refined.count() == 4
-    assert (tmp_path / "raw" / "ingestion_date=2024-07-04").is_dir()
+    refined = mv.refine_movements(spark, raw, out)
+    assert rows(refined.select(*batch.columns)) == rows(batch)
+    assert (tmp_path / "raw" / "status=good" / "ingestion_date=2024-07-04").is_dir()
     times = {r.train_id: r.actual_timestamp for r in refined.collect()}
     assert times["T9"].replace(tzinfo=None) - times["T1"].replace(tzinfo=None) == dt.timedelta(milliseconds=1)
 
 
+def test_dead_letters_land_beside_good_movements(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    put(tmp_path / "topic", "a.txt", ['{"train_id": "T1"}', '{"platform": "4"}', "broken"])
+    lines = mv.judge_movements(mv.parse_movements(mv.stream_files(spark, str(tmp_path / "topic"))))
+    mv.land_stream(lines, raw, str(tmp_path / "state"), ingestion_date=F.lit("2024-07-04").cast("date")).awaitTermination()
+    dead = mv.landed(spark, raw, T.StructType().add("raw", "string").add("reason", "string")).where("status = 'dead'")
+    assert rows(dead.select("raw", "reason")) == [("broken", "broken JSON"), ('{"platform": "4"}', "no train_id")]
+
+
 def test_topic_source_needs_its_jar(spark):
     from martflow.sources.readers import has_format
 
