@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import time
 import uuid
 import zipfile
 from pathlib import Path
@@ -73,6 +75,26 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def clear_shared(spark: SparkSession, older_than_hours: float = 24.0) -> int:
+    """Remove what ``shared_dir`` has named and nothing has changed for so long; the number of entries removed.
+
+    Run it from a scheduled job. Results that are still read lazily need their
+    entries, so the age must exceed the longest job's.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        return 0
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(base)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    limit = (time.time() - 3600 * older_than_hours) * 1000
+    old = [
+        entry.getPath() for entry in (files.listStatus(folder) if files.exists(folder) else [])
+        if re.fullmatch(r".+-[0-9a-f]{32}", entry.getPath().getName()) and entry.getModificationTime() < limit
+    ]
+    return sum(bool(files.delete(path, True)) for path in old)
+
+
 def settle(df: DataFrame, label: str = "settled") -> DataFrame:
     """Write a small intermediate result to the shared folder and read it back.
 

@@ -3,14 +3,16 @@
 import datetime as dt
 import glob
 import hashlib
+import os
 import random
+import sys
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
 from martflow import schemas
-from martflow.session import settle
+from martflow.session import clear_shared, settle, shared_dir, ship
 from martflow.sinks import writers as w
 from martflow.sources import extract, readers
 from martflow.sources.pages import extract_items, extract_pages
@@ -253,3 +255,20 @@ def test_schemas_match_the_feed():
     tables = schemas.RETAIL
     for child, col, parent, field in schemas.FOREIGN_KEYS:
         assert col in tables[child].names and field in tables[parent].names
+
+
+def test_old_entries_of_the_shared_folder_go(spark):
+    kept = settle(spark.range(3), "kept")
+    path = shared_dir(spark, "gone")
+    spark.range(2).write.parquet(path)
+    assert clear_shared(spark, 1000) == 0
+    long_ago = dt.datetime.now().timestamp() - 3600 * 2000
+    os.utime(path, (long_ago, long_ago))
+    assert clear_shared(spark, 1000) == 1
+    assert kept.count() == 3 and not os.path.exists(path)
+
+
+def test_package_can_be_shipped(spark):
+    before = len(sys.path)
+    ship(spark)
+    assert any(name.endswith("martflow.zip") for name in sys.path) and len(sys.path) == before + 1
