@@ -23,8 +23,9 @@ def quality_suite(spark: SparkSession, sf: str) -> DataFrame:
         }),
         q.failure_count("order_key_unique", q.unique(orders, "o_orderkey")),
         q.failure_count("line_key_unique", q.unique(lines, ["l_orderkey", "l_linenumber"])),
-        q.relationship_count("order_customer_exists", orders, "o_custkey", customers, "c_custkey"),
-        q.relationship_count("order_customer_in_credit", orders, "o_custkey", rich, "c_custkey"),
+        q.relationship_counts(orders, "o_custkey", {
+            "order_customer_exists": (customers, "c_custkey"), "order_customer_in_credit": (rich, "c_custkey"),
+        }),
         q.schema_check(events, "event_id_exists", q.column_exists(events, "event_id")),
         q.schema_check(events, "event_type_is_string", q.column_type(events, "event_type", "string")),
         q.schema_check(events, "event_id_is_int", q.column_type(events, "event_id", "int")),

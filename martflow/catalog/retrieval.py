@@ -123,7 +123,9 @@ def _prompts(spark: SparkSession, sf: str, numbered: bool, template: str) -> Dat
     )
     hits = settle(vector_search(embeddings(spark, sf), topics, k=3), "hits")
     texts = table(spark, sf, "documents").select(F.col("doc_id").alias("vec_id"), "text")
-    found = hits.withColumnRenamed("query_id", "question_id").join(texts, "vec_id")
+    # A hit without a document keeps its place, with an empty text.
+    found = hits.withColumnRenamed("query_id", "question_id").join(texts, "vec_id", "left")
+    found = found.withColumn("text", F.coalesce("text", F.lit("")))
     return assemble_prompt(found, questions, numbered=numbered, template=template)
 
 
@@ -218,7 +220,7 @@ def _prompt_sql(entry: str, joint: str, head: str) -> str:
     return f"""with hits as {_nearest(_MEANS, _EUCLIDEAN, 3)},
         contexts as (select query_id, string_agg({entry}, {joint} order by place) as context
             from (select query_id, rank, text, row_number() over (partition by query_id order by rank) as place
-                  from hits join documents on doc_id = vec_id) group by 1),
+                  from (select hits.*, coalesce(text, '') as text from hits left join documents on doc_id = vec_id)) group by 1),
         prompts as (select query_id as question_id, 'What is topic ' || query_id || ' about?' as question,
             {head} || chr(10) || 'Context:' || chr(10) || context || chr(10) || chr(10) || 'Question:' || chr(10)
             || question || chr(10) as prompt

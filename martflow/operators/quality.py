@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from martflow.operators.joins import orphan_keys, orphans
+from martflow.operators.joins import orphans
 
 # Texts read as booleans.
 TRUE_TEXT = ["1", "on", "t", "true", "y", "yes"]
@@ -98,12 +98,21 @@ def failure_count(name: str, failing: DataFrame) -> DataFrame:
     return failing.agg(F.count("*").alias("failures")).select(F.lit(name).alias("check"), "failures")
 
 
-def relationship_count(
-    name: str, child: DataFrame, col: str, parent: DataFrame, field: str
+def relationship_counts(
+    child: DataFrame, col: str, parents: Mapping[str, tuple[DataFrame, str]]
 ) -> DataFrame:
-    """(check, failures) of ``relationships`` from the folded keys alone."""
-    counted = orphan_keys(child, col, parent, field).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failures"))
-    return counted.select(F.lit(name).alias("check"), "failures")
+    """(check, failures) of ``relationships`` of one column to several parents (check to parent and its key).
+
+    The child is read once and folded to its keys, which are then looked up.
+    """
+    held = child.where(F.col(col).isNotNull()).groupBy(col).agg(F.count("*").alias("n"))
+    lost = []
+    for i, (name, (parent, field)) in enumerate(parents.items()):
+        known = parent.select(F.col(field).alias(col)).distinct().withColumn(f"_known{i}", F.lit(True))
+        held = held.join(known, col, "left")
+        failures = F.coalesce(F.sum(F.when(F.col(f"_known{i}").isNull(), F.col("n"))), F.lit(0))
+        lost.append(F.struct(F.lit(name).alias("check"), failures.alias("failures")))
+    return held.agg(F.array(*lost).alias("_lost")).select(F.inline("_lost"))
 
 
 def schema_check(df: DataFrame, name: str, holds: bool) -> DataFrame:

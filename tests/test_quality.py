@@ -30,7 +30,8 @@ def test_checks(spark):
     assert rows(q.rule(df, F.length("v") == 2)) == [(1, "a"), (1, "b"), (None, "c")]
     parent = spark.createDataFrame([(1,), (1,)], "id int")
     assert rows(q.relationships(df, "k", parent, "id")) == [(2, None)]
-    assert rows(q.relationship_count("r", df, "k", parent, "id")) == [("r", 1)]
+    both = q.relationship_counts(df, "k", {"r": (parent, "id"), "none": (parent.limit(0), "id")})
+    assert rows(both) == [("none", df.where("k is not null").count()), ("r", 1)]
     assert q.column_exists(df, "k") and not q.column_exists(df, "x")
     assert q.column_type(df, "v", "string") and not q.column_type(df, "k", "string")
     assert rows(q.row_checks(df, {"k": F.col("k").isNull(), "v": q.not_accepted("v", ["a"])})) == [("k", 1), ("v", 2)]
