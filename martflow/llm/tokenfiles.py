@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from array import array
 from pathlib import PurePosixPath
 
 import numpy as np
@@ -31,21 +32,24 @@ from martflow.llm.common import pieces, read_bytes, table, whole
 from martflow.session import settle, shared_dir
 
 END = 2
-WORDS_KEPT = 300_000  # entries of a worker's table of known words
+STEMS_KEPT = 1_000_000  # entries of a worker's table of known stems, some 200 bytes each
 _LONG_WORD = 48
+_SIGNS = ".,;:!?#$%&*|()<>[]{}=+/\\_-"  # no apostrophe: with letters it is a part of its own
 _NO_ID = np.iinfo(np.int64).max  # stands for a null doc_id, which comes last
 _CODERS: dict = {}
 
 
 class Coder:
-    """A tokenizer that remembers the ids of words.
+    """A tokenizer that remembers the ids of word stems.
 
-    The vocabulary's own splitting drops white space and never joins what it
-    separates, so the ids of a text are those of its parts between spaces and
-    newlines, one after the other. Only parts not met before go to the tokenizer.
+    The vocabulary lowers its text, and its own splitting drops white space and
+    keeps runs of letters apart from runs of signs. So the ids of a text are
+    those of its parts between spaces and newlines, one after the other, and a
+    part's are those of its stem and of the signs behind it; the stem may be
+    lowered where it is ASCII. Only stems not met before go to the tokenizer.
     """
 
-    def __init__(self, vocabulary: bytes, kept: int = WORDS_KEPT):
+    def __init__(self, vocabulary: bytes, kept: int = STEMS_KEPT):
         self.tokenizer = Tokenizer.from_str(vocabulary.decode())
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
@@ -57,18 +61,30 @@ class Coder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as flat integers."""
         split = [text.replace("\n", " ").split(" ") for text in texts]
+        parts: dict[str, tuple[str, str]] = {}
+        for word in set().union(*split):
+            stem = word.rstrip(_SIGNS)
+            if not stem or not stem[-1].isalnum():
+                stem = word
+            parts[word] = (stem.lower() if stem.isascii() else stem), word[len(stem):]
+        wanted = {stem for stem, _ in parts.values()} | {signs for _, signs in parts.values()}
+        new = list(wanted.difference(self.known))
+        if len(self.known) + len(new) > self.kept:
+            self.known = {"": b""}
+            new = list(wanted - {""})
         known = self.known
-        new = list({word for words in split for word in words if word not in known})
-        if len(known) + len(new) > self.kept:
-            known = self.known = {"": b""}
-            new = list({word for words in split for word in words if word})
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        known.update((word, np.array(x.ids, dtype=self.kind).tobytes()) for word, x in zip(new, found))
-        out = [b"".join(map(known.__getitem__, words)) for words in split]
+        flat, ends = array(self.kind.char), [0]
+        for found in self.tokenizer.encode_batch_fast(new, add_special_tokens=False):
+            flat.extend(found.ids)
+            ends.append(len(flat))
+        data, width = flat.tobytes(), flat.itemsize
+        for word, start, end in zip(new, ends, ends[1:]):
+            known[word] = data[width * start:width * end]
+        ids = {word: known[stem] + known[signs] for word, (stem, signs) in parts.items()}
         for word in new:
             if len(word) > _LONG_WORD:
                 del known[word]
-        return out
+        return [b"".join(map(ids.__getitem__, words)) for words in split]
 
 
 def coder(vocabulary: bytes) -> Coder:
@@ -121,7 +137,7 @@ def write(docs: DataFrame, root: str, vocabulary: str, end: int = END) -> DataFr
             files.open_output_stream(f"{path}.doc") as doc_ids,
         ):
             offsets.write(np.zeros(1, dtype="<u8").tobytes())
-            for batch in pieces(batches, "text", 2 << 20):
+            for batch in pieces(batches, "text", 4 << 20):
                 found = [x + last for x in made.encode(batch.column("text").to_pylist())]
                 ends = n_ids + np.cumsum([len(x) for x in found]) // made.kind.itemsize
                 ids.write(b"".join(found))
