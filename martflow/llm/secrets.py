@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martflow.llm.common import pieces, table, whole
-from martflow.session import shared_dir
+from martflow.session import settle, shared_dir
 
 
 class Rule(NamedTuple):
@@ -136,7 +136,8 @@ def findings(versions: DataFrame, path: str, rules: tuple[Rule, ...] = RULES, te
             F.element_at(kinds, f["at"].cast("int")).alias("kind"), f["start"].alias("start"), f["end"].alias("end")
         ),
     )
-    known = ledger.groupBy("blob").agg(named.alias("findings"))
+    # Written, so that the join reads two plain tables and Spark can split a blob with many paths.
+    known = settle(ledger.groupBy("blob").agg(named.alias("findings")), "known")
     rest = versions.withColumn("blob", blob(text)).drop("findings", text)
     return rest.join(known, "blob", "left")
 
