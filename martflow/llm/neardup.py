@@ -7,13 +7,15 @@ about as often as the sets are alike.
 
 Documents with equal sets are one class. Bands of registers put classes into
 buckets, and links are looked for in two passes. In the first, each bucket's
-members are compared with its smallest one only. What that links is contracted;
-in the second, buckets that still hold several components compare members of
-different components. So a group of thousands of copies costs a comparison or a
-few for each member and not one for each pair, and no candidate is left out:
-members of one component need no further comparison. A candidate passes if the
-joint likelihood of both sketches doesn't rule the threshold out (by more than
-``SIGMAS`` standard deviations), and is then confirmed on the full sets.
+members are compared with its smallest one only: a candidate passes if the joint
+likelihood of both sketches doesn't rule the threshold out (by more than
+``SIGMAS`` standard deviations), and is then confirmed on the full sets. What
+that links is contracted. In the second pass, buckets that still hold several
+components compare members of different components inside the tasks, on the full
+sets, and give back only links that join two components. So a group of thousands
+of copies costs a comparison or a few for each member, no pairs are written
+down, and no candidate is left out: members of one component need no further
+comparison. Large buckets are cut into blocks, a task for every two of them.
 
 A pair at the threshold shares no band with a probability of 3 in ten million
 (40 bands of 4 registers); likelier the more alike it is.
@@ -38,8 +40,7 @@ BANDS, ROWS = 40, 4
 REGISTERS = BANDS * ROWS
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 1
 SIGMAS = 5.0
-PARITIES = 128  # registers whose last bits make the short sketch of the second pass
-_SHORT_MOST = 35  # differing bits: 16 are expected at the threshold, and 5 standard deviations are 19
+BLOCK = 2048  # members of a block of a bucket, and of several small buckets in one task, about
 _NO_ID = 1 << 62  # rows without an id get one from here on, by their text
 
 _DRAW = np.random.Generator(np.random.PCG64(75))
@@ -95,25 +96,19 @@ def plausible(n_a: np.ndarray, n_b: np.ndarray, a: np.ndarray, b: np.ndarray, al
 
 
 def sketches(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, node, n, sig, regs, short1, short2) of every row; ``sig`` identifies the set, empty sets have null."""
+    """(doc_id, node, n, sig, regs) of every row; ``sig`` identifies the set, empty sets have null."""
     def run(batches):
         for batch in pieces(batches, "text"):
             rows = [shingles(text, words) for text in batch.column("text").to_pylist()]
             regs = [registers(x) if len(x) else None for x in rows]
-            short = np.zeros((len(rows), 2), dtype="<i8")
-            for i, r in enumerate(regs):
-                if r is not None:
-                    short[i] = np.packbits((r[:PARITIES] & 1).astype(np.uint8)).view("<i8")
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("node"), pa.array([len(x) for x in rows], pa.int64()),
                  pa.array([hashlib.blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None for x in rows], pa.binary()),
-                 pa.array([r.tobytes() if r is not None else None for r in regs], pa.binary()),
-                 pa.array(short[:, 0].copy()), pa.array(short[:, 1].copy())],
-                names=["doc_id", "node", "n", "sig", "regs", "short1", "short2"],
+                 pa.array([r.tobytes() if r is not None else None for r in regs], pa.binary())],
+                names=["doc_id", "node", "n", "sig", "regs"],
             )
 
-    kinds = "doc_id bigint, node bigint, n bigint, sig binary, regs binary, short1 bigint, short2 bigint"
-    return _rows(docs).mapInArrow(run, kinds)
+    return _rows(docs).mapInArrow(run, "doc_id bigint, node bigint, n bigint, sig binary, regs binary")
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -174,6 +169,55 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, alike: int) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
+def joining_links(nodes: np.ndarray, labels: np.ndarray, sets: list[np.ndarray], alike: int) -> list[tuple[int, int]]:
+    """Links between members of different components, as many as join them; each member against all after it."""
+    labels, sizes = labels.copy(), np.array([len(x) for x in sets])
+    dense = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    edges = np.concatenate([[0], np.cumsum(sizes)])
+    held, found = np.zeros(dense.max() + 1, dtype=np.int32), []
+    for i in range(len(nodes) - 1):
+        low, high = np.minimum(sizes[i], sizes[i + 1:]), np.maximum(sizes[i], sizes[i + 1:])
+        others = i + 1 + np.flatnonzero((labels[i + 1:] != labels[i]) & (100 * low >= alike * high))
+        if not len(others):
+            continue
+        own = dense[edges[i]:edges[i + 1]]
+        held[own] = 1
+        at = np.concatenate([[0], np.cumsum(sizes[others])])
+        places = np.arange(at[-1]) + np.repeat(edges[others] - at[:-1], sizes[others])
+        both = np.add.reduceat(held[dense[places]], at[:-1])
+        held[own] = 0
+        for j in others[100 * both >= alike * (sizes[i] + sizes[others] - both)].tolist():
+            if labels[j] != labels[i]:
+                found.append((int(nodes[i]), int(nodes[j])))
+                labels[labels == labels[j]] = labels[i]
+    return found
+
+
+def _across(open_: DataFrame, alike: int) -> DataFrame:
+    """Links (a, b) inside the buckets of ``open_`` (key, node, component, members, hashes) that join components."""
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    rows = open_.withColumn("blocks", blocks).withColumn("own", own).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    )
+    bins = 1 + open_.count() // BLOCK
+    pair = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
+    dealt = rows.select("key", "node", "component", "hashes", F.when(F.col("blocks") > 1, pair).otherwise(F.pmod("key", F.lit(bins))).alias("bin"))
+
+    def run(group: pa.Table) -> pa.Table:
+        keys, nodes, labels = (group.column(name).to_numpy() for name in ("key", "node", "component"))
+        sets = group.column("hashes").combine_chunks()
+        order = np.lexsort((nodes, keys))
+        cuts = np.flatnonzero(np.diff(keys[order])) + 1
+        found = []
+        for some in np.split(order, cuts):
+            if labels[some].min() != labels[some].max():
+                found += joining_links(nodes[some], labels[some], [np.frombuffer(sets[i].as_buffer(), dtype="<u8") for i in some.tolist()], alike)
+        return pa.table({name: pa.array([x[i] for x in found], pa.int64()) for i, name in enumerate("ab")})
+
+    return dealt.groupBy("bin").applyInArrow(run, "a bigint, b bigint").distinct()
+
+
 def near_groups(docs: DataFrame, words: int = WORDS, alike: int = ALIKE) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text).
 
@@ -188,7 +232,7 @@ def near_groups(docs: DataFrame, words: int = WORDS, alike: int = ALIKE) -> Data
     sketched = settle(sketches(docs, words), "sketches")
     classes = settle(
         sketched.where("n > 0").groupBy("sig").agg(
-            F.min("node").alias("node"), *(F.any_value(c).alias(c) for c in ("n", "regs", "short1", "short2"))
+            F.min("node").alias("node"), *(F.any_value(c).alias(c) for c in ("n", "regs"))
         ),
         "classes",
     )
@@ -214,25 +258,13 @@ def near_groups(docs: DataFrame, words: int = WORDS, alike: int = ALIKE) -> Data
         "labelled",
     )
     mixed = settle(
-        labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .where("low < high").select("key"),
+        labelled.groupBy("key").agg(
+            F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members")
+        ).where("low < high").select("key", "members"),
         "mixed",
     )
-    short = settle(
-        labelled.join(mixed, "key").join(classes.select("node", "n", "short1", "short2"), "node"), "open"
-    )
-    side = lambda name: short.select(
-        "key", *(F.col(c).alias(f"{c}_{name}") for c in ("node", "component", "n", "short1", "short2"))
-    )
-    differ = sum(F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in ("short1", "short2"))
-    second = (
-        side("a").join(side("b"), "key")
-        .where((F.col("component_a") < F.col("component_b")) & (differ <= _SHORT_MOST))
-        .where(100 * F.least("n_a", "n_b") >= alike * F.greatest("n_a", "n_b"))
-        .select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
-        .distinct().join(first, ["a", "b"], "left_anti")
-    )
-    more = settle(_confirmed(settle(_likely(second, sketch, alike / 100), "likely"), sets, alike), "links")
+    open_ = settle(labelled.join(mixed, "key"), "open")
+    more = settle(_across(open_.join(sets, "node"), alike), "links")
     if not more.isEmpty():
         labels = components(links.union(more))
 

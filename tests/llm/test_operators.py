@@ -99,6 +99,13 @@ def test_edited_texts_and_equal_fingerprints(spark, awkward_docs, awkward):
     assert one["edited_sha256"] == plain.sha("abab") and one["near_next"] == 1.0
 
 
+@pytest.mark.parametrize("n", [0, 1, 2, 5, 16, 100])
+def test_ranges(spark, n):
+    cuts = sorted(random.Random(n).sample(range(-300, 300), n))
+    rows = spark.range(-310, 310).select("id", simhash._range_of("id", cuts).alias("r")).collect()
+    assert all(r["r"] == sum(c < r["id"] for c in cuts) for r in rows)
+
+
 def test_fingerprints_count_weighted_votes(spark):
     text = "alpha beta gamma alpha beta delta"
     frame = spark.createDataFrame([(1, text), (2, "")], "id bigint, t string")
@@ -255,6 +262,21 @@ def test_near_groups(awkward_docs, awkward, no_docs):
     assert neardup.near_groups(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("block", [1, 3, 2048])
+def test_buckets_of_several_components(spark, monkeypatch, block):
+    """A chain of texts whose neighbours only are alike, and a family that is nowhere alike enough."""
+    from samples import changed, prose
+
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    text, rows = prose(50, 120), []
+    for i in range(25):
+        text = " ".join(w if k % 25 != i else f"step{i}" for k, w in enumerate(text.split()))
+        rows.append((1000 - 7 * i, text))
+    rows += [(i, changed(prose(51, 200), i, 0.045)) for i in range(60)]
+    have = got(neardup.near_groups(spark.createDataFrame(rows, "doc_id bigint, text string")), "doc_id", "n_shingles", "component_id")
+    assert have == Counter(plain.near_groups(rows))
+
+
 def test_registers_merge_and_estimate():
     draw = np.random.default_rng(0)
     pool = draw.integers(0, 1 << 63, 2000, dtype=np.uint64) * np.uint64(2)
