@@ -13,6 +13,8 @@ keyed by one of the blocks and candidates are compared in full.
 
 from __future__ import annotations
 
+import json
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -130,28 +132,38 @@ def within(queries: DataFrame, prints: DataFrame, radius: int = 3) -> DataFrame:
 
 # ---- documents and their edited texts ----------------------------------------------------------
 
+def _range_of(name: str, cuts: list[int]) -> Column:
+    """How many of the ascending ``cuts`` lie below a value, by blocks of cuts and then inside one block."""
+    if not cuts:
+        return F.lit(0)
+    step = math.isqrt(len(cuts)) + 1
+    blocks = [cuts[i:i + step] for i in range(0, len(cuts), step)]
+    tops, inside = F.lit(json.dumps([x[-1] for x in blocks])), F.lit(json.dumps(blocks))
+    below = lambda values: F.size(F.filter(values, lambda x: x < F.col(name)))
+    whole_blocks = below(F.from_json(tops, "array<bigint>"))
+    rest = F.get(F.from_json(inside, "array<array<bigint>>"), whole_blocks)
+    return F.when(whole_blocks == len(blocks), F.lit(len(cuts))).otherwise(whole_blocks * step + below(rest))
+
+
 def with_next(docs: DataFrame, ranges: int) -> DataFrame:
     """(range, pos, doc_id, ghost, text, next): each text with that of the next document in descending id order.
 
     Ids are dealt to ranges at their quantiles, and the first text of each range
     is also put, as a ghost row, behind the last row of the range above it (the
     very first one behind the last range). So the next row is always in the same
-    range, and texts are shuffled once.
+    range, and texts are shuffled once. Broadcast is one id per range.
     """
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole().alias("text"))
     read = read.withColumn("_id", F.coalesce("doc_id", F.lit(_NO_ID)))
-    cuts = read.agg(F.percentile_approx("_id", [i / ranges for i in range(1, ranges)], 10_000)).head()[0] if ranges > 1 else None
-    cuts = sorted(set(cuts or []))
-    low = F.array(*(F.lit(x) for x in cuts)) if cuts else F.array().cast("array<bigint>")
-    ranged = read.withColumn("range", F.size(F.filter(low, lambda x: x < F.col("_id"))))
-    firsts = sorted(ranged.groupBy("range").agg(F.max("_id")).collect(), reverse=True)  # a row per range
-    above = [firsts[-1:] + firsts[:-1], firsts]
-    goes_to = [F.when(F.col("_id") == head[1], F.lit(up[0])) for up, head in zip(*above)]
+    cuts = read.agg(F.percentile_approx("_id", [i / ranges for i in range(1, ranges)], 10 * ranges)).head()[0] if ranges > 1 else None
+    ranged = read.withColumn("range", _range_of("_id", sorted(set(cuts or []))))
+    firsts = ranged.groupBy("range").agg(F.max("_id").alias("_id"))  # a row per range
+    above = F.lead("range").over(Window.orderBy("range"))
+    heads = firsts.select("_id", F.coalesce(above, F.min("range").over(Window.partitionBy())).alias("_to"))
     ghosts = (
-        ranged.where(F.col("_id").isin(*(head[1] for head in firsts)))
-        .groupBy("_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
-        .select(F.lit(None).cast("long").alias("doc_id"), "text", "_id", F.coalesce(*goes_to, F.lit(-1)).alias("range"),
-                F.lit(True).alias("ghost"))
+        ranged.join(F.broadcast(heads), "_id")
+        .groupBy("_id", "_to").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+        .select(F.lit(None).cast("long").alias("doc_id"), "text", "_id", F.col("_to").alias("range"), F.lit(True).alias("ghost"))
     )
     order = Window.partitionBy("range").orderBy("ghost", F.col("_id").desc(), F.xxhash64("text"))
     return ranged.withColumn("ghost", F.lit(False)).unionByName(ghosts).select(
