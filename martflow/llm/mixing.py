@@ -145,7 +145,7 @@ def query(spark, sf_dir: str) -> DataFrame:
     )
 
 
-def cast_sql(docs: str = "documents") -> str:
+def mix_sql(docs: str = "documents") -> str:
     """DuckDB: doc_id, source, size, source_size, target, place, copies of the mix of ``docs``."""
     return rf"""
 sized AS (
@@ -183,4 +183,4 @@ mixed AS (
   LEFT JOIN cuts c ON d.source IS NOT DISTINCT FROM c.source)"""
 
 
-SQL = f"WITH {cast_sql()} SELECT doc_id, size, source_size, target, (copies * size)::BIGINT AS taken FROM mixed"
+SQL = f"WITH {mix_sql()} SELECT doc_id, size, source_size, target, (copies * size)::BIGINT AS taken FROM mixed"
