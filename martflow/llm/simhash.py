@@ -13,7 +13,6 @@ keyed by one of the blocks and candidates are compared in full.
 
 from __future__ import annotations
 
-import json
 import math
 from functools import reduce
 
@@ -137,12 +136,12 @@ def _range_of(name: str, cuts: list[int]) -> Column:
     if not cuts:
         return F.lit(0)
     step = math.isqrt(len(cuts)) + 1
-    blocks = [cuts[i:i + step] for i in range(0, len(cuts), step)]
-    tops, inside = F.lit(json.dumps([x[-1] for x in blocks])), F.lit(json.dumps(blocks))
+    # Arrays that Spark folds to one literal each, however long they are.
+    numbers = lambda values: F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
     below = lambda values: F.size(F.filter(values, lambda x: x < F.col(name)))
-    whole_blocks = below(F.from_json(tops, "array<bigint>"))
-    rest = F.get(F.from_json(inside, "array<array<bigint>>"), whole_blocks)
-    return F.when(whole_blocks == len(blocks), F.lit(len(cuts))).otherwise(whole_blocks * step + below(rest))
+    tops = cuts[step - 1::step]
+    skipped = step * below(numbers(tops)) if tops else F.lit(0)
+    return skipped + below(F.slice(numbers(cuts), skipped + 1, step))
 
 
 def with_next(docs: DataFrame, ranges: int) -> DataFrame:
