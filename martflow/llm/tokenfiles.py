@@ -45,8 +45,10 @@ class Coder:
     The vocabulary lowers its text, and its own splitting drops white space and
     keeps runs of letters apart from runs of signs. So the ids of a text are
     those of its parts between spaces and newlines, one after the other, and a
-    part's are those of its stem and of the signs behind it; the stem may be
-    lowered where it is ASCII. Only stems not met before go to the tokenizer.
+    part's are those of its stem and of the signs behind it, where the stem's last
+    character still is a letter or number once the vocabulary has normalised it
+    (a letter that becomes base and mark joins the signs). The stem may be lowered
+    where it is ASCII. Only stems not met before go to the tokenizer.
     """
 
     def __init__(self, vocabulary: bytes, kept: int = STEMS_KEPT):
@@ -57,14 +59,24 @@ class Coder:
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.known: dict[str, bytes] = {"": b""}
         self.kept = kept
+        self.apart: dict[str, bool] = {}
+
+    def splits(self, last: str) -> bool:
+        """Whether the vocabulary takes signs behind the character ``last`` apart from it."""
+        if last not in self.apart:
+            normal = self.tokenizer.normalizer.normalize_str(last + _SIGNS)
+            pieces = self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)
+            self.apart[last] = last.isalnum() and pieces[-1][0] == _SIGNS
+        return self.apart[last]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as flat integers."""
         split = [text.replace("\n", " ").split(" ") for text in texts]
         parts: dict[str, tuple[str, str]] = {}
+        apart = self.apart
         for word in set().union(*split):
             stem = word.rstrip(_SIGNS)
-            if not stem or not stem[-1].isalnum():
+            if not stem or not (apart.get(stem[-1]) or self.splits(stem[-1])):
                 stem = word
             parts[word] = (stem.lower() if stem.isascii() else stem), word[len(stem):]
         wanted = {stem for stem, _ in parts.values()} | {signs for _, signs in parts.values()}

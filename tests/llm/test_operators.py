@@ -197,6 +197,17 @@ def test_token_files_of_no_documents(spark, no_docs):
     assert tokenfiles.read(tokenfiles.write(no_docs, root, public_tokenizers.path("word_bpe_49k.json")), root).count() == 0
 
 
+def test_signs_behind_any_letter_or_number():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer, made = Tokenizer.from_file(path), tokenfiles.Coder(open(path, "rb").read())
+    letters = [c for c in map(chr, range(0x110000)) if c.isalnum()]
+    words = [f"{before}{c}{signs}" for c in letters for before, signs in (("", "."), ("Ab", ",)"), ("e", "|>"))]
+    words += ["YENİ.", "YENİs.", "হয়,", "e\u0301.", "e\u0301s.", "\u1100\u1161.", "K;", "½%", "x\t.", "it's.", "it'."]
+    wanted = [x.ids for x in tokenizer.encode_batch(words, add_special_tokens=False)]
+    found = [np.frombuffer(x, dtype="<u2").tolist() for x in made.encode(words)]
+    assert [w for w, a, b in zip(words, found, wanted) if a != b] == []
+
+
 def test_known_words_are_forgotten_but_not_wrong():
     vocabulary = open(public_tokenizers.path("word_bpe_49k.json"), "rb").read()
     small, text = tokenfiles.Coder(vocabulary, kept=10), "It's  FINE ́x <|endoftext|> é a\tb 12 ½ 漢字"
