@@ -15,6 +15,7 @@ The files lie under a path that all executors share. It is opened as a local
 
 from __future__ import annotations
 
+import re
 import uuid
 import zlib
 from array import array
@@ -49,17 +50,25 @@ class Coder:
     character still is a letter or number once the vocabulary has normalised it
     (a letter that becomes base and mark joins the signs). The stem may be lowered
     where it is ASCII. Only stems not met before go to the tokenizer.
+
+    Strings of special tokens are found in the text as it is, before all that, and
+    have their own ids; what only becomes such a string when lowered is ordinary.
     """
 
     def __init__(self, vocabulary: bytes, kept: int = STEMS_KEPT):
-        self.tokenizer = Tokenizer.from_str(vocabulary.decode())
-        self.tokenizer.no_padding()
-        self.tokenizer.no_truncation()
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer, self.ordinary = (Tokenizer.from_str(vocabulary.decode()) for _ in range(2))
+        for each in (self.tokenizer, self.ordinary):
+            each.no_padding()
+            each.no_truncation()
+        self.ordinary.encode_special_tokens = True  # lowered stems hold no special tokens
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.known: dict[str, bytes] = {"": b""}
         self.kept = kept
         self.apart: dict[str, bool] = {}
+        added = self.tokenizer.get_added_tokens_decoder().items()
+        self.special = {x.content: np.array([i], dtype=self.kind).tobytes() for i, x in added}
+        longest_first = sorted(self.special, key=len, reverse=True)
+        self.marks = re.compile("|".join(map(re.escape, longest_first)) or "(?!)")
 
     def splits(self, last: str) -> bool:
         """Whether the vocabulary takes signs behind the character ``last`` apart from it."""
@@ -71,10 +80,10 @@ class Coder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as flat integers."""
-        split = [text.replace("\n", " ").split(" ") for text in texts]
+        split = [self.marks.sub(r" \g<0> ", text).replace("\n", " ").split(" ") for text in texts]
         parts: dict[str, tuple[str, str]] = {}
         apart = self.apart
-        for word in set().union(*split):
+        for word in set().union(*split).difference(self.special):
             stem = word.rstrip(_SIGNS)
             if not stem or not (apart.get(stem[-1]) or self.splits(stem[-1])):
                 stem = word
@@ -86,13 +95,14 @@ class Coder:
             new = list(wanted - {""})
         known = self.known
         flat, ends = array(self.kind.char), [0]
-        for found in self.tokenizer.encode_batch_fast(new, add_special_tokens=False):
+        for found in self.ordinary.encode_batch_fast(new, add_special_tokens=False):
             flat.extend(found.ids)
             ends.append(len(flat))
         data, width = flat.tobytes(), flat.itemsize
         for word, start, end in zip(new, ends, ends[1:]):
             known[word] = data[width * start:width * end]
         ids = {word: known[stem] + known[signs] for word, (stem, signs) in parts.items()}
+        ids.update(self.special)
         for word in new:
             if len(word) > _LONG_WORD:
                 del known[word]

@@ -208,6 +208,19 @@ def test_signs_behind_any_letter_or_number():
     assert [w for w, a, b in zip(words, found, wanted) if a != b] == []
 
 
+def test_special_strings_in_a_text(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    texts = [
+        "a <|endoftext|> b", "Ab<|endoftext|>Ab.<|startoftext|>", "<|endoftext|>.", "<|ENDOFTEXT|>x <|EndOfText|>", "<|endoftext",
+        "<|endoftext|><|endoftext|>\u0301e", "<|<|endoftext|>|>\n<|endoftext|>\n", "e<|endoftext|>\u0301 'S<|endoftext|>'s",
+    ]
+    root = shared_dir(spark, "token-test")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows = tokenfiles.read(tokenfiles.write(docs, root, path), root).orderBy("doc_id").collect()
+    assert [r["ids"] for r in rows] == [tokenizer.encode(text, add_special_tokens=False).ids + [2] for text in texts]
+
+
 def test_known_words_are_forgotten_but_not_wrong():
     vocabulary = open(public_tokenizers.path("word_bpe_49k.json"), "rb").read()
     small, text = tokenfiles.Coder(vocabulary, kept=10), "It's  FINE ́x <|endoftext|> é a\tb 12 ½ 漢字"
