@@ -7,8 +7,9 @@ and, near a boundary, to each further list whose centroid is hardly farther.
 Centroids are searched in a neighbour graph that each task holds in memory, and
 a query reads the lists whose distance is within a ratio of the nearest one's.
 That ratio is measured: sampled queries are answered by brute force, and it is
-the smallest one that would have found ``recall`` of their neighbours. There is
-no cap on lists.
+the smallest one whose walk through the graph finds ``recall`` of their
+neighbours. There is no cap on lists. Where the lists so found can't hold k
+other rows for certain, the next nearest ones are read as well.
 
 Lists are packed into shards of about ``shard`` rows (a long list fills several)
 and queries are sent to the shards of their lists, in slices; scores are summed
@@ -35,6 +36,7 @@ SHARD = 8192  # rows of a shard, about
 SLICE = 16_384  # queries of one slice, about
 TRIED = 256  # queries that the ratio is measured with
 _DEGREE, _STEP, _BATCH = 24, 4, 256
+_NEAR = 1e-12  # distances below it count as this
 
 
 def usable(vec: str) -> Column:
@@ -108,6 +110,8 @@ class Index(NamedTuple):
     boundary: float  # a vector goes to lists within this ratio of its nearest
     copies: int  # and to so many at most
     ratio: float  # a query reads lists within this ratio of its nearest
+    counts: np.ndarray | None = None  # ids of each list, every id counted in one of its lists
+    least: int = 0  # a query reads lists until they have so many, or all
 
     def lift(self, x: np.ndarray) -> np.ndarray:
         rest = np.sqrt(np.maximum(self.longest**2 - (x * x).sum(1), 0))
@@ -127,7 +131,7 @@ class Index(NamedTuple):
         away, opened, all_ = np.full((n, k), np.inf), np.zeros((n, k), bool), np.arange(n)[:, None]
         away[:, self.entries] = np.sqrt(_squares(x, self.centres[self.entries]))
         while True:
-            limit = away.min(1, keepdims=True) * ratio * slack
+            limit = np.maximum(away.min(1, keepdims=True), _NEAR) * ratio * slack
             waiting = np.where(opened | (away > limit), np.inf, away)
             step = min(_STEP, k)
             next_ = np.argpartition(waiting, step - 1, axis=1)[:, :step]
@@ -141,7 +145,7 @@ class Index(NamedTuple):
             row, col = np.broadcast_to(rows[:, None], near.shape)[new], near[new]
             gap = x[row] - self.centres[col]
             away[row, col] = np.sqrt(np.einsum("ij,ij->i", gap, gap))
-        return np.where(away <= away.min(1, keepdims=True) * ratio, away, np.inf)
+        return np.where(away <= np.maximum(away.min(1, keepdims=True), _NEAR) * ratio, away, np.inf)
 
     def lists_of(self, x: np.ndarray) -> list[np.ndarray]:
         """The lists that hold each vector, nearest first."""
@@ -153,10 +157,18 @@ class Index(NamedTuple):
         return found
 
     def lists_for(self, q: np.ndarray) -> list[np.ndarray]:
-        """The lists that each query reads."""
+        """The lists that each query reads: those in reach, and the next nearest until ``least`` ids are in them."""
         found = []
         for at in range(0, len(q), _BATCH):
-            found += [np.flatnonzero(np.isfinite(a)) for a in self.reach(self.aim(q[at:at + _BATCH]), self.ratio)]
+            aims = self.aim(q[at:at + _BATCH])
+            read = np.isfinite(self.reach(aims, self.ratio))
+            if self.counts is not None:
+                short = np.flatnonzero(read @ self.counts < self.least)
+                order = np.argsort(_squares(aims[short], self.centres), axis=1, kind="stable")
+                more = np.take_along_axis(np.where(read[short], 0, self.counts), order, 1)
+                before = (read[short] @ self.counts)[:, None] + more.cumsum(1) - more
+                read[short[:, None], order] |= before < self.least
+            found += [np.flatnonzero(r) for r in read]
         return found
 
 
@@ -230,10 +242,32 @@ def _measured_ratio(index: Index, vectors: DataFrame, queries: DataFrame, k: int
     true = brute_force(vectors, ids, asked, k).select("query_id", "vec").toArrow()  # TRIED * k rows
     if not len(true):
         return 1.0
-    away = dict(zip(ids.tolist(), np.sqrt(_squares(index.aim(asked), index.centres))))
+    away = np.sqrt(_squares(index.aim(asked), index.centres))
     held = index.lists_of(matrix(true.column("vec"), index.dim))
-    needed = [away[q][lists].min() / max(away[q].min(), 1e-12) for q, lists in zip(true.column("query_id").to_pylist(), held)]
-    return float(np.quantile(needed, recall, method="higher")) * (1 + 1e-9)
+    place = {q: i for i, q in enumerate(ids.tolist())}
+    of = [place[q] for q in true.column("query_id").to_pylist()]
+    needed = np.array([away[i][lists].min() / max(away[i].min(), _NEAR) for i, lists in zip(of, held)])
+    # As if no walk lost a list; no smaller ratio will do.
+    least = np.quantile(needed, recall, method="higher")
+
+    def enough(ratio: float) -> bool:
+        read = [set(x.tolist()) for x in index._replace(ratio=ratio).lists_for(asked)]
+        return np.mean([not read[i].isdisjoint(lists.tolist()) for i, lists in zip(of, held)]) >= recall
+
+    ratios = np.unique(needed[needed >= least]) * (1 + 1e-9)
+    low, high = 0, len(ratios)
+    while low < high:  # the first that is enough; most often the very first
+        middle = (low + high) // 2 if low else 0
+        if enough(float(ratios[middle])):
+            high = middle
+        else:
+            low = middle + 1
+    if low < len(ratios):
+        return float(ratios[low])
+    ratio = float(ratios[-1])
+    while not enough(ratio):
+        ratio *= 1.1
+    return ratio
 
 
 # ---- search ------------------------------------------------------------------------------------
@@ -313,6 +347,10 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, vec_id: str = "
     sizes = np.zeros(len(index.centres), dtype=np.int64)
     for row in postings.groupBy("list").count().collect():  # a row per list
         sizes[row["list"]] = row["count"]
+    counts = np.zeros(len(sizes), dtype=np.int64)
+    for row in postings.groupBy("vec_id").agg(F.min("list").alias("list")).groupBy("list").count().collect():
+        counts[row["list"]] = row["count"]
+    index = index._replace(counts=counts, least=k + 1)  # a query's own id may be one of them
     blocks = np.maximum(1, -(-sizes // shard))
     # Lists fill shards one after the other; a long one has shards of its own.
     first = np.zeros(len(sizes), dtype=np.int64)

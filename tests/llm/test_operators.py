@@ -408,6 +408,26 @@ def test_neighbours_of_clustered_vectors(spark):
     assert hits >= 0.9 * 20 * len(want)
 
 
+def test_queries_on_a_small_group_find_k_rows(spark):
+    draw = np.random.default_rng(6)
+    x = draw.normal(size=(1000, 8))
+    x /= np.sqrt((x * x).sum(1, keepdims=True))
+    x[:60] = [2, 0, 0, 0, 0, 0, 0, 0]  # copies on their centroid, the longest vectors
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    asked = frame.where("vec_id = 0 OR vec_id % 10 = 9 AND vec_id > 60")
+    found = Counter(r["query_id"] for r in vectors.nearest(frame, asked, 100, list_=20).collect())
+    assert set(found.values()) == {100} and len(found) == 95
+
+
+def test_lists_are_read_until_they_hold_enough():
+    centres = np.array([[1.0, 0, 0], [0, 1, 0], [-1, 0, 0], [0, -1, 0]])
+    graph, entries = vectors._graph(centres)
+    index = vectors.Index(2, 1.0, centres, graph, entries, 1.03, 3, 1.0, np.array([2, 5, 0, 30]), 21)
+    asked = np.array([[1, 0.1], [0.1, -1]])
+    assert [x.tolist() for x in index.lists_for(asked)] == [[0, 1, 3], [3]]
+    assert [x.tolist() for x in index._replace(least=99).lists_for(asked)] == [[0, 1, 2, 3]] * 2
+
+
 def test_neighbours_of_few_and_bad_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [0.5, 0.5]), (3, None), (4, [0.0, 0.0]), (5, [1.0, None]), (6, [nan, 1.0]),
