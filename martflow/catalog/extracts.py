@@ -135,10 +135,14 @@ def page_fields(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+NAV = r"(?s)<nav(?:\s[^>]*)?>(.*?)</nav>"
+NAV_ITEM = r"(?s)<li(?:\s[^>]*)?>.*?</li>"
+
+
 def page_links(spark: SparkSession, sf: str) -> DataFrame:
     return extract_items(
-        table(spark, sf, "pages"), "<li>.*?</li>", {"label": ">([^<]*)</a>", "target": 'href="([^"]*)"'},
-        within="<nav>(.*?)</nav>", keep=["page_id"],
+        table(spark, sf, "pages"), NAV_ITEM, {"label": ">([^<]*)</a>", "target": 'href="([^"]*)"'},
+        within=NAV, keep=["page_id"],
     )
 
 

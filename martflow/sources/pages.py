@@ -58,7 +58,8 @@ def extract_items(
     keep: Sequence[str] = (),
     html: str = "html",
 ) -> DataFrame:
-    """One row per match of ``item`` (inside the first match of ``within``), with ``fields`` of the item."""
-    area = F.regexp_extract(html, within, 1) if within else F.col(html)
-    items = df.select(*keep, F.explode(F.regexp_extract_all(area, F.lit(item), F.lit(0))).alias("_item"))
+    """One row per match of ``item`` (inside any match of ``within``), with ``fields`` of the item."""
+    areas = F.regexp_extract_all(html, F.lit(within), F.lit(1)) if within else F.array(html)
+    every = F.flatten(F.transform(areas, lambda area: F.regexp_extract_all(area, F.lit(item), F.lit(0))))
+    items = df.select(*keep, F.explode(every).alias("_item"))
     return items.select(*keep, *(field(F.col("_item"), pattern).alias(name) for name, pattern in fields.items()))

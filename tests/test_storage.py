@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from martflow import schemas
+from martflow.catalog import extracts
 from martflow.session import clear_shared, settle, shared_dir, ship
 from martflow.sinks import writers as w
 from martflow.sources import extract, readers
@@ -250,6 +251,15 @@ def test_page_rules(spark):
         (1, "Gold price", ["1", "2"], 5), (2, None, [], 0), (3, None, None, None)]
 
 
+def test_links_of_every_nav(spark, monkeypatch):
+    html = '<nav><ul><li><a href="/a">A</a></li></ul></nav><li><a href="/no">no</a></li>' \
+           '<nav class="foot"\n id="n"><ul>\n<li class="x"><a\n href="/b">B</a>\n</li>\n<li><a href="/c">C</a></li></ul></nav>' \
+           '<navy><li><a href="/d">D</a></li></navy>'
+    pages = spark.createDataFrame([(1, html), (2, "<p>no"), (3, None)], "page_id int, html string")
+    monkeypatch.setattr(extracts, "table", lambda *_: pages)
+    assert rows(extracts.page_links(spark, "")) == [(1, "A", "/a"), (1, "B", "/b"), (1, "C", "/c")]
+
+
 def test_schemas_match_the_feed():
     assert len(schemas.MOVEMENT_FIELDS) == 29 and set(schemas.MOVEMENT_TIMES) <= set(schemas.MOVEMENT_FIELDS)
     tables = schemas.RETAIL
