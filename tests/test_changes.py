@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from martflow.operators import history, mutate
 from martflow.sinks.writers import union_evolving
 from martflow.sources.extract import find

@@ -6,7 +6,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from martflow.functions import jsontext, labels, numbers, times, vectors
 from martflow.operators import quality as q
 from martflow.sources.readers import flatten

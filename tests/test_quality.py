@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.testing import assertDataFrameEqual
 
-from conftest import rows
+from frames import rows
 from martflow.operators import aggregates as agg
 from martflow.operators import quality as q
 from martflow.operators.joins import fan_out_left_join, lookup

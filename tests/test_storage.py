@@ -10,7 +10,7 @@ import sys
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from martflow import schemas
 from martflow.catalog import extracts
 from martflow.session import clear_shared, settle, shared_dir, ship

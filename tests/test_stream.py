@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import rows
+from frames import rows
 from martflow.streaming import movements as mv
 
 
