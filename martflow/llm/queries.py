@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from martflow.llm import lines, mixing, neardup, passages, quality, secrets, simhash, tokenfiles, tokens, vectors
+from martflow.llm import conversations, lines, mixing, neardup, passages, quality, secrets, simhash, tokenfiles, tokens, vectors
 
 ENTRIES = {
     "op1_quality_gam": (quality.query, None),
@@ -15,4 +15,5 @@ ENTRIES = {
     "op8_line_shards": (lines.query, lines.SQL),
     "op9_posting_lists": (vectors.query, None),
     "op10_source_mix": (mixing.query, mixing.SQL),
+    "op11_turn_repair": (conversations.query, None),
 }

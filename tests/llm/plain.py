@@ -91,3 +91,77 @@ def base_spans(text):
 
 def crc(ids):
     return zlib.crc32(b"".join(int(x).to_bytes(4, "little") for x in ids))
+
+
+# ---- conversations -----------------------------------------------------------------------------
+
+def damaged(rows):
+    """(conv_id, turn, role, text) after the query's faults."""
+    said = lambda x: " " if x is None else str(x)
+    out = []
+    for conv, turn, role, text in rows:
+        fault = zlib.crc32(f"{said(conv)}:{said(turn)}".encode()) % 20
+        text = "" if fault == 1 else re.sub("[.!?]", "", said(text)) if fault == 2 else said(text)
+        out += [(conv, turn, "user" if fault == 4 else said(role), text)] * (0 if fault == 0 else 2 if fault == 3 else 1)
+    return out
+
+
+def order_of_turns(row):
+    _, turn, role, text = row
+    return turn is not None, turn or 0, (role or " ").encode(), hashlib.sha256((" " if text is None else text).encode()).digest()
+
+
+def repaired(rows):
+    """Per conv_id of (conv_id, turn, role, text): gaps, faults, cost, audit and repaired text, by trying all edits."""
+    said = lambda x: " " if x is None else x
+    convs = defaultdict(list)
+    for row in rows:
+        convs[row[0]].append(row)
+    out = {}
+    for conv, own in convs.items():
+        own.sort(key=order_of_turns)
+        own = [(turn, said(role), said(text)) for _, turn, role, text in own]
+        faults, seen = [], set()
+        for _, role, text in own:
+            bare = text.strip(" \t\n\x0b\x0c\r")
+            faults.append("blank" if not bare else "duplicate" if (role, text) in seen else "truncated" if bare[-1] not in ".!?" else "")
+            seen.add((role, text))
+        # Every way to read the rows so far, by the roles' initials that matter: the last one, and whether there are any.
+        best = {"": (0, "", ())}
+
+        def insert(best):
+            for _ in range(3):
+                for state, (cost, audit, kept) in list(best.items()):
+                    role = "assistant" if state == "u" else "user"
+                    new = (cost + 3, audit + "I", kept + (f"{role}:",))
+                    if role[0] not in best or new[:2] < best[role[0]][:2]:
+                        best[role[0]] = new
+            return best
+
+        for (_, role, text), fault in zip(own, faults):
+            after = {}
+            for state, (cost, audit, kept) in insert(dict(best)).items():
+                options = [("D", None, 4)]
+                if fault in ("", "truncated"):
+                    more = 3 * (fault == "truncated")
+                    options += [("K", role, more), ("R", "user", 3 + more), ("R", "assistant", 3 + more)]
+                for edit, name, price in options:
+                    if name is None:
+                        to, line = state, ()
+                    elif name[:1] == "s" and state == "" or name[:1] == "u" and state in ("", "s", "a") or name[:1] == "a" and state == "u":
+                        to, line = name[:1], (f"{name}:{text}",)
+                    else:
+                        continue
+                    new = (cost + price, audit + edit, kept + line)
+                    if to not in after or new[:2] < after[to][:2]:
+                        after[to] = new
+            best = after
+        cost, audit, kept = min(v for k, v in insert(dict(best)).items() if k in ("", "a"))
+        turns = [t for t, _, _ in own if t is not None]
+        pairs = [a[1][:1] + b[1][:1] for a, b in zip(own, own[1:])]
+        out[conv] = (
+            max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0,
+            *(faults.count(k) for k in ("blank", "duplicate", "truncated")),
+            sum(p not in ("su", "ua", "au") for p in pairs), cost, audit, "\n".join(kept),
+        )
+    return out
