@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -165,3 +166,22 @@ def repaired(rows):
             sum(p not in ("su", "ua", "au") for p in pairs), cost, audit, "\n".join(kept),
         )
     return out
+
+
+# ---- hard negatives ----------------------------------------------------------------------------
+
+def hard_negatives(rows, is_anchor, positives=5, negatives=3, low=50, high=95):
+    """(anchor_id, positive_id, rank, negative_id, positive_score, negative_score) of (vec_id, embedding, label), by all pairs."""
+    good = lambda v: v is not None and all(x is not None and math.isfinite(256 * x) for x in v)
+    used = [(i, [math.floor(256 * x) for x in v], label) for i, v, label in rows if i is not None and label is not None and good(v)]
+    out = []
+    for at, (anchor, a, label) in enumerate(used):
+        if not is_anchor(anchor):
+            continue
+        scored = sorted(
+            (-max(-(2**63) + 1, min(2**63 - 1, sum(x * y for x, y in zip(a, b)))), i, other)
+            for place, (i, b, other) in enumerate(used) if place != at and len(b) == len(a))
+        for p, i, _ in [s for s in scored if s[2] == label][:positives]:
+            inside = [s for s in scored if s[2] != label and low * -p <= 100 * -s[0] <= high * -p][:negatives]
+            out += [(anchor, i, rank + 1, n[1], -p, -n[0]) for rank, n in enumerate(inside)]
+    return out
