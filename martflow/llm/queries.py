@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from martflow.llm import conversations, lines, mixing, neardup, negatives, passages, quality, secrets, simhash, tokenfiles, tokens, vectors
+from martflow.llm import conversations, lines, mixing, neardup, negatives, passages, quality, secrets, simhash, tokenfiles, tokens, urls, vectors
 
 ENTRIES = {
     "op1_quality_gam": (quality.query, None),
@@ -16,5 +16,6 @@ ENTRIES = {
     "op9_posting_lists": (vectors.query, None),
     "op10_source_mix": (mixing.query, mixing.SQL),
     "op11_turn_repair": (conversations.query, None),
+    "op12_url_filter": (urls.query, None),
     "op13_angular_negatives": (negatives.query, None),
 }
