@@ -15,10 +15,12 @@ The files lie under a path that all executors share. It is opened as a local
 
 from __future__ import annotations
 
+import gc
 import re
 import uuid
 import zlib
 from array import array
+from collections.abc import Callable
 from pathlib import PurePosixPath
 
 import numpy as np
@@ -33,15 +35,17 @@ from martflow.llm.common import pieces, read_bytes, table, whole
 from martflow.session import settle, shared_dir
 
 END = 2
-STEMS_KEPT = 1_000_000  # entries of a worker's table of known stems, some 200 bytes each
+KEPT_BYTES = 192 << 20  # of a worker's table of known words and stems
 _LONG_WORD = 48
+_ENTRY = 150  # bytes of an entry besides its letters and ids
 _SIGNS = ".,;:!?#$%&*|()<>[]{}=+/\\_-"  # no apostrophe: with letters it is a part of its own
 _NO_ID = np.iinfo(np.int64).max  # stands for a null doc_id, which comes last
+_LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(chr(c) for c in range(0xDF, 0x100) if c != 0xF7)
 _CODERS: dict = {}
 
 
 class Coder:
-    """A tokenizer that remembers the ids of word stems.
+    """A tokenizer that remembers the ids of words and of their stems.
 
     The vocabulary lowers its text, and its own splitting drops white space and
     keeps runs of letters apart from runs of signs. So the ids of a text are
@@ -49,24 +53,26 @@ class Coder:
     part's are those of its stem and of the signs behind it, where the stem's last
     character still is a letter or number once the vocabulary has normalised it
     (a letter that becomes base and mark joins the signs). The stem may be lowered
-    where it is ASCII. Only stems not met before go to the tokenizer.
+    where it is ASCII. Only words not met before are taken apart, and only stems not met before
+    go to the tokenizer.
 
     Strings of special tokens are found in the text as it is, before all that, and
     have their own ids; what only becomes such a string when lowered is ordinary.
     """
 
-    def __init__(self, vocabulary: bytes, kept: int = STEMS_KEPT):
+    def __init__(self, vocabulary: bytes, kept: int = KEPT_BYTES):
         self.tokenizer, self.ordinary = (Tokenizer.from_str(vocabulary.decode()) for _ in range(2))
         for each in (self.tokenizer, self.ordinary):
             each.no_padding()
             each.no_truncation()
         self.ordinary.encode_special_tokens = True  # lowered stems hold no special tokens
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {"": b""}
         self.kept = kept
         self.apart: dict[str, bool] = {}
         added = self.tokenizer.get_added_tokens_decoder().items()
         self.special = {x.content: np.array([i], dtype=self.kind).tobytes() for i, x in added}
+        self.known = _Table(self.special)
+        self.plain, self.letters = self._plain_letters()
         longest_first = sorted(self.special, key=len, reverse=True)
         self.marks = re.compile("|".join(map(re.escape, longest_first)) or "(?!)")
 
@@ -81,32 +87,85 @@ class Coder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as flat integers."""
         split = [self.marks.sub(r" \g<0> ", text).replace("\n", " ").split(" ") for text in texts]
-        parts: dict[str, tuple[str, str]] = {}
-        apart = self.apart
-        for word in set().union(*split).difference(self.special):
+        new = self.known.lacking(set().union(*split), self.kept)
+        if new:
+            self._learn(new)
+        ids = [b"".join(map(self.known.__getitem__, words)) for words in split]
+        self.known.forget_long()
+        return ids
+
+    def _learn(self, words: set[str]) -> None:
+        known, apart, wanted, joined, parts = self.known, self.apart, set(), [], []
+        for word in words:
             stem = word.rstrip(_SIGNS)
-            if not stem or not (apart.get(stem[-1]) or self.splits(stem[-1])):
+            if stem is not word and (not stem or not (apart.get(stem[-1]) or self.splits(stem[-1]))):
                 stem = word
-            parts[word] = (stem.lower() if stem.isascii() else stem), word[len(stem):]
-        wanted = {stem for stem, _ in parts.values()} | {signs for _, signs in parts.values()}
-        new = list(wanted.difference(self.known))
-        if len(self.known) + len(new) > self.kept:
-            self.known = {"": b""}
-            new = list(wanted - {""})
-        known = self.known
-        flat, ends = array(self.kind.char), [0]
-        for found in self.ordinary.encode_batch_fast(new, add_special_tokens=False):
-            flat.extend(found.ids)
-            ends.append(len(flat))
-        data, width = flat.tobytes(), flat.itemsize
-        for word, start, end in zip(new, ends, ends[1:]):
-            known[word] = data[width * start:width * end]
-        ids = {word: known[stem] + known[signs] for word, (stem, signs) in parts.items()}
-        ids.update(self.special)
-        for word in new:
-            if len(word) > _LONG_WORD:
-                del known[word]
-        return [b"".join(map(ids.__getitem__, words)) for words in split]
+            low = stem.lower() if stem.isascii() else stem
+            wanted.add(low)
+            if len(low) != len(word):
+                wanted.add(signs := word[len(stem):])
+                joined.append(word)
+                parts.append((low, signs))
+            elif low != word:
+                joined.append(word)
+                parts.append((low, ""))
+        new = list(wanted.difference(known))
+        known.learn(new, self._encoded(new))
+        known.learn(joined, [known[stem] + known[signs] for stem, signs in parts])
+
+    def _encoded(self, stems: list[str]) -> list[bytes]:
+        """The ids of each stem: by the model alone where it is one piece of plain letters, else by the whole tokenizer."""
+        kind, found, rest = self.kind.char, [b""] * len(stems), []
+        plain, letters, tokenize = self.plain, self.letters, self.ordinary.model.tokenize
+        for i, stem in enumerate(stems):
+            if plain(stem):
+                pieces_ = tokenize(stem if stem.isascii() else stem.translate(letters))
+                found[i] = array(kind, [piece.id for piece in pieces_]).tobytes()
+            else:
+                rest.append(i)
+        encoded = self.ordinary.encode_batch_fast([stems[i] for i in rest], add_special_tokens=False)
+        for i, one in zip(rest, encoded):
+            found[i] = array(kind, one.ids).tobytes()
+        return found
+
+    def _plain_letters(self) -> tuple[Callable, dict[int, str]]:
+        """Which stems are lower-case letters that the vocabulary neither changes nor takes apart, and how it spells their bytes."""
+        normal, split = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        if normal is None or split is None or normal.normalize_str(_LETTERS) != _LETTERS:
+            return re.compile("(?!)").match, {}
+        spelled = {c: split.pre_tokenize_str(c) for c in _LETTERS}
+        together = split.pre_tokenize_str(_LETTERS)
+        if len(together) != 1 or together[0][0] != "".join(x[0][0] for x in spelled.values()):
+            return re.compile("(?!)").match, {}
+        return re.compile(f"[{_LETTERS}]+").fullmatch, {ord(c): x[0][0] for c, x in spelled.items()}
+
+
+class _Table(dict):
+    """Ids by word, up to a number of bytes; beyond it, and for long words, only for as long as a batch needs them."""
+
+    def __init__(self, always: dict[str, bytes]):
+        super().__init__({"": b"", **always})
+        self.always = dict(self)
+        self.bytes = 0
+        self.long: list[str] = []
+
+    def lacking(self, words: set[str], most: int) -> set[str]:
+        """Those of ``words`` that are to be learned. A full table is emptied first."""
+        if self.bytes > most:
+            self.clear()
+            self.update(self.always)
+            self.bytes = 0
+        return words.difference(self)
+
+    def learn(self, words: list[str], ids: list[bytes]) -> None:
+        self.update(zip(words, ids))
+        self.bytes += _ENTRY * len(words) + sum(map(len, words)) + sum(map(len, ids))
+        self.long += [word for word in words if len(word) > _LONG_WORD]
+
+    def forget_long(self) -> None:
+        for word in self.long:
+            self.bytes -= _ENTRY + len(word) + len(self.pop(word, b""))
+        self.long.clear()
 
 
 def coder(vocabulary: bytes) -> Coder:
@@ -115,6 +174,17 @@ def coder(vocabulary: bytes) -> Coder:
     return _CODERS[vocabulary]
 
 
+def _without_collector(call, *given):
+    """The result of a call that makes many objects and no cycles, which the collector would look through again and again."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        return call(*given)
+    finally:
+        if was:
+            gc.enable()
+
+
 def _opened(root: str) -> tuple[pafs.FileSystem, str]:
     """The file system of a path and the path in it."""
     if "://" in root or root.startswith("file:"):
@@ -160,7 +230,7 @@ def write(docs: DataFrame, root: str, vocabulary: str, end: int = END) -> DataFr
         ):
             offsets.write(np.zeros(1, dtype="<u8").tobytes())
             for batch in pieces(batches, "text", 4 << 20):
-                found = [x + last for x in made.encode(batch.column("text").to_pylist())]
+                found = [x + last for x in _without_collector(made.encode, batch.column("text").to_pylist())]
                 ends = n_ids + np.cumsum([len(x) for x in found]) // made.kind.itemsize
                 ids.write(b"".join(found))
                 offsets.write(ends.astype("<u8").tobytes())

@@ -208,6 +208,17 @@ def test_signs_behind_any_letter_or_number():
     assert [w for w, a, b in zip(words, found, wanted) if a != b] == []
 
 
+def test_words_of_plain_letters():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer, made = Tokenizer.from_file(path), tokenfiles.Coder(open(path, "rb").read())
+    letters = tokenfiles._LETTERS
+    assert made.plain("naïveté") and not made.plain("don't") and not made.plain("x1") and not made.plain("e\u0301")
+    words = [a + b for a in letters for b in letters] + [f"{a}{b.upper()}{a}{b}".title() for a in letters for b in letters[::3]]
+    words += ["straße", "STRASSE", "Ÿÿ", "ŸÖ", "été.", "ÉTÉ!", "a" * 500, "éa" * 300]
+    wanted = [x.ids for x in tokenizer.encode_batch(words, add_special_tokens=False)]
+    assert [np.frombuffer(x, dtype="<u2").tolist() for x in made.encode(words)] == wanted
+
+
 def test_special_strings_in_a_text(spark):
     path = public_tokenizers.path("word_bpe_49k.json")
     tokenizer = Tokenizer.from_file(path)
