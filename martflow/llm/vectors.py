@@ -22,6 +22,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -59,22 +60,44 @@ def _rows(x: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.ascontiguousarray(x).ravel()))
 
 
-def inner(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """All inner products, each summed in the order of the components."""
-    total = np.zeros((len(queries), len(vectors)))
-    for j in range(queries.shape[1]):
-        total += queries[:, j, None] * vectors[None, :, j]
-    return total
+def nearest_rows(q: np.ndarray, itself: np.ndarray, x: np.ndarray, own: np.ndarray, k: int, allowed: np.ndarray | None = None
+                 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, row, score): each query's k best rows of other ids, an id once; ties to smaller ids.
 
-
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k largest scores, ties to smaller ids."""
-    if len(scores) > k:
-        least = np.partition(scores, len(scores) - k)[len(scores) - k]
-        at = np.flatnonzero(scores >= least)
-    else:
-        at = np.arange(len(scores))
-    return at[np.lexsort((ids[at], -scores[at]))[:k]]
+    ``itself``: the queries' own ids. ``allowed``: (n, m), which rows a query may
+    find. A matrix product tells which rows can be among the best, with a slack
+    above its rounding; only those are scored, each product summed in the order of
+    the components, so equal vectors tie exactly.
+    """
+    if not len(q) or not len(x):
+        return np.empty(0, int), np.empty(0, int), np.empty(0)
+    order = np.argsort(own, kind="stable")
+    x, own = x[order], own[order]
+    near = q @ x.T
+    lost = own[None, :] == itself[:, None]
+    if allowed is not None:
+        lost |= ~allowed[:, order]
+    near[lost] = -np.inf
+    first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+    by_id = near if len(first) == len(own) else np.maximum.reduceat(near, first, axis=1)
+    m = by_id.shape[1]
+    least = np.partition(by_id, m - k, axis=1)[:, m - k] if m > k else np.full(len(q), -np.inf)
+    length = np.sqrt((q * q).sum(1)) * np.sqrt((x * x).sum(1).max())
+    close = near >= (least - 1e-15 * (4 + q.shape[1]) * length)[:, None]
+    row, col = np.nonzero(close & ~lost)
+    score = np.zeros(len(row))
+    for j in range(q.shape[1]):
+        score += q[row, j] * x[col, j]
+    rank = np.lexsort((own[col], -score, row))
+    row, col, score = row[rank], col[rank], score[rank]
+    # The best row of each id, then the first k of each query.
+    pair = np.lexsort((np.arange(len(row)), own[col], row))
+    best = np.ones(len(row), bool)
+    best[pair[1:]] = (row[pair[1:]] != row[pair[:-1]]) | (own[col[pair[1:]]] != own[col[pair[:-1]]])
+    row, col, score = row[best], col[best], score[best]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    kept = place < k
+    return row[kept], order[col[kept]], score[kept]
 
 
 # ---- centroids ---------------------------------------------------------------------------------
@@ -212,14 +235,11 @@ def brute_force(vectors: DataFrame, ids: np.ndarray, asked: np.ndarray, k: int)
     def run(batches):
         for batch in batches:
             x, own = matrix(batch.column("vec"), dim), batch.column("vec_id").to_numpy()
-            scores = inner(asked, x)
-            for q, row in zip(ids.tolist(), scores):
-                at = _best(np.where(own == q, -np.inf, row), own, k)
-                at = at[own[at] != q]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(at), q)), pa.array(own[at]), pa.array(row[at]), _rows(x[at])],
-                    names=["query_id", "vec_id", "score", "vec"],
-                )
+            query, row, score = nearest_rows(asked, ids, x, own, k)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[query]), pa.array(own[row]), pa.array(score), _rows(x[row])],
+                names=["query_id", "vec_id", "score", "vec"],
+            )
 
     found = vectors.select("vec_id", "vec").mapInArrow(run, "query_id bigint, vec_id bigint, score double, vec array<double>")
     return ranked(found, k)
@@ -292,29 +312,22 @@ def _search(k: int, dim: int):
     def run(key, stored: pa.Table, asked: pa.Table) -> pa.Table:
         if not len(stored) or not len(asked):
             return out.empty_table()
-        x, own, lists = matrix(stored.column("vec"), dim), stored.column("vec_id").to_numpy(), stored.column("list").to_numpy()
+        x, own = matrix(stored.column("vec"), dim), stored.column("vec_id").to_numpy()
+        held, at = np.unique(stored.column("list").to_numpy(), return_inverse=True)
         q, ids = matrix(asked.column("vec"), dim), asked.column("query_id").to_numpy()
-        wanted = asked.column("lists").to_pylist()
-        found: list[list] = [[] for _ in ids]
-        for one in np.unique(lists):
-            members = np.flatnonzero(lists == one)
-            who = np.array([i for i, w in enumerate(wanted) if one in w], dtype=int)
-            for at in range(0, len(who), _BATCH):
-                some = who[at:at + _BATCH]
-                for i, row in zip(some, inner(q[some], x[members])):
-                    others = own[members] != ids[i]
-                    best = _best(row[others], own[members][others], k)
-                    found[i].append((row[others][best], own[members][others][best]))
+        wanted = asked.column("lists").combine_chunks()
         tables = []
-        for i, parts_ in enumerate(found):
-            if parts_:
-                scores, vec_ids = (np.concatenate(x) for x in zip(*parts_))
-                vec_ids, first = np.unique(vec_ids, return_index=True)
-                best = _best(scores[first], vec_ids, k)
-                tables.append((np.full(len(best), ids[i]), vec_ids[best], scores[first][best]))
-        if not tables:
-            return out.empty_table()
-        return pa.Table.from_arrays([pa.array(np.concatenate(x)) for x in zip(*tables)], schema=out)
+        for start in range(0, len(q), _BATCH):
+            some = wanted.slice(start, _BATCH)
+            reads = np.zeros((len(some), len(held)), bool)
+            place = np.searchsorted(held, some.flatten().to_numpy())
+            who = np.repeat(np.arange(len(some)), pc.list_value_length(some).to_numpy())
+            known = (place < len(held)) & (held[np.minimum(place, len(held) - 1)] == some.flatten().to_numpy())
+            reads[who[known], place[known]] = True
+            own_ids = ids[start:start + _BATCH]
+            query, row, score = nearest_rows(q[start:start + _BATCH], own_ids, x, own, k, reads[:, at])
+            tables.append((own_ids[query], own[row], score))
+        return pa.Table.from_arrays([pa.array(np.concatenate(c)) for c in zip(*tables)], schema=out)
 
     return run
 

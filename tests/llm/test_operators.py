@@ -402,6 +402,34 @@ def best(rows, k):
     return out
 
 
+def test_nearest_rows_of_many_copies_and_repeated_ids():
+    draw = np.random.default_rng(9)
+    x = draw.normal(size=(400, 7))
+    x[50:120] = x[50]  # ties, to smaller ids
+    x[130:160] = -x[50]
+    own = draw.permutation(400)
+    own[200:260] = own[200]  # an id that would fill the best k
+    x[200:260] += 5
+    q, itself = draw.normal(size=(30, 7)), np.r_[own[50:60], own[200:210], np.arange(1000, 1010)]
+    q[0] = x[50]
+    allowed = draw.random((30, 400)) < 0.7
+    allowed[3] = False
+    for k in (1, 5, 500):
+        for limit in (None, allowed):
+            row, col, score = vectors.nearest_rows(q, itself, x, own, k, limit)
+            for i in range(30):
+                found = {}
+                for j in range(400):
+                    if own[j] != itself[i] and (limit is None or limit[i, j]):
+                        total = 0.0
+                        for a, b in zip(q[i].tolist(), x[j].tolist()):
+                            total += a * b
+                        found[own[j]] = max(total, found.get(own[j], -np.inf))
+                want = sorted(found.items(), key=lambda p: (-p[1], p[0]))[:k]
+                assert list(zip(own[col[row == i]], score[row == i])) == want
+    assert [len(a) for a in vectors.nearest_rows(q, itself, x[:0], own[:0], 3)] == [0, 0, 0]
+
+
 def test_neighbours_of_clustered_vectors(spark):
     draw = np.random.default_rng(4)
     centres = draw.normal(size=(12, 16)) * 3
