@@ -71,7 +71,8 @@ class Coder:
         self.apart: dict[str, bool] = {}
         added = self.tokenizer.get_added_tokens_decoder().items()
         self.special = {x.content: np.array([i], dtype=self.kind).tobytes() for i, x in added}
-        self.known = _Table(self.special)
+        self.known = _Known({"": b"", **self.special}, self.learn)
+        self.pieces = self.ordinary.model.tokenize
         self.plain, self.letters = self._plain_letters()
         longest_first = sorted(self.special, key=len, reverse=True)
         self.marks = re.compile("|".join(map(re.escape, longest_first)) or "(?!)")
@@ -86,47 +87,26 @@ class Coder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as flat integers."""
+        known = self.known
+        if known.bytes > self.kept:
+            known.forget()
         split = [self.marks.sub(r" \g<0> ", text).replace("\n", " ").split(" ") for text in texts]
-        new = self.known.lacking(set().union(*split), self.kept)
-        if new:
-            self._learn(new)
-        ids = [b"".join(map(self.known.__getitem__, words)) for words in split]
-        self.known.forget_long()
-        return ids
-
-    def _learn(self, words: set[str]) -> None:
-        known, apart, wanted, joined, parts = self.known, self.apart, set(), [], []
-        for word in words:
-            stem = word.rstrip(_SIGNS)
-            if stem is not word and (not stem or not (apart.get(stem[-1]) or self.splits(stem[-1]))):
-                stem = word
-            low = stem.lower() if stem.isascii() else stem
-            wanted.add(low)
-            if len(low) != len(word):
-                wanted.add(signs := word[len(stem):])
-                joined.append(word)
-                parts.append((low, signs))
-            elif low != word:
-                joined.append(word)
-                parts.append((low, ""))
-        new = list(wanted.difference(known))
-        known.learn(new, self._encoded(new))
-        known.learn(joined, [known[stem] + known[signs] for stem, signs in parts])
-
-    def _encoded(self, stems: list[str]) -> list[bytes]:
-        """The ids of each stem: by the model alone where it is one piece of plain letters, else by the whole tokenizer."""
-        kind, found, rest = self.kind.char, [b""] * len(stems), []
-        plain, letters, tokenize = self.plain, self.letters, self.ordinary.model.tokenize
-        for i, stem in enumerate(stems):
-            if plain(stem):
-                pieces_ = tokenize(stem if stem.isascii() else stem.translate(letters))
-                found[i] = array(kind, [piece.id for piece in pieces_]).tobytes()
-            else:
-                rest.append(i)
-        encoded = self.ordinary.encode_batch_fast([stems[i] for i in rest], add_special_tokens=False)
-        for i, one in zip(rest, encoded):
-            found[i] = array(kind, one.ids).tobytes()
-        return found
+        return [b"".join(map(known.__getitem__, words)) for words in split]
+
+    def learn(self, word: str) -> bytes:
+        """The ids of a word not met before: of its stem in lower case and of the signs behind it, or of itself."""
+        stem = word.rstrip(_SIGNS)
+        if stem is not word and (not stem or not (self.apart.get(stem[-1]) or self.splits(stem[-1]))):
+            stem = word
+        low = stem.lower() if stem.isascii() else stem
+        if low != word:
+            signs = word[len(low):]
+            return self.known[low] + self.known[signs] if signs else self.known[low]
+        if self.plain(word):
+            found = [piece.id for piece in self.pieces(word if word.isascii() else word.translate(self.letters))]
+        else:
+            found = self.ordinary.encode(word, add_special_tokens=False).ids
+        return array(self.kind.char, found).tobytes()
 
     def _plain_letters(self) -> tuple[Callable, dict[int, str]]:
         """Which stems are lower-case letters that the vocabulary neither changes nor takes apart, and how it spells their bytes."""
@@ -140,32 +120,24 @@ class Coder:
         return re.compile(f"[{_LETTERS}]+").fullmatch, {ord(c): x[0][0] for c, x in spelled.items()}
 
 
-class _Table(dict):
-    """Ids by word, up to a number of bytes; beyond it, and for long words, only for as long as a batch needs them."""
+class _Known(dict):
+    """Ids by word. A word that isn't there is learned, and kept unless it is long."""
+
+    def __init__(self, always: dict[str, bytes], learn: Callable[[str], bytes]):
+        super().__init__(always)
+        self.always, self.learn, self.bytes = always, learn, 0
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.learn(word)
+        if len(word) <= _LONG_WORD:
+            self[word] = ids
+            self.bytes += _ENTRY + len(word) + len(ids)
+        return ids
 
-    def __init__(self, always: dict[str, bytes]):
-        super().__init__({"": b"", **always})
-        self.always = dict(self)
+    def forget(self) -> None:
+        self.clear()
+        self.update(self.always)
         self.bytes = 0
-        self.long: list[str] = []
-
-    def lacking(self, words: set[str], most: int) -> set[str]:
-        """Those of ``words`` that are to be learned. A full table is emptied first."""
-        if self.bytes > most:
-            self.clear()
-            self.update(self.always)
-            self.bytes = 0
-        return words.difference(self)
-
-    def learn(self, words: list[str], ids: list[bytes]) -> None:
-        self.update(zip(words, ids))
-        self.bytes += _ENTRY * len(words) + sum(map(len, words)) + sum(map(len, ids))
-        self.long += [word for word in words if len(word) > _LONG_WORD]
-
-    def forget_long(self) -> None:
-        for word in self.long:
-            self.bytes -= _ENTRY + len(word) + len(self.pop(word, b""))
-        self.long.clear()
 
 
 def coder(vocabulary: bytes) -> Coder:
