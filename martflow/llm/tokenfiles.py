@@ -35,7 +35,7 @@ from martflow.llm.common import pieces, read_bytes, table, whole
 from martflow.session import settle, shared_dir
 
 END = 2
-KEPT_BYTES = 192 << 20  # of a worker's table of known words and stems
+KEPT_BYTES = 64 << 20  # of a worker's table of known words and stems
 _LONG_WORD = 48
 _ENTRY = 150  # bytes of an entry besides its letters and ids
 _SIGNS = ".,;:!?#$%&*|()<>[]{}=+/\\_-"  # no apostrophe: with letters it is a part of its own
