@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from martflow.catalog import changes, checks, columns, extracts, marts, retrieval, storage, stream
+from martflow.catalog import changes, checks, columns, extracts, incremental, marts, retrieval, storage, stream
 
-MODULES = [marts, extracts, columns, changes, storage, checks, retrieval, stream]
+MODULES = [marts, extracts, columns, changes, storage, checks, retrieval, stream, incremental]
 
 
 def entries() -> dict:

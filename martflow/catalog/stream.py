@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from martflow.catalog.retail import table
-from martflow.schemas import MOVEMENT_FIELDS, MOVEMENT_TIMES
+from martflow.schemas import MOVEMENT_FIELDS, MOVEMENT_TIMES, MOVEMENTS
 from martflow.session import shared_dir
 from martflow.streaming import movements as mv
+from martflow.streaming.redelivery import land_once
 
 
 def _filler(i: int, name: str) -> Column:
@@ -80,6 +81,22 @@ def landed_dead_letters(spark: SparkSession, sf: str) -> DataFrame:
     return of_feed.union(of_topic).groupBy("stage", "reason").agg(F.count("*").alias("n"))
 
 
+def redelivered_movements(spark: SparkSession, sf: str) -> DataFrame:
+    """Movements of a topic that is read from its start again after a restart, with repeats and late records: how often each landed."""
+    base = shared_dir(spark, "redelivered")
+    records = mv.to_topic_records(mv.explode_feed(feed(spark, sf)))
+    number = F.get_json_object("value", "$.toc_id").cast("bigint")
+    early = records.where(number % 5 != 0)
+    deliveries = [early.unionByName(early.where(number % 3 == 0)), records]
+    for lines in deliveries:
+        lines.write.mode("append").text(f"{base}/topic")
+        topic = mv.stream_files(spark, f"{base}/topic")
+        land_once(topic, f"{base}/raw", f"{base}/state", F.lit("1970-01-01").cast("date")).awaitTermination()
+    good = mv.landed(spark, f"{base}/raw", MOVEMENTS).where("status = 'good'")
+    at = F.col("actual_timestamp").cast("timestamp_ntz").alias("actual_timestamp")
+    return good.groupBy("train_id", "event_type", at).agg(F.count("*").alias("n"))
+
+
 def feed_dead_letters(spark: SparkSession, sf: str) -> DataFrame:
     _, dead = mv.parse_feed(feed(spark, sf))
     return dead.groupBy("reason").agg(F.count("*").alias("n"))
@@ -128,6 +145,13 @@ ENTRIES = {
         landed_dead_letters,
         "select 'feed' as stage, 'broken JSON' as reason, count(*) as n from events where event_type = 'error'",
     ),
+    "redelivered_movements": (
+        redelivered_movements,
+        f"""select train_id, event_type, moved_at as actual_timestamp, case when train_id is null or moved_at is null then count(*) else 1 end as n
+            from (select case when event_type <> 'signup' then 'T' || user_id end as train_id, event_type, {_MS} as moved_at
+                  from events where event_type in ('view', 'purchase', 'signup'))
+            group by train_id, event_type, moved_at""",
+    ),
     "feed_movements": (
         feed_movements,
         f"""select event_id, '0003' as msg_type,
