@@ -35,7 +35,7 @@ from martflow.llm.common import pieces, read_bytes, table, whole
 from martflow.session import settle, shared_dir
 
 END = 2
-KEPT_BYTES = 64 << 20  # of a worker's table of known words and stems
+KEPT_BYTES = 48 << 20  # of a worker's table of known words and stems, of which it has two at most
 _LONG_WORD = 48
 _ENTRY = 150  # bytes of an entry besides its letters and ids
 _SIGNS = ".,;:!?#$%&*|()<>[]{}=+/\\_-"  # no apostrophe: with letters it is a part of its own
@@ -89,7 +89,7 @@ class Coder:
         """The ids of each text as flat integers."""
         known = self.known
         if known.bytes > self.kept:
-            known.forget()
+            known.age()
         split = [self.marks.sub(r" \g<0> ", text).replace("\n", " ").split(" ") for text in texts]
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
@@ -121,20 +121,28 @@ class Coder:
 
 
 class _Known(dict):
-    """Ids by word. A word that isn't there is learned, and kept unless it is long."""
+    """Ids by word. A word that isn't there is learned, and kept unless it is long.
+
+    A full table becomes the older one, and its words come back as they are met
+    again; those that weren't met since are gone with the next change.
+    """
 
     def __init__(self, always: dict[str, bytes], learn: Callable[[str], bytes]):
         super().__init__(always)
         self.always, self.learn, self.bytes = always, learn, 0
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.learn(word)
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.learn(word)
         if len(word) <= _LONG_WORD:
             self[word] = ids
             self.bytes += _ENTRY + len(word) + len(ids)
         return ids
 
-    def forget(self) -> None:
+    def age(self) -> None:
+        self.older = dict(self)
         self.clear()
         self.update(self.always)
         self.bytes = 0
