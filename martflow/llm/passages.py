@@ -12,14 +12,18 @@ The distinct segments of the other anchors are dealt to shards. Each shard makes
 a compressed FM-index of its segments (suffix order, BWT, wavelet matrix) and
 streams the segments through it: backward search gives the matching statistics
 of every place, and those that reach the window's length with two occurrences
-are reported. An anchor with more than ``CROWD`` distinct segments (a very common
-line in many documents) isn't put in one shard: its windows are dealt by
-their own hashes, which splits it evenly.
+are reported. An anchor whose distinct segments have more than ``CROWD`` words (a
+very common line in many documents) isn't put in one shard: its windows are dealt
+by their own hashes, which splits it evenly.
+
+Segments and windows are told apart by 128 bits, their own hash and their anchor,
+and rows by two 64-bit hashes.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +39,8 @@ from martflow.session import settle
 
 WINDOW = 35
 GRAM = 8
-CROWD = 2048  # distinct segments of one anchor in one shard, at most
 SHARD = 1 << 18  # words of a shard, about
+CROWD = SHARD // 8  # words of one anchor's distinct segments in a shard, at most
 LONGEST = 1024  # windows of a segment
 
 
@@ -83,65 +87,73 @@ def segments(words: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> tuple
 
 def _row(text: str = "text") -> Column:
     """A row's identity: rows of one id and text get the same outcome."""
-    return F.xxhash64("doc_id", whole(text))
+    return F.struct(F.xxhash64("doc_id", whole(text)).alias("a"), F.xxhash64(F.lit(1), whole(text), "doc_id").alias("b"))
+
 
+ROW = "row struct<a:bigint,b:bigint>"
 
-def _segmented(docs: DataFrame, window: int, gram: int) -> DataFrame:
+
+def _segmented(docs: DataFrame, window: int, gram: int, spans: Callable) -> DataFrame:
     def run(batches):
         for batch in pieces(batches, "text"):
-            found = {"row": [], "start": [], "windows": [], "anchor": [], "seg": [], "occurs": []}
-            for row, text in zip(batch.column("row").to_pylist(), batch.column("text").to_pylist()):
+            at, found = [], {"start": [], "windows": [], "anchor": [], "seg": [], "occurs": []}
+            for i, text in enumerate(batch.column("text").to_pylist()):
                 words = word_hashes(text.encode())
                 starts, counts, anchor, occurs = segments(words, window, gram)
                 if len(starts):
-                    seg = span_hashes(words, starts, starts + counts + window - 1)
-                    for name, x in (("row", np.full(len(starts), row)), ("start", starts), ("windows", counts),
-                                    ("anchor", anchor.view(np.int64)), ("seg", seg.view(np.int64)), ("occurs", occurs)):
+                    at.append(np.full(len(starts), i))
+                    seg = spans(words, starts, starts + counts + window - 1)
+                    for name, x in (("start", starts), ("windows", counts), ("anchor", anchor.view(np.int64)),
+                                    ("seg", seg.view(np.int64)), ("occurs", occurs)):
                         found[name].append(x)
-            if found["row"]:
-                yield pa.RecordBatch.from_pydict({
-                    name: pa.array(np.concatenate(x), pa.int32() if name in ("start", "windows", "occurs") else pa.int64())
+            if at:
+                columns = {
+                    name: pa.array(np.concatenate(x), pa.int64() if name in ("anchor", "seg") else pa.int32())
                     for name, x in found.items()
-                })
+                }
+                rows = batch.column("row").take(pa.array(np.concatenate(at)))
+                yield pa.RecordBatch.from_arrays([rows, *columns.values()], names=["row", *columns])
 
-    return docs.mapInArrow(run, "row bigint, start int, windows int, anchor bigint, seg bigint, occurs int")
+    return docs.mapInArrow(run, f"{ROW}, start int, windows int, anchor bigint, seg bigint, occurs int")
 
 
 def _extracted(docs: DataFrame, asked: DataFrame, window: int) -> DataFrame:
     """For the asked segments (row, list of start, windows, anchor, seg, crowded): their words or their windows' hashes.
 
-    A crowded segment gives a row per window with the window's hash as ``anchor``;
-    others give one row with their word hashes.
+    A crowded segment gives a row per window with the window's ``hash``; others
+    give one row with their word hashes.
     """
     def run(batches):
         for batch in pieces(batches, "text"):
-            out = {"anchor": [], "seg": [], "offset": [], "crowded": [], "words": []}
+            out = {"anchor": [], "seg": [], "offset": [], "hash": [], "crowded": [], "words": []}
             for text, wanted in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist()):
                 words = word_hashes(text.encode())
                 for one in wanted:
                     start, n = one["start"], one["windows"]
                     if one["crowded"]:
                         at = np.arange(start, start + n)
-                        out["anchor"] += span_hashes(words, at, at + window).view(np.int64).tolist()
+                        out["hash"] += span_hashes(words, at, at + window).view(np.int64).tolist()
                         out["offset"] += range(n)
+                        out["anchor"] += [one["anchor"]] * n
                         out["seg"] += [one["seg"]] * n
                         out["crowded"] += [True] * n
                         out["words"] += [None] * n
                     else:
-                        for name, x in (("anchor", one["anchor"]), ("seg", one["seg"]), ("offset", 0), ("crowded", False),
+                        for name, x in (("anchor", one["anchor"]), ("seg", one["seg"]), ("offset", 0), ("hash", None), ("crowded", False),
                                         ("words", words[start:start + n + window - 1].tobytes())):
                             out[name].append(x)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out["anchor"], pa.int64()), pa.array(out["seg"], pa.int64()), pa.array(out["offset"], pa.int32()),
-                 pa.array(out["crowded"], pa.bool_()), pa.array(out["words"], pa.binary())], names=list(out),
+                 pa.array(out["hash"], pa.int64()), pa.array(out["crowded"], pa.bool_()), pa.array(out["words"], pa.binary())],
+                names=list(out),
             )
 
     texts = docs.select("row", "text").join(asked.hint("shuffle_hash"), "row")
-    return texts.mapInArrow(run, "anchor bigint, seg bigint, offset int, crowded boolean, words binary")
+    return texts.mapInArrow(run, "anchor bigint, seg bigint, offset int, hash bigint, crowded boolean, words binary")
 
 
 def _searched(window: int):
-    """Repeated windows among one shard's segments, by its FM-index: (seg, offset) of each."""
+    """Repeated windows among one shard's segments, by its FM-index: (anchor, seg, offset) of each."""
     def run(rows: pa.Table) -> pa.Table:
         contents = [np.frombuffer(x.as_buffer(), dtype="<u8") for x in rows.column("words")]
         sizes = np.array([len(x) for x in contents])
@@ -157,60 +169,62 @@ def _searched(window: int):
         which = np.repeat(once, n)
         offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         long_enough = index.matched(text, starts[which] + offset + window, window) >= window
+        places = pa.array(which[long_enough])
         return pa.Table.from_arrays(
-            [rows.column("seg").combine_chunks().take(pa.array(which[long_enough])), pa.array(offset[long_enough], pa.int32())],
-            names=["seg", "offset"],
+            [*(rows.column(name).combine_chunks().take(places) for name in ("anchor", "seg")), pa.array(offset[long_enough], pa.int32())],
+            names=["anchor", "seg", "offset"],
         )
 
     return run
 
 
-def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, crowd: int = CROWD, shard: int = SHARD) -> DataFrame:
+def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, crowd: int = CROWD, shard: int = SHARD,
+                   spans: Callable = span_hashes) -> DataFrame:
     """(row, spans): word ranges [from, to) of each row of ``docs`` (row, text) that repeated windows cover."""
-    runs = settle(_segmented(docs, window, gram), "segments")
+    key = ["anchor", "seg"]
+    runs = settle(_segmented(docs, window, gram, spans), "segments")
     anchors = settle(runs.groupBy("anchor").agg(F.sum("occurs").alias("n")).where("n > 1").select("anchor"), "anchors")
     shared = settle(runs.join(anchors, "anchor"), "shared")
     kinds = settle(
-        shared.groupBy("anchor", "seg").agg(
+        shared.groupBy(*key).agg(
             F.count(F.lit(1)).alias("places"), F.min(F.struct("row", "start")).alias("at"), F.any_value("windows").alias("windows"),
             F.any_value("occurs").alias("occurs"),
         ),
         "kinds",
     )
+    size = F.col("windows") + (window - 1)
     variety = settle(
-        kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"), F.max("occurs").alias("occurs"))
+        kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"), F.max("occurs").alias("occurs"), F.sum(size).alias("words"))
         .where("kinds > 1 OR occurs > 1")
-        .select("anchor", (F.col("kinds") > crowd).alias("crowded")), "variety",
+        .select("anchor", (F.col("words") > crowd).alias("crowded")), "variety",
     )
     open_ = settle(
-        kinds.join(variety, "anchor").select("anchor", "seg", "places", "windows", "crowded", "at.row", "at.start"), "open"
+        kinds.join(variety, "anchor").select(*key, "places", "windows", "crowded", "at.row", "at.start"), "open"
     )
-    asked = open_.groupBy("row").agg(F.collect_list(F.struct("start", "windows", "anchor", "seg", "crowded")).alias("wanted"))
+    asked = open_.groupBy("row").agg(F.collect_list(F.struct("start", "windows", *key, "crowded")).alias("wanted"))
     extracted = settle(_extracted(docs, settle(asked, "asked"), window), "extracted")
-    places = open_.select("seg", "places", "crowded").dropDuplicates(["seg"])
+    places = open_.select(*key, "places", "crowded")
 
-    total = open_.where("NOT crowded").agg(F.sum(F.col("windows") + window)).head()[0] or 0
+    total = open_.where("NOT crowded").agg(F.sum(size + 1)).head()[0] or 0
     shards = max(1 + total // shard, min(parts(docs), 1 + total // (shard // 16)))
     contents = (
-        extracted.where("NOT crowded").dropDuplicates(["anchor", "seg"]).join(places.where("NOT crowded").drop("crowded"), "seg")
+        extracted.where("NOT crowded").select(*key, "words").dropDuplicates(key).join(places.where("NOT crowded").drop("crowded"), key)
         .withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)).cast("int"))
     )
-    found = contents.groupBy("shard").applyInArrow(_searched(window), "seg bigint, offset int")
+    found = contents.groupBy("shard").applyInArrow(_searched(window), "anchor bigint, seg bigint, offset int")
 
+    # Equal windows have equal anchors.
     windows = settle(
-        extracted.where("crowded").select(F.col("anchor").alias("hash"), "seg", "offset").distinct()
-        .join(places.where("crowded").drop("crowded"), "seg"),
+        extracted.where("crowded").select("hash", *key, "offset").distinct().join(places.where("crowded").drop("crowded"), key),
         "windows",
     )
-    often = settle(windows.groupBy("hash").agg(F.sum("places").alias("n")).where("n > 1").select("hash"), "often")
-    found = found.union(windows.where("places = 1").join(often, "hash").select("seg", "offset"))
+    often = settle(windows.groupBy("hash", "anchor").agg(F.sum("places").alias("n")).where("n > 1").select("hash", "anchor"), "often")
+    found = found.union(windows.where("places = 1").join(often, ["hash", "anchor"]).select(*key, "offset"))
 
-    partly = found.select("seg", F.struct("offset", (F.col("offset") + window).alias("to")).alias("part"))
-    wholly = kinds.where("places > 1").select(
-        "seg", F.struct(F.lit(0).alias("offset"), (F.col("windows") + window - 1).alias("to")).alias("part")
-    )
-    marks = settle(partly.union(wholly).groupBy("seg").agg(F.collect_set("part").alias("parts")), "marks")
-    placed = shared.select("row", "start", "seg").join(marks, "seg").select(
+    partly = found.select(*key, F.struct("offset", (F.col("offset") + window).alias("to")).alias("part"))
+    wholly = kinds.where("places > 1").select(*key, F.struct(F.lit(0).alias("offset"), size.alias("to")).alias("part"))
+    marks = settle(partly.union(wholly).groupBy(*key).agg(F.collect_set("part").alias("parts")), "marks")
+    placed = shared.select("row", "start", *key).join(marks, key).select(
         "row", F.explode(F.transform("parts", lambda p: F.struct(
             (F.col("start") + p["offset"]).alias("from"), (F.col("start") + p["to"]).alias("to")))).alias("span"),
     )

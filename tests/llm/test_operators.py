@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import plain
+from samples import prose
 from martflow.llm import common, fmindex, graph, lines, mixing, neardup, passages, quality, secrets, simhash, tokenfiles, tokens, vectors
 from martflow.session import shared_dir
 
@@ -300,7 +301,6 @@ def test_near_groups(awkward_docs, awkward, no_docs):
 @pytest.mark.parametrize("block", [1, 3, 2048])
 def test_buckets_of_several_components(spark, monkeypatch, block):
     """A chain of texts whose neighbours only are alike, and a family that is nowhere alike enough."""
-    from samples import changed, prose
 
     monkeypatch.setattr(neardup, "BLOCK", block)
     text, rows = prose(50, 120), []
@@ -338,7 +338,7 @@ def test_components_of_chains_and_stars(spark):
 
 # ---- 7 passages --------------------------------------------------------------------------------
 
-@pytest.mark.parametrize("crowd", [0, 1, 2048])
+@pytest.mark.parametrize("crowd", [0, 300, 1 << 20])
 def test_passages(awkward_docs, awkward, crowd):
     cut = passages.cut_passages(awkward_docs, crowd=crowd, shard=500)
     want = Counter((doc, *x) for (doc, _), x in zip(awkward, plain.cut_passages(awkward)))
@@ -347,6 +347,19 @@ def test_passages(awkward_docs, awkward, crowd):
     assert set(cut.columns) == set(awkward_docs.columns)
 
 
+@pytest.mark.parametrize("crowd", [0, 1 << 20])
+def test_passages_where_hashes_are_equal(spark, monkeypatch, crowd):
+    texts = [prose(i, 300) for i in range(60)]
+    texts += [f"{prose(100 + i, 30)} {texts[i][i:i + 900]} {prose(200 + i, 30 + i)}" for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(5)
+    want = [(i, *x) for i, x in enumerate(plain.cut_passages(list(enumerate(texts))))]
+    # Few values for segments, and one for a half of the rows' names: what is left tells them apart.
+    few = lambda words, starts, ends: passages.span_hashes(words, starts, ends) & np.uint64(0xFFFFF)
+    monkeypatch.setattr(passages, "_row", lambda text="text": F.struct(F.lit(7).cast("long").alias("a"), F.xxhash64("doc_id", text).alias("b")))
+    found = passages.cut_passages(docs, spans=few, crowd=crowd, shard=2000)
+    assert sorted(tuple(r) for r in found.select("doc_id", "n_words", "n_removed", "text").collect()) == want
+
+
 def test_passages_of_no_documents(no_docs):
     assert passages.cut_passages(no_docs).count() == 0
 
