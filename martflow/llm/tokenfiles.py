@@ -35,7 +35,7 @@ from martflow.llm.common import pieces, read_bytes, table, whole
 from martflow.session import settle, shared_dir
 
 END = 2
-KEPT_BYTES = 48 << 20  # of a worker's table of known words and stems, of which it has two at most
+KEPT_BYTES = 16 << 20  # of a worker's table of known words and stems, of which it has two at most
 _LONG_WORD = 48
 _ENTRY = 150  # bytes of an entry besides its letters and ids
 _SIGNS = ".,;:!?#$%&*|()<>[]{}=+/\\_-"  # no apostrophe: with letters it is a part of its own
@@ -209,7 +209,7 @@ def write(docs: DataFrame, root: str, vocabulary: str, end: int = END) -> DataFr
             files.open_output_stream(f"{path}.doc") as doc_ids,
         ):
             offsets.write(np.zeros(1, dtype="<u8").tobytes())
-            for batch in pieces(batches, "text", 4 << 20):
+            for batch in pieces(batches, "text", 2 << 20):
                 found = [x + last for x in _without_collector(made.encode, batch.column("text").to_pylist())]
                 ends = n_ids + np.cumsum([len(x) for x in found]) // made.kind.itemsize
                 ids.write(b"".join(found))
