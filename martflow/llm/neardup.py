@@ -11,11 +11,13 @@ members are compared with its smallest one only: a candidate passes if the joint
 likelihood of both sketches doesn't rule the threshold out (by more than
 ``SIGMAS`` standard deviations), and is then confirmed on the full sets. What
 that links is contracted. In the second pass, buckets that still hold several
-components compare members of different components inside the tasks, on the full
-sets, and give back only links that join two components. So a group of thousands
-of copies costs a comparison or a few for each member, no pairs are written
-down, and no candidate is left out: members of one component need no further
-comparison. Large buckets are cut into blocks, a task for every two of them.
+components compare members of different components inside the tasks, by registers
+and then on the full sets, and give back only links that join two components. So a
+group of thousands of copies costs a comparison or a few for each member, no pairs
+are written down, and no candidate is left out: members of one component need no
+further comparison. A large bucket is cut into blocks by number and bytes of its
+sets. Those of its largest component stay where they are; the others are sent to
+each of them, and to each other.
 
 A pair at the threshold shares no band with a probability of 3 in ten million
 (40 bands of 4 registers); likelier the more alike it is.
@@ -41,7 +43,8 @@ REGISTERS = BANDS * ROWS
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 1
 SIGMAS = 5.0
 BLOCK = 2048  # members of a block of a bucket, and of several small buckets in one task, about
-_NO_ID = 1 << 62  # rows without an id get one from here on, by their text
+BLOCK_BYTES = 64 << 20  # and bytes of their sets, about; a block has one set at least
+_NO_ID = 1 << 62  # rows without an id are nodes from here on, by their text
 
 _DRAW = np.random.Generator(np.random.PCG64(75))
 _FACTORS = _DRAW.integers(0, 1 << 63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -169,15 +172,33 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, alike: int) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def joining_links(nodes: np.ndarray, labels: np.ndarray, sets: list[np.ndarray], alike: int) -> list[tuple[int, int]]:
-    """Links between members of different components, as many as join them; each member against all after it."""
+def least_equal(alike: int) -> int:
+    """Registers that two sketches share at least where the sets are alike, but for one pair in some millions.
+
+    Each is equal with about the similarity as its chance.
+    """
+    j = alike / 100
+    return int(REGISTERS * j - SIGMAS * np.sqrt(REGISTERS * j * (1 - j)))
+
+
+def joining_links(nodes: np.ndarray, labels: np.ndarray, sets: list[np.ndarray], regs: np.ndarray, side: np.ndarray, inside: bool,
+                  alike: int) -> list[tuple[int, int]]:
+    """Links between members of different components, as many as join them.
+
+    Members of different sides are compared, and with ``inside`` also those of
+    one side other than 0. Sides are in order, 0 last.
+    """
     labels, sizes = labels.copy(), np.array([len(x) for x in sets])
     dense = np.unique(np.concatenate(sets), return_inverse=True)[1]
     edges = np.concatenate([[0], np.cumsum(sizes)])
-    held, found = np.zeros(dense.max() + 1, dtype=np.int32), []
-    for i in range(len(nodes) - 1):
+    held, found, equal = np.zeros(dense.max() + 1, dtype=np.int32), [], least_equal(alike)
+    for i in range(int((side != 0).sum())):
         low, high = np.minimum(sizes[i], sizes[i + 1:]), np.maximum(sizes[i], sizes[i + 1:])
-        others = i + 1 + np.flatnonzero((labels[i + 1:] != labels[i]) & (100 * low >= alike * high))
+        wanted = (labels[i + 1:] != labels[i]) & (100 * low >= alike * high)
+        if not inside:
+            wanted &= side[i + 1:] != side[i]
+        others = i + 1 + np.flatnonzero(wanted)
+        others = others[(regs[others] == regs[i]).sum(1) >= equal]
         if not len(others):
             continue
         own = dense[edges[i]:edges[i + 1]]
@@ -193,28 +214,63 @@ def joining_links(nodes: np.ndarray, labels: np.ndarray, sets: list[np.ndarray],
     return found
 
 
-def _across(open_: DataFrame, alike: int) -> DataFrame:
-    """Links (a, b) inside the buckets of ``open_`` (key, node, component, members, hashes) that join components."""
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    rows = open_.withColumn("blocks", blocks).withColumn("own", own).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+def dealt_across(open_: DataFrame) -> DataFrame:
+    """(bin, task, inside, side, node, component) of every row of ``open_`` (key, node, component, n) in every task it takes part in.
+
+    The largest component of a bucket is side 0. Each of its blocks meets each
+    block of the rest, and these meet each other; pairs of rows of one block of
+    the rest are compared where it meets the first block of side 0.
+    """
+    count, size = F.count(F.lit(1)).alias("m"), F.sum(F.col("n") * 8).alias("bytes")
+    of_component = open_.groupBy("key", "component").agg(count, size)
+    largest = F.max_by(F.struct("component", "m", "bytes"), F.struct("m", -F.col("component")))
+    of_key = of_component.groupBy("key").agg(largest.alias("main"), F.sum("m").alias("m"), F.sum("bytes").alias("bytes"))
+    cut = lambda m, b: F.greatest(F.ceil(m / BLOCK), F.ceil(b / BLOCK_BYTES), F.lit(1)).cast("int")
+    of_key = settle(of_key.select(
+        "key", F.col("main.component").alias("_main"), cut(F.col("main.m"), F.col("main.bytes")).alias("mains"),
+        cut(F.col("m") - F.col("main.m"), F.col("bytes") - F.col("main.bytes")).alias("rests"),
+    ), "buckets")
+    rows = open_.join(of_key, "key").withColumn("_is_main", F.col("component") == F.col("_main"))
+    own = F.pmod(F.xxhash64("node"), F.when(F.col("_is_main"), F.col("mains")).otherwise(F.col("rests"))).cast("int")
+    rows = rows.withColumn("_own", own)
+    up_to = lambda n: F.sequence(F.lit(0), n - 1)
+    task = lambda a, b: F.struct(a.cast("int").alias("a"), b.cast("int").alias("b"))
+    # Blocks a of side 0 with b of the rest; for blocks of the rest, the smaller one is -1 - a.
+    with_rests = F.transform(up_to(F.col("rests")), lambda b: task(F.col("_own"), b))
+    with_mains = F.transform(up_to(F.col("mains")), lambda a: task(a, F.col("_own")))
+    among = F.transform(
+        F.filter(up_to(F.col("rests")), lambda b: b != F.col("_own")),
+        lambda b: task(-1 - F.least(b, F.col("_own")), F.greatest(b, F.col("_own"))))
+    tasks = F.when(F.col("_is_main"), with_rests).otherwise(F.concat(with_mains, among))
+    each = rows.select("key", "node", "component", "n", "_is_main", "_own", "mains", "rests", F.explode(tasks).alias("t"))
+    total = of_component.agg(F.sum("m"), F.sum("bytes")).head()
+    bins = 1 + max((total[0] or 0) // BLOCK, (total[1] or 0) // BLOCK_BYTES)
+    large = (F.col("mains") > 1) | (F.col("rests") > 1)
+    name = F.xxhash64("key", "t.a", "t.b")
+    return each.select(
+        F.when(large, name).otherwise(F.pmod("key", F.lit(bins))).alias("bin"), name.alias("task"),
+        (F.col("t.a") == 0).alias("inside"), F.when(F.col("_is_main"), 0).otherwise(F.col("_own") + 1).alias("side"), "node", "component",
     )
-    bins = 1 + open_.count() // BLOCK
-    pair = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
-    dealt = rows.select("key", "node", "component", "hashes", F.when(F.col("blocks") > 1, pair).otherwise(F.pmod("key", F.lit(bins))).alias("bin"))
 
+
+def _across(open_: DataFrame, sketch: DataFrame, sets: DataFrame, alike: int) -> DataFrame:
+    """Links (a, b) inside the buckets of ``open_`` (key, node, component, n) that join components."""
     def run(group: pa.Table) -> pa.Table:
-        keys, nodes, labels = (group.column(name).to_numpy() for name in ("key", "node", "component"))
-        sets = group.column("hashes").combine_chunks()
-        order = np.lexsort((nodes, keys))
-        cuts = np.flatnonzero(np.diff(keys[order])) + 1
+        names, nodes, labels, sides = (group.column(name).to_numpy() for name in ("task", "node", "component", "side"))
+        inside = group.column("inside").to_numpy(zero_copy_only=False)
+        sets_, sketches_ = (group.column(name).combine_chunks() for name in ("hashes", "regs"))
+        order = np.lexsort((nodes, sides, sides == 0, names))
+        cuts = np.flatnonzero(np.diff(names[order])) + 1
         found = []
         for some in np.split(order, cuts):
             if labels[some].min() != labels[some].max():
-                found += joining_links(nodes[some], labels[some], [np.frombuffer(sets[i].as_buffer(), dtype="<u8") for i in some.tolist()], alike)
+                own = [np.frombuffer(sets_[i].as_buffer(), dtype="<u8") for i in some.tolist()]
+                regs = np.array([np.frombuffer(sketches_[i].as_buffer(), dtype="<u2") for i in some.tolist()])
+                found += joining_links(nodes[some], labels[some], own, regs, sides[some], bool(inside[some[0]]), alike)
         return pa.table({name: pa.array([x[i] for x in found], pa.int64()) for i, name in enumerate("ab")})
 
+    # Tasks are dealt by number first; sets and sketches are joined to the copies of a row that are needed.
+    dealt = dealt_across(open_).join(sketch.select("node", "regs"), "node").join(sets, "node")
     return dealt.groupBy("bin").applyInArrow(run, "a bigint, b bigint").distinct()
 
 
@@ -232,7 +288,7 @@ def near_groups(docs: DataFrame, words: int = WORDS, alike: int = ALIKE) -> Data
     sketched = settle(sketches(docs, words), "sketches")
     classes = settle(
         sketched.where("n > 0").groupBy("sig").agg(
-            F.min("node").alias("node"), *(F.any_value(c).alias(c) for c in ("n", "regs"))
+            F.min("node").alias("node"), F.min("doc_id").alias("first"), *(F.any_value(c).alias(c) for c in ("n", "regs"))
         ),
         "classes",
     )
@@ -258,25 +314,25 @@ def near_groups(docs: DataFrame, words: int = WORDS, alike: int = ALIKE) -> Data
         "labelled",
     )
     mixed = settle(
-        labelled.groupBy("key").agg(
-            F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members")
-        ).where("low < high").select("key", "members"),
+        labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .where("low < high").select("key"),
         "mixed",
     )
-    open_ = settle(labelled.join(mixed, "key"), "open")
-    more = settle(_across(open_.join(sets, "node"), alike), "links")
+    open_ = settle(labelled.join(mixed, "key").join(classes.select("node", "n"), "node"), "open")
+    more = settle(_across(open_, sketch, sets, alike), "links")
     if not more.isEmpty():
         labels = components(links.union(more))
 
     of_class = settle(
-        classes.select("sig", "node").join(labels, "node", "left")
-        .select("sig", F.coalesce("component", "node").alias("component")),
+        classes.select("sig", "node", "first").join(labels, "node", "left")
+        .select("sig", "first", F.coalesce("component", "node").alias("component")),
         "of-class",
     )
-    component = F.coalesce("component", "node")
+    smallest = of_class.groupBy("component").agg(F.min("first").alias("smallest"))
+    named = settle(of_class.join(smallest, "component").select("sig", "smallest"), "named")
     return (
-        sketched.select("doc_id", "node", "n", "sig").join(of_class, "sig", "left")
-        .select("doc_id", F.col("n").alias("n_shingles"), F.when(component < _NO_ID, component).alias("component_id"))
+        sketched.select("doc_id", "n", "sig").join(named, "sig", "left")
+        .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("smallest")).alias("component_id"))
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
 
