@@ -12,9 +12,9 @@ The distinct segments of the other anchors are dealt to shards. Each shard makes
 a compressed FM-index of its segments (suffix order, BWT, wavelet matrix) and
 streams the segments through it: backward search gives the matching statistics
 of every place, and those that reach the window's length with two occurrences
-are reported. An anchor whose distinct segments have more than ``CROWD`` words (a
-very common line in many documents) isn't put in one shard: its windows are dealt
-by their own hashes, which splits it evenly.
+are reported. An anchor with more than ``CROWD`` distinct segments, or more than
+``CROWD_WORDS`` words in them (a very common line in many documents), isn't put in
+one shard: its windows are dealt by their own hashes, which splits it evenly.
 
 Segments and windows are told apart by 128 bits, their own hash and their anchor,
 and rows by two 64-bit hashes.
@@ -40,7 +40,9 @@ from martflow.session import settle
 WINDOW = 35
 GRAM = 8
 SHARD = 1 << 18  # words of a shard, about
-CROWD = SHARD // 8  # words of one anchor's distinct segments in a shard, at most
+CROWD = 1024  # distinct segments of one anchor in a shard, at most
+CROWD_WORDS = 2 * SHARD  # and their words
+MANY = 1 << 17  # windows of a shard from which equal ones are searched once
 LONGEST = 1024  # windows of a segment
 
 
@@ -152,7 +154,7 @@ def _extracted(docs: DataFrame, asked: DataFrame, window: int) -> DataFrame:
     return texts.mapInArrow(run, "anchor bigint, seg bigint, offset int, hash bigint, crowded boolean, words binary")
 
 
-def _searched(window: int):
+def _searched(window: int, many: int = MANY):
     """Repeated windows among one shard's segments, by its FM-index: (anchor, seg, offset) of each."""
     def run(rows: pa.Table) -> pa.Table:
         contents = [np.frombuffer(x.as_buffer(), dtype="<u8") for x in rows.column("words")]
@@ -168,7 +170,13 @@ def _searched(window: int):
         n = sizes[once] - window + 1
         which = np.repeat(once, n)
         offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        long_enough = index.matched(text, starts[which] + offset + window, window) >= window
+        first = starts[which] + offset
+        if len(first) < many:
+            long_enough = index.matched(text, first + window, window) >= window
+        else:
+            wide = np.lib.stride_tricks.sliding_window_view(text.astype(np.int32), window)[first]
+            _, one, kind = np.unique(wide.view([("", np.void, 4 * window)]).ravel(), return_index=True, return_inverse=True)
+            long_enough = (index.matched(text, first[one] + window, window) >= window)[kind]
         places = pa.array(which[long_enough])
         return pa.Table.from_arrays(
             [*(rows.column(name).combine_chunks().take(places) for name in ("anchor", "seg")), pa.array(offset[long_enough], pa.int32())],
@@ -178,8 +186,8 @@ def _searched(window: int):
     return run
 
 
-def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, crowd: int = CROWD, shard: int = SHARD,
-                   spans: Callable = span_hashes) -> DataFrame:
+def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, crowd: int = CROWD, crowd_words: int = CROWD_WORDS,
+                   shard: int = SHARD, spans: Callable = span_hashes) -> DataFrame:
     """(row, spans): word ranges [from, to) of each row of ``docs`` (row, text) that repeated windows cover."""
     key = ["anchor", "seg"]
     runs = settle(_segmented(docs, window, gram, spans), "segments")
@@ -196,7 +204,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, crow
     variety = settle(
         kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"), F.max("occurs").alias("occurs"), F.sum(size).alias("words"))
         .where("kinds > 1 OR occurs > 1")
-        .select("anchor", (F.col("words") > crowd).alias("crowded")), "variety",
+        .select("anchor", ((F.col("kinds") > crowd) | (F.col("words") > crowd_words)).alias("crowded")), "variety",
     )
     open_ = settle(
         kinds.join(variety, "anchor").select(*key, "places", "windows", "crowded", "at.row", "at.start"), "open"

@@ -338,16 +338,16 @@ def test_components_of_chains_and_stars(spark):
 
 # ---- 7 passages --------------------------------------------------------------------------------
 
-@pytest.mark.parametrize("crowd", [0, 300, 1 << 20])
+@pytest.mark.parametrize("crowd", [{"crowd": 0}, {"crowd": 1}, {"crowd_words": 300}, {}])
 def test_passages(awkward_docs, awkward, crowd):
-    cut = passages.cut_passages(awkward_docs, crowd=crowd, shard=500)
+    cut = passages.cut_passages(awkward_docs, shard=500, **crowd)
     want = Counter((doc, *x) for (doc, _), x in zip(awkward, plain.cut_passages(awkward)))
     have = got(cut, "doc_id", "n_words", "n_removed", "text")
     assert have == want
     assert set(cut.columns) == set(awkward_docs.columns)
 
 
-@pytest.mark.parametrize("crowd", [0, 1 << 20])
+@pytest.mark.parametrize("crowd", [0, 1024])
 def test_passages_where_hashes_are_equal(spark, monkeypatch, crowd):
     texts = [prose(i, 300) for i in range(60)]
     texts += [f"{prose(100 + i, 30)} {texts[i][i:i + 900]} {prose(200 + i, 30 + i)}" for i in range(60)]
@@ -360,6 +360,19 @@ def test_passages_where_hashes_are_equal(spark, monkeypatch, crowd):
     assert sorted(tuple(r) for r in found.select("doc_id", "n_words", "n_removed", "text").collect()) == want
 
 
+def test_equal_windows_are_searched_once():
+    draw = np.random.default_rng(2)
+    words = [draw.integers(0, 40, 60, dtype=np.uint64) for _ in range(20)]
+    words += [w.copy() for w in words[:5]]
+    import pyarrow as pa
+
+    rows = pa.table({
+        "anchor": pa.array(range(25), pa.int64()), "seg": pa.array(range(25), pa.int64()),
+        "places": pa.array([1] * 25, pa.int64()), "words": pa.array([w.tobytes() for w in words], pa.binary())})
+    few, many = (passages._searched(6, many)(rows).to_pydict() for many in (1, 1 << 30))
+    assert few == many and len(few["seg"]) >= 550
+
+
 def test_passages_of_no_documents(no_docs):
     assert passages.cut_passages(no_docs).count() == 0
 
