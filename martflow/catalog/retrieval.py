@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import re
+
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martflow.catalog.marts import _WIDE, fact
 from martflow.catalog.retail import table
 from martflow.functions import vectors
 from martflow.operators.aggregates import group_means
+from martflow.operators.models import embed, generate
 from martflow.operators.search import similarities, vector_search
 from martflow.plans.context import context_chunks
 from martflow.plans.prompts import ASSISTANT_PROMPT, COURSE_PROMPT, INSIGHT_PROMPT, assemble_prompt, prompt_text
@@ -21,20 +25,17 @@ def rag_context_chunks(spark: SparkSession, sf: str) -> DataFrame:
     return context_chunks(fact(spark, sf), DATE)
 
 
-def letters(text: str) -> Column:
-    """Unit vectors of lower-case letter counts: an embedding that needs no model."""
-    counts = F.array(*[
-        (F.length(text) - F.length(F.replace(F.col(text), F.lit(chr(c)), F.lit("")))).cast("double")
-        for c in range(97, 123)
-    ])
-    return F.when(F.col(text).isNotNull(), counts)
+def letter_vectors(texts: list[str]) -> list[np.ndarray]:
+    """Unit vectors of lower-case letter counts: an embedding that needs no trained model."""
+    found = []
+    for text in texts:
+        counts = np.bincount(np.frombuffer(text.encode(), dtype=np.uint8), minlength=128)[97:123].astype(float)
+        found.append(counts / (np.sqrt(counts @ counts) or 1.0))
+    return found
 
 
 def with_embedding(df: DataFrame, text: str) -> DataFrame:
-    counted = df.withColumn("_counts", letters(text))
-    length = counted.withColumn("_length", vectors.norm(F.col("_counts")))
-    unit = F.transform("_counts", lambda x: F.when(F.col("_length") > 0, x / F.col("_length")).otherwise(0.0))
-    return length.withColumn("embedding", unit).drop("_counts", "_length")
+    return embed(df, text, letter_vectors, batch=1000)
 
 
 def chunk_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -150,6 +151,21 @@ def record_prompts(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").select("o_orderkey", F.md5(prompt).alias("digest"))
 
 
+def careful_answers(prompts: list[str]) -> list[str]:
+    """An answering model that refuses whole batches over one of their prompts, as remote ones do."""
+    if refused := [p for p in prompts if re.search(r"customer \d*7 expect", p)]:
+        raise ValueError(f"{len(refused[0])} characters refused")
+    return [f"{p.count(' ')} spaces" for p in prompts]
+
+
+def answered_records(spark: SparkSession, sf: str) -> DataFrame:
+    """An answer to the question about every order; prompts that the model refuses keep their rows, with the reason."""
+    record = F.to_json(F.struct("o_orderkey", "o_orderstatus", "o_orderpriority"))
+    question = F.concat(F.lit("What should customer "), F.col("o_custkey").cast("string"), F.lit(" expect?"))
+    asked = table(spark, sf, "orders").select("o_orderkey", prompt_text(record, question).alias("prompt"))
+    return generate(asked, "prompt", careful_answers, keep_failed=True).select("o_orderkey", "answer", "answer_error")
+
+
 _LINES = f"""(select order_guid, state, product_name, coalesce(quantity, 0)::double as units,
     strftime(order_created_at_utc, '%Y-%m') as month,
     (coalesce(quantity, 0) * coalesce(price, 0))::decimal(28, 6) as revenue
@@ -233,6 +249,10 @@ def _literal(text: str) -> str:
     )
 
 
+_RECORD_PROMPT = f"""{_literal(ASSISTANT_PROMPT)} || chr(10) || 'Context:' || chr(10)
+    || '{{"o_orderkey":' || o_orderkey || ',"o_orderstatus":"' || o_orderstatus || '","o_orderpriority":"' || o_orderpriority || '"}}'
+    || chr(10) || chr(10) || 'Question:' || chr(10) || 'What should customer ' || o_custkey || ' expect?' || chr(10)"""
+
 ENTRIES = {
     "rag_context_chunks": (rag_context_chunks, _CHUNKS),
     "chunk_counts": (
@@ -274,11 +294,14 @@ ENTRIES = {
     ),
     "record_prompts": (
         record_prompts,
-        f"""select o_orderkey, md5({_literal(ASSISTANT_PROMPT)} || chr(10) || 'Context:' || chr(10)
-                || '{{"o_orderkey":' || o_orderkey || ',"o_orderstatus":"' || o_orderstatus
-                || '","o_orderpriority":"' || o_orderpriority || '"}}'
-                || chr(10) || chr(10) || 'Question:' || chr(10)
-                || 'What should customer ' || o_custkey || ' expect?' || chr(10)) as digest from orders""",
+        f"select o_orderkey, md5({_RECORD_PROMPT}) as digest from orders",
+    ),
+    "answered_records": (
+        answered_records,
+        f"""select o_orderkey,
+                case when o_custkey % 10 = 7 then null else (length(prompt) - length(replace(prompt, ' ', ''))) || ' spaces' end as answer,
+                case when o_custkey % 10 = 7 then 'ValueError: ' || length(prompt) || ' characters refused' end as answer_error
+            from (select o_orderkey, o_custkey, {_RECORD_PROMPT} as prompt from orders)""",
     ),
     "joined_prompts": (
         joined_prompts,

@@ -154,5 +154,46 @@ def test_batches_hold_at_most_twenty_texts(spark):
     assert sorted(sizes) == [5.0] * 5 + [20.0] * 40
 
 
+def flaky(folder, times):
+    """A model that fails its first calls for each batch; the count is kept in files, as workers share nothing else."""
+    def run(texts):
+        seen = len(list(folder.glob(f"{texts[0]}-*")))
+        (folder / f"{texts[0]}-{seen}").touch()
+        if seen < times:
+            raise ConnectionError("try again")
+        return [text.upper() for text in texts]
+
+    return run
+
+
+def test_failing_calls_are_repeated(spark, tmp_path):
+    texts = spark.createDataFrame([(f"t{i}",) for i in range(45)], "text string").coalesce(1)
+    found = generate(texts, "text", flaky(tmp_path, 2), attempts=3, wait=0.01).collect()
+    assert [r.answer for r in found] == [f"T{i}" for i in range(45)]
+    with pytest.raises(Exception, match="try again"):
+        generate(texts.limit(1), "text", flaky(tmp_path, 99), attempts=2, wait=0.01).collect()
+
+
+def test_one_bad_text_costs_its_own_row(spark):
+    texts = spark.createDataFrame([("a", "x"), ("bad", "x"), (None, "x"), ("c", "x")], "text string, embedding_error string").coalesce(1)
+
+    def picky(batch):
+        if "bad" in batch:
+            raise ValueError("no bad texts")
+        return [[float(len(t))] for t in batch]
+
+    found = embed(texts, "text", picky, keep_failed=True)
+    assert found.columns == ["text", "embedding", "embedding_error"]
+    assert [tuple(r) for r in found.collect()] == [("a", [1.0], None), ("bad", None, "ValueError: no bad texts"), (None, None, None), ("c", [1.0], None)]
+    with pytest.raises(Exception, match="no bad texts"):
+        embed(texts, "text", picky).collect()
+    assert embed(texts.limit(0), "text", picky, keep_failed=True).count() == 0
+
+
+def test_the_result_may_replace_its_text(spark):
+    texts = spark.createDataFrame([("a", 1)], "text string, n int")
+    assert generate(texts, "text", lambda batch: [t * 2 for t in batch], alias="text").collect() == [(1, "aa")]
+
+
 def test_reconciled_write_reports_rows(spark, tmp_path):
     assert write_checked(spark.range(7), str(tmp_path / "w")) == 7
