@@ -9,7 +9,8 @@ from martflow.catalog.retail import table
 from martflow.schemas import MOVEMENT_FIELDS, MOVEMENT_TIMES, MOVEMENTS
 from martflow.session import shared_dir
 from martflow.streaming import movements as mv
-from martflow.streaming.redelivery import land_once
+from martflow.streaming import validity
+from martflow.streaming.redelivery import land_once, state_on_disk
 
 
 def _filler(i: int, name: str) -> Column:
@@ -97,6 +98,20 @@ def redelivered_movements(spark: SparkSession, sf: str) -> DataFrame:
     return good.groupBy("train_id", "event_type", at).agg(F.count("*").alias("n"))
 
 
+def stream_validity(spark: SparkSession, sf: str) -> DataFrame:
+    """Each event with its user's next one, from a stream whose two deliveries are mixed in time, with a restart between them."""
+    base = shared_dir(spark, "validity")
+    events = table(spark, sf, "events").select("user_id", "ts", "event_id")
+    for part in range(2):
+        events.where(F.pmod(F.xxhash64("event_id"), F.lit(2)) == part).write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(events.schema).parquet(f"{base}/in")
+        log = validity.validity_log(stream, "user_id", "ts", "event_id", "60 days")
+        with state_on_disk(spark):
+            writer = log.writeStream.format("parquet").outputMode("append").option("path", f"{base}/log")
+            writer.option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
+    return validity.latest(spark.read.parquet(f"{base}/log"), "user_id", "ts", "event_id")
+
+
 def feed_dead_letters(spark: SparkSession, sf: str) -> DataFrame:
     _, dead = mv.parse_feed(feed(spark, sf))
     return dead.groupBy("reason").agg(F.count("*").alias("n"))
@@ -152,6 +167,10 @@ ENTRIES = {
                   from events where event_type in ('view', 'purchase', 'signup'))
             group by train_id, event_type, moved_at""",
     ),
+    "stream_validity": (
+        stream_validity,
+        "select user_id, ts, event_id, lead(ts) over (partition by user_id order by ts, event_id) as valid_to from events",
+    ),
     "feed_movements": (
         feed_movements,
         f"""select event_id, '0003' as msg_type,
