@@ -8,7 +8,7 @@ each), so 64 sums inside one generated aggregation make a fingerprint.
 
 Block tables find all fingerprints within a Hamming radius: cut into radius + 1
 blocks, two such fingerprints agree in one block at least, so each table is
-keyed by one of the blocks and candidates are compared in full.
+keyed by one of the blocks and candidates are compared in full, inside the join.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martflow.llm.common import parts, table, whole
+from martflow.session import settle
 
 BITS = 128
 _FIELDS = 0x0000000100000001
@@ -117,16 +118,19 @@ def within(queries: DataFrame, prints: DataFrame, radius: int = 3) -> DataFrame:
     """(query, found, distance): all distinct fingerprints of ``prints`` within ``radius`` of each of ``queries``.
 
     Both have halves a and b. Copies are one fingerprint here; join the result
-    to their rows by it. A pair that agrees in several blocks comes once.
+    to their rows by it. A pair that agrees in several blocks is given by the
+    first of them alone, and distances are compared inside the join, so that
+    nothing but the pairs found leaves it. Spark can split a frequent block.
     """
-    asked = block_tables(queries, radius).withColumnRenamed("print", "query")
+    asked = block_tables(queries, radius).select(F.col("t").alias("_t"), F.col("block").alias("_block"), F.col("print").alias("query"))
     stored = block_tables(prints, radius).withColumnRenamed("print", "found")
-    return (
-        asked.join(stored, ["t", "block"])
-        .withColumn("distance", distance("query", "found"))
-        .where(F.col("distance") <= radius)
-        .groupBy("query", "found").agg(F.first("distance").alias("distance"))
-    )
+    earlier = F.lit(False)
+    for t, (half, shift, width) in enumerate(_blocks(radius)):
+        mask = F.lit((1 << width) - 1 if width < 64 else -1)
+        differing = F.shiftrightunsigned(F.col(f"query.{half}").bitwiseXOR(F.col(f"found.{half}")), shift).bitwiseAND(mask)
+        earlier = earlier | ((F.col("t") > t) & (differing == 0))
+    near = (F.col("t") == F.col("_t")) & (F.col("block") == F.col("_block")) & (distance("query", "found") <= radius) & ~earlier
+    return asked.join(stored, near).select("query", "found", distance("query", "found").alias("distance"))
 
 
 # ---- documents and their edited texts ----------------------------------------------------------
@@ -170,6 +174,11 @@ def with_next(docs: DataFrame, ranges: int) -> DataFrame:
     )
 
 
+def halves(text: str) -> tuple[Column, Column]:
+    """The halves a and b of a fingerprint's 32 hexadecimal digits."""
+    return tuple(F.conv(F.substring(text, at, 16), 16, -10).cast("long") for at in (1, 17))
+
+
 def edited_prints(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     """One row per document: n_chars, the SHA-256 and fingerprint of its edited text, and likenesses.
 
@@ -177,8 +186,9 @@ def edited_prints(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     first as many of the next document. A null text is empty. Rows with one
     doc_id follow each other by a hash of their text, null ids come last, and
     the next document of the only one is itself. Other columns are not read.
+    There are several ranges to a partition, so that these come out even.
     """
-    ranges = ranges or 2 * parts(docs)
+    ranges = ranges or 6 * parts(docs)
     size = F.char_length("text").cast("long")
     rows = with_next(docs, ranges).withColumn("n_chars", size).withColumn("_half", F.floor(F.col("n_chars") / 2).cast("int"))
     rows = rows.withColumn("_edited", F.concat(
@@ -205,5 +215,17 @@ def edited_prints(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     )
 
 
+def with_neighbours(prints: DataFrame, asked: Column, radius: int = 3) -> DataFrame:
+    """``prints`` with ``n_near``: other distinct fingerprints of the table within ``radius`` of each asked row's, null for other rows."""
+    a, b = halves("fingerprint")
+    every = prints.select("fingerprint", asked.alias("_asked")).groupBy("fingerprint").agg(F.bool_or("_asked").alias("_asked"))
+    every = settle(every.select("fingerprint", a.alias("a"), b.alias("b"), "_asked"), "fingerprints")
+    found = within(every.where("_asked"), every, radius).where("distance > 0 OR query <> found")
+    counts = found.groupBy("query").agg(F.count("*").alias("_n")).select(text_of(F.col("query.a"), F.col("query.b")).alias("_print"), "_n")
+    joined = prints.withColumn("_print", F.when(asked, F.col("fingerprint"))).join(counts, "_print", "left")
+    return joined.withColumn("n_near", F.when(asked, F.coalesce("_n", F.lit(0)))).drop("_print", "_n")
+
+
 def query(spark, sf_dir: str) -> DataFrame:
-    return edited_prints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    prints = settle(edited_prints(table(spark, sf_dir, "documents").select("doc_id", "text")), "prints")
+    return with_neighbours(prints, F.coalesce(F.col("doc_id") % 20 == 0, F.lit(False)))

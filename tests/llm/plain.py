@@ -8,6 +8,8 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import xxhash
+
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 SPACES = b" \t\n\x0b\x0c\r"
 
@@ -94,6 +96,25 @@ def crc(ids):
     return zlib.crc32(b"".join(int(x).to_bytes(4, "little") for x in ids))
 
 
+# ---- fingerprints ------------------------------------------------------------------------------
+
+def simhash(text):
+    """The fingerprint of a whole text by signed votes of its weighted word pairs."""
+    found = [w.decode() for w in words(text)]
+    votes = [0] * 128
+    for i, word in enumerate(found):
+        after = found[i + 1] if i + 1 < len(found) else None
+        weight = min(3, 1 + (len(word) + len(after or "")) // 8)
+        h = xxhash.xxh64(word.encode(), seed=42).intdigest()
+        if after is not None:
+            h = xxhash.xxh64(after.encode(), seed=h).intdigest()
+        g = xxhash.xxh64(h.to_bytes(8, "little"), seed=42).intdigest()
+        for at, x in ((64, h), (0, g)):
+            for bit in range(64):
+                votes[at + bit] += weight if x >> bit & 1 else -weight
+    return f"{sum(1 << i for i, v in enumerate(votes) if v > 0):032x}"
+
+
 # ---- conversations -----------------------------------------------------------------------------
 
 def damaged(rows):

@@ -135,8 +135,24 @@ def test_block_tables_find_all_within_the_radius(spark, radius):
     assert sorted((whole(r[0], r[1]), whole(r[2], r[3])) for r in found) == sorted(want)
 
 
+def test_neighbours_in_a_block_that_very_many_share(spark):
+    """A family in one block of every table, against comparing all; a pair that agrees in several blocks counts once."""
+    draw = random.Random(6)
+    base = draw.getrandbits(128)
+    ids = [base ^ sum(1 << b for b in draw.sample(range(0, 20), draw.randint(0, 6))) for _ in range(700)] + [draw.getrandbits(128) for _ in range(50)]
+    ids += ids[:40]  # copies
+    frame = spark.createDataFrame([(i, f"{x:032x}", "x") for i, x in enumerate(ids)], "doc_id bigint, fingerprint string, t string").repartition(4)
+    found = simhash.with_neighbours(frame, F.col("doc_id") % 20 == 0).collect()
+    assert len(found) == len(ids)
+    every = set(ids)
+    for r in found:
+        own = ids[r["doc_id"]]
+        assert r["n_near"] == (sum(0 < (own ^ x).bit_count() <= 3 for x in every) if r["doc_id"] % 20 == 0 else None)
+
+
 def test_fingerprints_of_no_documents(no_docs):
     assert simhash.edited_prints(no_docs).count() == 0
+    assert simhash.with_neighbours(simhash.edited_prints(no_docs), F.lit(True)).count() == 0
 
 
 # ---- 3 tokens ----------------------------------------------------------------------------------

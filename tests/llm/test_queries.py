@@ -52,6 +52,13 @@ def test_op2(spark, rows):
     assert np.mean([r["near_edited"] > r["near_next"] for r in found.values()]) > 0.95
     prints = {}
     assert all(prints.setdefault(text, found[doc]["fingerprint"]) == found[doc]["fingerprint"] for doc, text in rows)
+    assert {text: plain.simhash(text) for text in prints} == prints
+    every = {int(p, 16) for p in prints.values()}
+    for doc, r in found.items():
+        own = int(r["fingerprint"], 16)
+        assert r["n_near"] == (sum(0 < (own ^ x).bit_count() <= 3 for x in every) if doc % 20 == 0 else None)
+        edited = int(r["edited_fingerprint"], 16)
+        assert r["near_edited"] == 1 - (own ^ edited).bit_count() / 128
 
 
 def test_op3(spark, rows):
