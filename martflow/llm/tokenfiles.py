@@ -35,12 +35,13 @@ from martflow.llm.common import pieces, read_bytes, table, whole
 from martflow.session import settle, shared_dir
 
 END = 2
-KEPT_BYTES = 48 << 20  # of a worker's table of known words and stems, of which it has two at most
+KEPT_BYTES = 96 << 20  # of a worker's table of known words and stems, of which it has two at most
 _LONG_WORD = 48
 _ENTRY = 150  # bytes of an entry besides its letters and ids
 _SIGNS = ".,;:!?#$%&*|()<>[]{}=+/\\_-"  # no apostrophe: with letters it is a part of its own
 _NO_ID = np.iinfo(np.int64).max  # stands for a null doc_id, which comes last
 _LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(chr(c) for c in range(0xDF, 0x100) if c != 0xF7)
+_WIDE = re.compile("[^\x00-\xff]")  # beyond them, lower case may depend on a letter's neighbours
 _CODERS: dict = {}
 
 
@@ -90,9 +91,17 @@ class Coder:
         known = self.known
         if known.bytes > self.kept:
             known.age()
-        split = [self.marks.sub(r" \g<0> ", text).replace("\n", " ").split(" ") for text in texts]
+        split = [self._lowered(text).replace("\n", " ").split(" ") for text in texts]
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
+    def _lowered(self, text: str) -> str:
+        """The text with spaces around special tokens; in lower case if that is all its letters' own, and makes no special token."""
+        if not _WIDE.search(text):
+            low = text.lower()
+            if not self.marks.search(low):
+                return low
+        return self.marks.sub(r" \g<0> ", text)
+
     def learn(self, word: str) -> bytes:
         """The ids of a word not met before: of its stem in lower case and of the signs behind it, or of itself."""
         stem = word.rstrip(_SIGNS)
