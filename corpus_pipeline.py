@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martflow.llm import lines, mixing, neardup, quality, tokens
-from martflow.llm.common import table
+from martflow.llm.common import SPACES, table, whole
 from martflow.session import settle
 
 
@@ -24,16 +24,16 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def single_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that several documents share stay in the one with the smallest id; ``n_chars`` follows the text.
 
-    Every document stays, with an empty text if it has lost all its lines.
+    A document without words, now or from the start, goes: its lines live on in
+    another one, and later stages have nothing to compare, mix or encode.
     """
-    short = lines.dedup_lines(docs)
+    short = lines.dedup_lines(docs).where(F.rtrim(whole(), F.lit(SPACES)) != "")
     return short.withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that near copies connect, the one with the smallest id; those without words all stay."""
-    kept = neardup.near_groups(docs).where("kept").select(F.col("doc_id").alias("_kept"))
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    return neardup.one_of_each(docs)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martflow.llm.common import ngram_hashes, pieces, table, whole, word_hashes
@@ -114,9 +114,12 @@ def sketches(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return _rows(docs).mapInArrow(run, "doc_id bigint, node bigint, n bigint, sig binary, regs binary")
 
 
+def _node() -> Column:
+    return F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(whole()).bitwiseAND(_NO_ID - 1) + _NO_ID)
+
+
 def _rows(docs: DataFrame) -> DataFrame:
-    node = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(whole()).bitwiseAND(_NO_ID - 1) + _NO_ID)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), node.alias("node"), whole().alias("text"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), _node().alias("node"), whole().alias("text"))
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -285,6 +288,16 @@ def near_groups(docs: DataFrame, words: int = WORDS, alike: int = ALIKE) -> Data
     group goes by its smallest id, and where it has none its component is null
     and all its rows are kept. Other columns are not read.
     """
+    return _grouped(docs, words, alike).drop("node")
+
+
+def one_of_each(docs: DataFrame, words: int = WORDS, alike: int = ALIKE) -> DataFrame:
+    """The rows of ``docs`` that ``near_groups`` marks as kept, with all their columns."""
+    kept = _grouped(docs, words, alike).where("kept").select(F.col("node").alias("_node")).distinct()
+    return docs.join(kept, _node() == F.col("_node"), "left_semi")
+
+
+def _grouped(docs: DataFrame, words: int, alike: int) -> DataFrame:
     sketched = settle(sketches(docs, words), "sketches")
     classes = settle(
         sketched.where("n > 0").groupBy("sig").agg(
@@ -331,8 +344,8 @@ def near_groups(docs: DataFrame, words: int = WORDS, alike: int = ALIKE) -> Data
     smallest = of_class.groupBy("component").agg(F.min("first").alias("smallest"))
     named = settle(of_class.join(smallest, "component").select("sig", "smallest"), "named")
     return (
-        sketched.select("doc_id", "n", "sig").join(named, "sig", "left")
-        .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("smallest")).alias("component_id"))
+        sketched.select("doc_id", "node", "n", "sig").join(named, "sig", "left")
+        .select("doc_id", "node", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("smallest")).alias("component_id"))
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
 

@@ -1,10 +1,14 @@
 """The corpus pipeline, each stage against a plain version of its own input."""
 
+from collections import Counter
+
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 import plain
+from samples import changed, prose
 from martflow.llm import tokens
 from martflow.session import settle
 
@@ -43,8 +47,9 @@ def test_quality_keeps_good_documents(stages):
 
 def test_lines(stages):
     before, after = stages["line dedup"]
-    want = sorted((doc, text, len(text)) for doc, _, _, text in plain.kept_lines(rows(before, "doc_id", "text")))
+    want = sorted((doc, text, len(text)) for doc, _, _, text in plain.kept_lines(rows(before, "doc_id", "text")) if plain.words(text))
     assert rows(after, "doc_id", "text", "n_chars") == want
+    assert len(want) < len(rows(before, "doc_id"))  # some had shared lines only
 
 
 def test_one_of_each_group(stages):
@@ -74,5 +79,78 @@ def test_tokens(stages):
     assert sorted((r["doc_id"], r["ids"], r["decoded_sha256"]) for r in after.collect()) == want
 
 
+def test_no_text_without_words_is_encoded(stages):
+    before, _ = stages["byte-level BPE"]
+    assert all(plain.words(text) for _, text in rows(before, "doc_id", "text"))
+
+
+# ---- awkward rows ------------------------------------------------------------------------------
+
+@pytest.fixture(scope="module")
+def awkward_input(awkward_docs):
+    """Nulls in every column, empty and very long texts, repeated rows, and further columns with clashing names."""
+    return awkward_docs.withColumns({
+        "lang": F.when(F.col("doc_id") % 2 == 0, "en"), "n_chars": F.char_length("text").cast("long"),
+    }).drop("n_lines")
+
+
+def named(df, *names):
+    return sorted((tuple(r) for r in df.select(*names).collect()), key=repr)
+
+
+def test_quality_of_awkward_rows(spark, awkward_input):
+    out = corpus_pipeline.good_documents(spark, awkward_input, SF)
+    assert out.columns == awkward_input.columns
+    assert set(named(out, "doc_id", "text")) <= set(named(awkward_input, "doc_id", "text"))
+    assert out.where("doc_id = 13").count() == 1  # long clean prose
+
+
+def test_lines_of_awkward_rows(spark, awkward_input, awkward):
+    out = corpus_pipeline.single_lines(spark, awkward_input, SF)
+    assert out.columns == awkward_input.columns
+    want = [(doc, text, len(text)) for doc, _, _, text in plain.kept_lines(awkward) if plain.words(text)]
+    assert named(out, "doc_id", "text", "n_chars") == sorted(want, key=repr)
+
+
+def test_groups_of_awkward_rows(spark, awkward_input, awkward):
+    out = corpus_pipeline.one_of_each_group(spark, awkward_input, SF)
+    assert out.columns == awkward_input.columns
+    want = [row for row, (doc, _, c) in zip(awkward, plain.near_groups(awkward)) if doc == c]
+    assert named(out, "doc_id", "text") == sorted(want, key=repr)
+
+
+def test_mix_of_awkward_rows(spark, awkward_input, awkward):
+    out = corpus_pipeline.mixed_sources(spark, awkward_input, SF)
+    assert out.columns == awkward_input.columns
+    counts = Counter(named(out, "doc_id", "text", "source"))
+    own = Counter(named(awkward_input, "doc_id", "text", "source"))
+    assert all(n <= 2 * own[row] for row, n in counts.items())
+
+
+def test_tokens_of_awkward_rows(spark, awkward_input, awkward):
+    out = corpus_pipeline.encoded(spark, awkward_input, SF)
+    path, pattern = tokens.vocabulary()
+    coder = tokens.encoding(open(path, "rb").read(), pattern)
+    want = [(doc, coder.encode_ordinary(text or ""), plain.sha(text or "")) for doc, text in awkward]
+    assert named(out, "doc_id", "ids", "decoded_sha256") == sorted(want, key=repr)
+
+
+def test_stages_of_no_documents(spark, awkward_input):
+    empty = awkward_input.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, SF).count() == 0
+
+
+def test_planted_near_copies_go(spark, awkward_input):
+    """Copies with changed words in every line are near copies still when line dedup is done."""
+    base = [prose(70 + i, 400) for i in range(6)]
+    planted = [(100 * i + j, changed(text, j, 0.008)) for i, text in enumerate(base) for j in range(5)]
+    docs = spark.createDataFrame([(d, t, "s", "en", len(t)) for d, t in planted], "doc_id bigint, text string, source string, lang string, n_chars bigint")
+    left = settle(corpus_pipeline.single_lines(spark, docs, SF), "lines")
+    kept = corpus_pipeline.one_of_each_group(spark, left, SF)
+    want = [doc for doc, _, c in plain.near_groups(named(left, "doc_id", "text")) if doc == c]
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(want) and len(want) < 30
+
+
 def test_run_gives_the_last_stage(spark, stages):
     assert rows(corpus_pipeline.run(spark, SF), "doc_id", "ids_sha256") == rows(stages["byte-level BPE"][1], "doc_id", "ids_sha256")
