@@ -142,8 +142,8 @@ def test_stages_of_no_documents(spark, awkward_input):
 
 
 def test_planted_near_copies_go(spark, awkward_input):
-    """Copies with changed words in every line are near copies still when line dedup is done."""
-    base = [prose(70 + i, 400) for i in range(6)]
+    """Copies with a changed word in every line are near copies still when line dedup is done."""
+    base = [prose(70 + i, 400).replace("\n", " ") for i in range(6)]
     planted = [(100 * i + j, changed(text, j, 0.008)) for i, text in enumerate(base) for j in range(5)]
     docs = spark.createDataFrame([(d, t, "s", "en", len(t)) for d, t in planted], "doc_id bigint, text string, source string, lang string, n_chars bigint")
     left = settle(corpus_pipeline.single_lines(spark, docs, SF), "lines")
