@@ -12,6 +12,7 @@ from martflow.catalog.retail import table
 from martflow.functions import vectors
 from martflow.operators.aggregates import group_means
 from martflow.operators.models import embed, generate
+from martflow.operators.pivots import search_stored, store_vectors
 from martflow.operators.search import similarities, vector_search
 from martflow.plans.context import context_chunks
 from martflow.plans.prompts import ASSISTANT_PROMPT, COURSE_PROMPT, INSIGHT_PROMPT, assemble_prompt, prompt_text
@@ -63,6 +64,13 @@ def vector_topk(spark: SparkSession, sf: str) -> DataFrame:
     return hits.withColumn("distance", F.round("distance", 6))
 
 
+def stored_topk(spark: SparkSession, sf: str) -> DataFrame:
+    """The same hits from vectors stored by their nearest pivots, of which only those within reach are read."""
+    path = shared_dir(spark, "vectors")
+    store_vectors(embeddings(spark, sf).select("vec_id", "embedding"), path, pivots=32)
+    return search_stored(spark, path, centres(spark, sf), k=5).withColumn("distance", F.round("distance", 6))
+
+
 def cosine_topk(spark: SparkSession, sf: str) -> DataFrame:
     hits = vector_search(embeddings(spark, sf), centres(spark, sf), k=10, metric="cosine")
     return hits.withColumn("distance", F.round("distance", 6))
@@ -260,6 +268,7 @@ ENTRIES = {
         f"select chunk_type, processed_date, count(*) as n, cast(26 as integer) as dims from ({_CHUNKS}) group by 1, 2",
     ),
     "vector_topk": (vector_topk, _rounded_hits(_MEANS, _EUCLIDEAN, 5)),
+    "stored_topk": (stored_topk, _rounded_hits(_MEANS, _EUCLIDEAN, 5)),
     "cosine_topk": (cosine_topk, _rounded_hits(_MEANS, "1 - list_cosine_similarity(embedding, mean)", 10)),
     "single_question": (single_question, _rounded_hits(_ALL_MEAN, _EUCLIDEAN, 3)),
     "cosine_pairs": (
