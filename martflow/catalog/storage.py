@@ -12,6 +12,7 @@ from martflow.operators.mutate import enforce_required
 from martflow.operators.quality import require_values
 from martflow.session import shared_dir
 from martflow.sinks import writers
+from martflow.sinks.curves import write_along_curve
 from martflow.sources.extract import extract_day
 from martflow.sources.readers import read_csv, read_json, read_landing, read_seed, read_xml
 
@@ -93,6 +94,20 @@ def landing_files(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def curve_layout(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders along a curve through customer, date and priority, filtered by each of them alone."""
+    path = shared_dir(spark, "curve")
+    orders = table(spark, sf, "orders")
+    write_along_curve(orders, path, ["o_custkey", "o_orderdate", "o_orderpriority"], 16)
+    stored = spark.read.parquet(path)
+    filters = {
+        "customer": F.col("o_custkey").between(20, 60), "date": F.col("o_orderdate") < F.lit("1995-04-01").cast("timestamp_ntz"),
+        "priority": F.col("o_orderpriority").startswith("1"),
+    }
+    found = [stored.where(pred).withColumn("by", F.lit(name)) for name, pred in filters.items()]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 def seed_lookup(spark: SparkSession, sf: str) -> DataFrame:
     # A code table as it is delivered; codes stay text.
     rows = [("view", "01", "page view"), ("click", "02", "click"), ("purchase", "03", "order placed")]
@@ -180,6 +195,12 @@ def required_write(spark: SparkSession, sf: str) -> DataFrame:
 _DAY_SQL = f"cast(ts as date) = date '{DAY}'"
 
 ENTRIES = {
+    "curve_layout": (
+        curve_layout,
+        """select *, 'customer' as by from orders where o_custkey between 20 and 60
+           union all select *, 'date' from orders where o_orderdate < timestamp '1995-04-01'
+           union all select *, 'priority' from orders where o_orderpriority like '1%'""",
+    ),
     "replace_day_roundtrip": (
         replace_day_roundtrip,
         f"""select * replace (case when {_DAY_SQL} then value + 1 else value end as value),
