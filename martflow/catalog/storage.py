@@ -11,7 +11,7 @@ from martflow.operators.joins import lookup
 from martflow.operators.mutate import enforce_required
 from martflow.operators.quality import require_values
 from martflow.session import shared_dir
-from martflow.sinks import writers
+from martflow.sinks import guarded, writers
 from martflow.sinks.curves import write_along_curve
 from martflow.sources.extract import extract_day
 from martflow.sources.readers import read_csv, read_json, read_landing, read_seed, read_xml
@@ -108,6 +108,27 @@ def curve_layout(spark: SparkSession, sf: str) -> DataFrame:
     return found[0].unionByName(found[1]).unionByName(found[2])
 
 
+def guarded_write(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders of each priority as a batch of its own, checked while it is written; batches with broken rows are refused."""
+    path = shared_dir(spark, "guarded")
+    orders = table(spark, sf, "orders")
+    checks = {
+        "no customer": guarded.null("o_custkey"), "status": guarded.not_accepted("o_orderstatus", ["F", "O", "P"]),
+        "urgent and dear": guarded.not_true(~((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_totalprice") > 100_000))),
+    }
+    taken = {}
+    for row in orders.select("o_orderpriority").distinct().orderBy("o_orderpriority").collect():  # a few priorities
+        name = row["o_orderpriority"]
+        try:
+            counts, taken_in = guarded.write_guarded(orders.where(F.col("o_orderpriority") == name), path, checks), True
+        except guarded.Refused as refused:
+            counts, taken_in = refused.counts, False
+        taken[name] = (name, taken_in, counts["rows"], counts["urgent and dear"])
+    stored = spark.read.schema(orders.schema).parquet(path).groupBy("o_orderpriority").agg(F.count("*").alias("stored"))
+    told = spark.createDataFrame(list(taken.values()), "o_orderpriority string, taken boolean, n bigint, broken bigint")
+    return told.join(stored, "o_orderpriority", "left").withColumn("stored", F.coalesce("stored", F.lit(0)))
+
+
 def seed_lookup(spark: SparkSession, sf: str) -> DataFrame:
     # A code table as it is delivered; codes stay text.
     rows = [("view", "01", "page view"), ("click", "02", "click"), ("purchase", "03", "order placed")]
@@ -195,6 +216,12 @@ def required_write(spark: SparkSession, sf: str) -> DataFrame:
 _DAY_SQL = f"cast(ts as date) = date '{DAY}'"
 
 ENTRIES = {
+    "guarded_write": (
+        guarded_write,
+        """select o_orderpriority, broken = 0 as taken, n, broken, case when broken = 0 then n else 0 end as stored
+           from (select o_orderpriority, count(*) as n,
+                     count(*) filter (o_orderpriority = '1-URGENT' and o_totalprice > 100000) as broken from orders group by 1)""",
+    ),
     "curve_layout": (
         curve_layout,
         """select *, 'customer' as by from orders where o_custkey between 20 and 60
