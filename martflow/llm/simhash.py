@@ -186,9 +186,8 @@ def edited_prints(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     first as many of the next document. A null text is empty. Rows with one
     doc_id follow each other by a hash of their text, null ids come last, and
     the next document of the only one is itself. Other columns are not read.
-    There are several ranges to a partition, so that these come out even.
     """
-    ranges = ranges or 6 * parts(docs)
+    ranges = ranges or 2 * parts(docs)
     size = F.char_length("text").cast("long")
     rows = with_next(docs, ranges).withColumn("n_chars", size).withColumn("_half", F.floor(F.col("n_chars") / 2).cast("int"))
     rows = rows.withColumn("_edited", F.concat(
@@ -222,8 +221,10 @@ def with_neighbours(prints: DataFrame, asked: Column, radius: int = 3) -> DataFr
     every = settle(every.select("fingerprint", a.alias("a"), b.alias("b"), "_asked"), "fingerprints")
     found = within(every.where("_asked"), every, radius).where("distance > 0 OR query <> found")
     counts = found.groupBy("query").agg(F.count("*").alias("_n")).select(text_of(F.col("query.a"), F.col("query.b")).alias("_print"), "_n")
-    joined = prints.withColumn("_print", F.when(asked, F.col("fingerprint"))).join(counts, "_print", "left")
-    return joined.withColumn("n_near", F.when(asked, F.coalesce("_n", F.lit(0)))).drop("_print", "_n")
+    # Rows that weren't asked for have nothing to be joined by, and would meet in one task.
+    own = prints.where(asked).join(counts, F.col("fingerprint") == F.col("_print"), "left")
+    own = own.select(*prints.columns, F.coalesce("_n", F.lit(0)).cast("long").alias("n_near"))
+    return own.unionByName(prints.where(~asked).withColumn("n_near", F.lit(None).cast("long")))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
