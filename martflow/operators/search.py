@@ -17,8 +17,9 @@ from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from martflow.functions.vectors import is_finite
@@ -26,12 +27,13 @@ from martflow.operators.aggregates import top_n_per_group
 
 BLOCK_BYTES = 16 << 20
 
-Batches = Iterator[pd.DataFrame]
+Batches = Iterator[pa.RecordBatch]
 Kernel = Callable[[np.ndarray, np.ndarray, Batches], Batches]
 
 
-def _matrix(vectors) -> np.ndarray:
-    return np.asarray([np.asarray(v, dtype=np.float64) for v in vectors])
+def _matrix(vectors: pa.Array, dim: int) -> np.ndarray:
+    """Vectors of ``dim`` components as the rows of a matrix, from their flat values."""
+    return vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(vectors), dim)
 
 
 def _blocks(queries: DataFrame, block_bytes: int) -> tuple[int, int]:
@@ -47,15 +49,16 @@ def _blocks(queries: DataFrame, block_bytes: int) -> tuple[int, int]:
 
 def _one_pass(base: DataFrame, queries: DataFrame, dim: int, kernel: Kernel, schema: StructType) -> DataFrame:
     """``kernel`` over every base row and the questions of one block; columns are (id, vector) on both."""
-    block = queries.toPandas()
-    sent = base.sparkSession.sparkContext.broadcast((block.iloc[:, 0].to_numpy(), _matrix(block.iloc[:, 1])))
+    block = queries.toArrow()
+    sent = base.sparkSession.sparkContext.broadcast(
+        (np.array(block.column(0).to_pylist()), _matrix(block.column(1).combine_chunks(), dim)))
 
     def run(batches: Batches) -> Batches:
         ids, matrix = sent.value
         if len(ids):
             yield from kernel(ids, matrix, batches)
 
-    return base.where(F.size(base.columns[1]) == dim).mapInPandas(run, schema)
+    return base.where(F.size(base.columns[1]) == dim).mapInArrow(run, schema)
 
 
 def _distances(points: np.ndarray, query: np.ndarray, metric: str) -> np.ndarray:
@@ -119,10 +122,10 @@ def vector_search(
         best: list = [None] * len(ids)
         reach = np.full(len(ids), np.inf)  # distance of the k-th best so far
         for batch in batches:
-            if batch.empty:
+            if not batch.num_rows:
                 continue
-            points = _matrix(batch[vector])
-            names = batch[base_id].to_numpy()
+            points = _matrix(batch.column(vector), matrix.shape[1])
+            names = batch.column(base_id).to_numpy(zero_copy_only=False)
             for at, rows in _close(points, matrix, reach, k, metric):
                 found, distance = names[rows], _distances(points[rows], matrix[at], metric)
                 if best[at] is not None:
@@ -133,13 +136,15 @@ def vector_search(
                 best[at] = found[order], distance[order]
                 if len(order) == k:
                     reach[at] = distance[order[-1]]
-        for query, hits in zip(ids, best):
+        for query, hits in zip(ids.tolist(), best):
             if hits is not None:
-                yield pd.DataFrame({query_id: query, base_id: hits[0], "distance": hits[1]})
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([query] * len(hits[0]), kinds[0].type), pa.array(hits[0], kinds[1].type), pa.array(hits[1])], schema=kinds)
 
     schema = StructType([
         queries.schema[query_id], base.schema[base_id], StructField("distance", DoubleType()),
     ])
+    kinds = to_arrow_schema(schema)
     stored = base.select(base_id, vector).where(is_finite(F.col(vector)))
     asked = queries.select(query_id, vector).where(is_finite(F.col(vector)))
     dim, blocks = _blocks(asked, block_bytes)
@@ -168,21 +173,25 @@ def similarities(
     def compare(ids: np.ndarray, matrix: np.ndarray, batches: Batches) -> Batches:
         order = np.argsort(ids, kind="stable")
         for batch in batches:
-            if batch.empty:
+            if not batch.num_rows:
                 continue
-            points = _matrix(batch[vector])
+            points = _matrix(batch.column(vector), matrix.shape[1])
             cells = np.stack([_distances(points, matrix[i], "similarity") for i in order], axis=1)
-            rows = [[None if math.isnan(x) else x for x in row] for row in cells.tolist()]
-            yield pd.DataFrame({
-                base_id: batch[base_id], "other_ids": [ids[order].tolist()] * len(batch),
-                "similarities": rows,
-            })
+            ends = pa.array(np.arange(len(cells) + 1, dtype=np.int32) * cells.shape[1])
+            values = [
+                pa.array(np.tile(ids[order], len(cells)), kinds[1].type.value_type),
+                pa.array(cells.ravel(), mask=np.isnan(cells.ravel())),
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(base_id), *(pa.ListArray.from_arrays(ends, flat) for flat in values)],
+                names=[base_id, "other_ids", "similarities"])
 
     schema = StructType([
         base.schema[base_id],
         StructField("other_ids", ArrayType(questions.schema[question_id].dataType)),
         StructField("similarities", ArrayType(DoubleType())),
     ])
+    kinds = to_arrow_schema(schema)
     stored = base.select(base_id, vector).where(is_finite(F.col(vector)))
     asked = questions.select(question_id, vector).where(is_finite(F.col(vector)))
     dim, blocks = _blocks(asked, block_bytes)
