@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from frames import rows
 from martflow import schemas
+from martflow.sinks.writers import write_checked
 from martflow.catalog import extracts
 from martflow.session import clear_shared, settle, shared_dir, ship
 from martflow.sinks import writers as w
@@ -282,3 +283,14 @@ def test_package_can_be_shipped(spark):
     before = len(sys.path)
     ship(spark)
     assert any(name.endswith("martflow.zip") for name in sys.path) and len(sys.path) == before + 1
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv", "json"])
+def test_checked_append_reads_its_own_files_only(spark, tmp_path, fmt):
+    path, df = tmp_path / "t", spark.createDataFrame([(i, f"k{i % 3}") for i in range(30)], "id int, k string")
+    assert write_checked(df, str(path), fmt, "append", ["k"]) == 30
+    for file in path.rglob("part-*"):
+        file.write_bytes(b"not to be read" * 100)
+    assert write_checked(df.limit(7), str(path), fmt, "append", ["k"]) == 7
+    assert write_checked(df.limit(0), str(path), fmt, "append", ["k"]) == 0
+    assert write_checked(df, str(path), fmt) == 30
