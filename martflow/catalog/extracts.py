@@ -12,6 +12,7 @@ from martflow.operators.aggregates import except_distinct
 from martflow.session import shared_dir
 from martflow.sources import extract
 from martflow.sources.pages import extract_items, extract_pages
+from martflow.sources.paths import extract_paths
 from martflow.sources.readers import first_usable, flatten, load
 from martflow.sources.records import normalize_records, split_records
 
@@ -146,6 +147,14 @@ def page_links(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def page_paths(spark: SparkSession, sf: str) -> DataFrame:
+    """The navigation's items by path, with the heading and language of their page."""
+    pages = table(spark, sf, "pages").select("page_id", "html")
+    items = extract_paths(pages, {"label": "a", "target": "a@href"}, "body > nav > ul > li", keep=["page_id"])
+    heads = extract_paths(pages, {"heading": "article > h1", "language": "html@lang"}, keep=["page_id"])
+    return items.join(heads, "page_id")
+
+
 def _unescaped(pattern: str) -> str:
     text = f"regexp_extract(html, '{pattern}', 1)"
     # A cut title may end in an entity without its semicolon, which browsers decode too.
@@ -211,6 +220,14 @@ ENTRIES = {
                 regexp_extract(html, '<nav><ul><li><a href="([^"]*)"', 1) as first_link,
                 len(regexp_extract_all(html, '<a[ >]'))::bigint as n_links from pages""",
     ),
+    "page_paths": (
+        page_paths,
+        f"""select page_id, trim(regexp_extract(item, '>([^<]*)</a>', 1)) as label, regexp_extract(item, 'href="([^"]*)"', 1) as target,
+                regexp_replace({_unescaped('<h1>(.*?)</h1>')}, '[ \\n\\t]+', ' ', 'g') as heading,
+                regexp_extract(html, '<html lang="([^"]*)"', 1) as language
+            from (select page_id, html, unnest(regexp_extract_all(
+                regexp_extract(html, '<nav>(.*?)</nav>', 1), '<li>.*?</li>')) as item from pages)""",
+    ),
     "page_links": (
         page_links,
         """select page_id, trim(regexp_extract(item, '>([^<]*)</a>', 1)) as label,

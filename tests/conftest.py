@@ -1,3 +1,4 @@
+import os
 import sys
 from pathlib import Path
 
@@ -15,7 +16,7 @@ from martflow.session import build_session  # noqa: E402
 def spark(tmp_path_factory):
     base = tmp_path_factory.mktemp("shared")
     session = build_session(
-        "tests", "local[8]",
+        "tests", os.environ.get("TEST_MASTER", "local[8]"),
         spark__sql__shuffle__partitions="8",
         spark__driver__memory="8g",
         spark__checkpoint__dir=str(base / "checkpoint"),
