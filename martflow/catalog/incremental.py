@@ -51,8 +51,8 @@ def digest_difference(spark: SparkSession, sf: str) -> DataFrame:
     """Orders of a later delivery that the stored table lacks, and those that only the stored table has."""
     base = shared_dir(spark, "digests")
     later = _redelivered_orders(spark, sf)
-    digests.store(table(spark, sf, "orders"), f"{base}/old", 256)
-    digests.store(later, f"{base}/new", 256)
+    digests.store(table(spark, sf, "orders"), f"{base}/old", 64)
+    digests.store(later, f"{base}/new", 64)
     new = digests.difference(later, f"{base}/old").withColumn("side", F.lit("new"))
     return new.unionByName(digests.stored_difference(spark, f"{base}/old", f"{base}/new").withColumn("side", F.lit("old")))
 
