@@ -69,7 +69,7 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, text: str = "text", lo
 
     def run(batches):
         coder = encoding(ranks.value, pattern)
-        for batch in pieces(batches, text):
+        for batch in pieces(batches, text, 4 << 20):
             ids = [encode_text(coder, x or "", long) for x in batch.column(text).to_pylist()]
             yield with_arrays(batch, ids=number_lists(ids, pa.int32()))
 
