@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from martflow.sinks.writers import write
 
-BITS = 8  # of each column's rank
+BITS = 6  # of each column's rank
 _LETTERS = 6  # of a text that its rank goes by
 
 
