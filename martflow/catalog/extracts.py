@@ -88,16 +88,16 @@ def _records(spark: SparkSession, sf: str) -> DataFrame:
     """Order lines as landed JSON in mixed spellings: the first lines of orders say ``order``, second ones
     have a null ``product_id`` beside ``product``, third ones no quantity, fourth ones no order at all."""
     number = F.col("l_linenumber")
-    order, product = F.col("l_orderkey"), F.col("l_partkey")
+    order, product, quantity = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_quantity").alias("quantity")
     record = (
-        F.when(number == 1, F.to_json(F.struct(order.alias("order"), product.alias("product_id"), "l_quantity")))
-        .when(number == 2, F.format_string('{"order_id":%d,"product_id":null,"product":%d,"l_quantity":1.0}', order, product))
+        F.when(number == 1, F.to_json(F.struct(order.alias("order"), product.alias("product_id"), quantity)))
+        .when(number == 2, F.format_string('{"order_id":%d,"product_id":null,"product":%d,"quantity":1.0}', order, product))
         .when(number == 3, F.to_json(F.struct(order.alias("order_id"), product.alias("product"))))
         .when(number == 4, F.to_json(F.struct(product.alias("product_id"))))
-        .otherwise(F.to_json(F.struct(order.alias("order_id"), product.alias("product_id"), "l_quantity")))
+        .otherwise(F.to_json(F.struct(order.alias("order_id"), product.alias("product_id"), quantity)))
     )
     path = shared_dir(spark, "records")
-    table(spark, sf, "lineitem").select(F.replace(record, F.lit("l_quantity"), F.lit("quantity"))).write.text(path)
+    table(spark, sf, "lineitem").select(record).write.text(path)
     return spark.read.text(path)
 
 

@@ -28,10 +28,14 @@ def judge_records(
     with ``strict``, any other field are reasons to reject.
     """
     aliases = aliases or {}
-    parsed = df.select(F.col(record).alias("record"), F.try_parse_json(record).alias("_document"))
-    document = F.col("_document")
-    keys = F.json_object_keys("record")
-    picked, reasons = [], [F.when(keys.isNull(), "no record")]
+    known = F.array(*(F.lit(name) for name in [*columns, *aliases.values()]))
+    every = F.json_object_keys(record)
+    parsed = df.select(
+        F.col(record).alias("record"), F.try_parse_json(record).alias("_document"), every.isNotNull().alias("_object"),
+        F.sort_array(F.array_except(every, known)).alias("_other"),
+    )
+    document, is_object, other = F.col("_document"), F.col("_object"), F.col("_other")
+    picked, reasons = [], [F.when(~is_object, "no record")]
     for name, kind in columns.items():
         own = _at(document, name)
         value = F.try_variant_get(document, f"$['{name}']", kind)
@@ -41,13 +45,12 @@ def judge_records(
             )
         picked.append(value.alias(name))
         if name in required:
-            reasons.append(F.when(keys.isNotNull() & value.isNull(), f"{name} is null"))
+            reasons.append(F.when(is_object & value.isNull(), f"{name} is null"))
     if strict:
-        known = F.array(*(F.lit(name) for name in [*columns, *aliases.values()]))
-        other = F.array_sort(F.array_except(keys, known))
         reasons.append(F.when(F.size(other) > 0, F.concat(F.lit("unexpected fields: "), F.array_join(other, ", "))))
-    reason = F.concat_ws("; ", *reasons)
-    return parsed.select(*picked, "record", F.when(reason != "", reason).alias("reject_reason"))
+    # Exploded: a filter on a plain column would go below the parsing, and parse each text once for every use of it.
+    judged = parsed.select("record", "_document", F.explode_outer(F.array(F.concat_ws("; ", *reasons))).alias("_reason"))
+    return judged.select(*picked, "record", F.when(F.col("_reason") != "", F.col("_reason")).alias("reject_reason"))
 
 
 def normalize_records(df: DataFrame, columns: Mapping[str, str], **rules) -> DataFrame:

@@ -294,3 +294,11 @@ def test_checked_append_reads_its_own_files_only(spark, tmp_path, fmt):
     assert write_checked(df.limit(7), str(path), fmt, "append", ["k"]) == 7
     assert write_checked(df.limit(0), str(path), fmt, "append", ["k"]) == 0
     assert write_checked(df, str(path), fmt) == 30
+
+
+def test_a_rejected_record_is_parsed_once(spark):
+    df = spark.createDataFrame([('{"order": 1}',), ('{"order": 1, "x": 2, "": 3}',), ("[1]",), (None,)], "value string")
+    rejected = split_records(df, {"order_id": "bigint"}, aliases={"order_id": "order"}, required=["order_id"], strict=True)[1]
+    assert rows(rejected.select("reject_reason")) == [("no record",), ("no record",), ("unexpected fields: , x",)]
+    plan = rejected._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") + plan.count("try_parse_json") == 1
