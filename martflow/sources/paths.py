@@ -16,6 +16,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
+from itertools import accumulate
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -104,7 +105,11 @@ def _bits(found: list[Column]) -> Column:
 
 def _tag_of(token: Column, i: Column, steps: list[Step]) -> Column:
     """What the pass needs to know of a token: place, kind, name, and the steps it fits."""
-    name = F.lower(F.regexp_extract(token, r"^</?([A-Za-z][^\s/>]*)", 1))
+    # Inside a lambda nothing is shared by itself: the name is taken out once.
+    return _let(F.lower(F.regexp_extract(token, r"^</?([A-Za-z][^\s/>]*)", 1)), lambda name: _named(token, i, name, steps))
+
+
+def _named(token: Column, i: Column, name: Column, steps: list[Step]) -> Column:
     kind = (
         F.when(~token.startswith("<") | (token == "<"), _TEXT).when(name == "", _OTHER).when(token.startswith("</"), _CLOSE)
         .when(name.isin(_EMPTY) | token.endswith("/>"), _ALONE).otherwise(_OPEN)
@@ -113,15 +118,28 @@ def _tag_of(token: Column, i: Column, steps: list[Step]) -> Column:
 
 
 _ELEMENT = "struct<name:string,at:bigint,above:bigint,start:int,kids:int>"
-_STATE = f"struct<open:array<{_ELEMENT}>,found:array<struct<start:int,stop:int>>>"
+_FOUND = "struct<start:int,stop:int,at:bigint>"
+_STATE = f"struct<open:array<{_ELEMENT}>,found:array<{_FOUND}>>"
 
 
 def matches(tokens: Column, path: str) -> Column:
     """array<struct<start, stop>>: first and last token of every element that ``path`` leads to, in order of their starts."""
-    steps = parse(path)
-    last = F.lit(1 << (len(steps) - 1)).cast("long")
-    children = F.lit(sum(1 << i for i, s in enumerate(steps) if i and s.child)).cast("long")
-    inside = F.lit(sum(1 << i for i, s in enumerate(steps) if i and not s.child)).cast("long")
+    return F.transform(_elements(tokens, [parse(path)]), lambda e: F.struct(e["start"].alias("start"), e["stop"].alias("stop")))
+
+
+def _ends(paths: list[list[Step]]) -> list[int]:
+    """The bit of each path's last step."""
+    return [1 << (n - 1) for n in accumulate(map(len, paths))]
+
+
+def _elements(tokens: Column, paths: list[list[Step]]) -> Column:
+    """array<struct<start, stop, at>>: the elements that any of ``paths`` leads to, by one pass; ``at`` has the paths' last bits."""
+    steps = [s for path in paths for s in path]
+    firsts = [0, *accumulate(map(len, paths))][:-1]
+    first = F.lit(sum(1 << i for i in firsts)).cast("long")
+    last = F.lit(sum(_ends(paths))).cast("long")
+    children = F.lit(sum(1 << i for i, s in enumerate(steps) if i not in firsts and s.child)).cast("long")
+    inside = F.lit(sum(1 << i for i, s in enumerate(steps) if i not in firsts and not s.child)).cast("long")
 
     def placed(n: Column) -> Column:
         return _bits([F.lit(True) if s.place is None else n == s.place for s in steps])
@@ -142,9 +160,9 @@ def matches(tokens: Column, path: str) -> Column:
 
     def after(state: Column, tag: Column, n: Column, parent: Column) -> Column:
         ended = F.filter(F.slice(state["open"], n + 1, F.greatest(F.size(state["open"]) - n, F.lit(0))), lambda e: e["at"].bitwiseAND(last) != 0)
-        found = F.concat(state["found"], F.transform(ended, lambda e: F.struct(e["start"].alias("start"), tag["i"].alias("stop"))))
+        found = F.concat(state["found"], F.transform(ended, lambda e: F.struct(e["start"].alias("start"), tag["i"].alias("stop"), e["at"].alias("at"))))
         kept = F.slice(state["open"], 1, n)
-        reached = F.lit(1).cast("long").bitwiseOR(F.shiftleft(parent["at"], 1).bitwiseAND(children)).bitwiseOR(
+        reached = first.bitwiseOR(F.shiftleft(parent["at"], 1).bitwiseAND(children)).bitwiseOR(
             F.shiftleft(parent["above"], 1).bitwiseAND(inside))
         at = tag["fits"].bitwiseAND(reached).bitwiseAND(placed(parent["kids"] + 1))
 
@@ -154,24 +172,24 @@ def matches(tokens: Column, path: str) -> Column:
             new = F.struct(tag["name"].alias("name"), at.alias("at"), parent["above"].bitwiseOR(at).alias("above"),
                            tag["i"].alias("start"), F.lit(0).alias("kids"))
             line = F.concat(F.slice(state["open"], 1, n - 1), F.array(grown))
-            alone = F.when((tag["kind"] == _ALONE) & (at.bitwiseAND(last) != 0), F.array(F.struct(tag["i"].alias("start"), tag["i"].alias("stop"))))
+            alone = F.when((tag["kind"] == _ALONE) & (at.bitwiseAND(last) != 0), F.array(F.struct(tag["i"].alias("start"), tag["i"].alias("stop"), at.alias("at"))))
             return F.struct(
                 F.when(tag["kind"] == _OPEN, F.concat(line, F.array(new))).otherwise(line).alias("open"),
-                F.concat(found, F.coalesce(alone, F.array().cast("array<struct<start:int,stop:int>>"))).alias("found"),
-            ).cast(_STATE)
+                F.when(alone.isNull(), found).otherwise(F.concat(found, alone)).alias("found"),
+            )
 
-        closing = F.struct(kept.alias("open"), found.alias("found")).cast(_STATE)
+        closing = F.struct(kept.alias("open"), found.alias("found"))
         return F.when(tag["kind"] == _CLOSE, closing).otherwise(_let(at, opened))
 
     page = F.struct(F.lit("").alias("name"), F.lit(0).cast("long").alias("at"), F.lit(0).cast("long").alias("above"),
                     F.lit(-1).alias("start"), F.lit(0).alias("kids"))
-    none = F.array().cast("array<struct<start:int,stop:int>>")
+    none = F.array().cast(f"array<{_FOUND}>")
     start = F.struct(F.array(page).alias("open"), none.alias("found")).cast(_STATE)
     tags = F.filter(F.transform(tokens, lambda t, i: _tag_of(t, i, steps)), lambda t: t["kind"].isin(_OPEN, _CLOSE, _ALONE))
 
     def finished(state: Column) -> Column:
         ended = F.filter(state["open"], lambda e: e["at"].bitwiseAND(last) != 0)
-        return F.array_sort(F.concat(state["found"], F.transform(ended, lambda e: F.struct(e["start"].alias("start"), F.size(tokens).alias("stop")))))
+        return F.array_sort(F.concat(state["found"], F.transform(ended, lambda e: F.struct(e["start"].alias("start"), F.size(tokens).alias("stop"), e["at"].alias("at")))))
 
     return F.aggregate(tags, start, step, finished)
 
@@ -186,12 +204,24 @@ def text_of(tokens: Column) -> Column:
     return F.trim(F.regexp_replace(unescaped(F.array_join(texts, "")), r"\s+", " "))
 
 
+def _value(tokens: Column, span: Column, name: str) -> Column:
+    value = _attribute(F.get(tokens, span["start"]), name) if name else text_of(_content(tokens, span))
+    return F.when(span.isNotNull(), value)
+
+
 def first_of(tokens: Column, spec: str) -> Column:
     """The text of the first element that a path leads to, or with ``path@name`` an attribute of it; null without one."""
     path, _, name = spec.partition("@")
-    span = F.get(matches(tokens, path), F.lit(0))
-    value = _let(span, lambda s: _attribute(F.get(tokens, s["start"]), name) if name else text_of(_content(tokens, s)))
-    return F.when(span.isNotNull(), value)
+    return _let(F.get(matches(tokens, path), F.lit(0)), lambda span: _value(tokens, span, name))
+
+
+def _firsts(tokens: Column, paths: list[list[Step]]) -> Column:
+    """For each path the first element it leads to, from one pass for all of them."""
+
+    def first(found: Column, end: int) -> Column:
+        return F.get(F.filter(found, lambda e: e["at"].bitwiseAND(F.lit(end).cast("long")) != 0), F.lit(0))
+
+    return _let(_elements(tokens, paths), lambda found: F.array(*(first(found, end) for end in _ends(paths))))
 
 
 def extract_paths(
@@ -205,6 +235,20 @@ def extract_paths(
     """
     pages = df.select(*keep, page_tokens(F.col(html)).alias("_tokens"))
     if item is not None:
-        spans = pages.select(*keep, "_tokens", F.explode(matches(F.col("_tokens"), item)).alias("_span"))
+        # The outer form: for a plain explode Catalyst adds a filter that looks for the items again.
+        spans = pages.select(*keep, "_tokens", F.explode_outer(matches(F.col("_tokens"), item)).alias("_span")).where("_span is not null")
         pages = spans.select(*keep, _content(F.col("_tokens"), F.col("_span")).alias("_tokens"))
-    return pages.select(*keep, *(first_of(F.col("_tokens"), spec).alias(name) for name, spec in fields.items()))
+    paths, groups = {name: parse(spec.partition("@")[0]) for name, spec in fields.items()}, [[]]
+    for name, steps in paths.items():
+        if sum(len(paths[x]) for x in groups[-1]) + len(steps) > 60:
+            groups.append([])
+        groups[-1].append(name)
+    spans = {name: (f"_spans{k}", i) for k, group in enumerate(groups) for i, name in enumerate(group)}
+    pages = pages.select(*keep, "_tokens", *(
+        _firsts(F.col("_tokens"), [paths[name] for name in group]).alias(f"_spans{k}") for k, group in enumerate(groups) if group))
+
+    def picked(name: str) -> Column:
+        group, i = spans[name]
+        return _let(F.get(F.col(group), F.lit(i)), lambda span: _value(F.col("_tokens"), span, fields[name].partition("@")[2])).alias(name)
+
+    return pages.select(*keep, *map(picked, fields))

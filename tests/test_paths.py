@@ -73,3 +73,12 @@ def test_wrong_paths_are_refused():
 def test_a_pages_plan_has_no_python_and_no_shuffle(spark):
     plan = paths.extract_paths(spark.createDataFrame([("",)], "html string"), {"a": "b > c"}, "d")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_fields_and_items_are_looked_for_once(spark):
+    pages = spark.createDataFrame([(1, TABLE)], "page_id int, html string")
+    items = paths.extract_paths(pages, {"a": "td", "b": "td > a@href"}, "table.big > tr", keep=["page_id"])
+    plan = items._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("aggregate(") == 2  # one pass for the items, one for all their fields
+    many = {f"f{i}": "table.big > tr td" for i in range(25)}
+    assert rows(paths.extract_paths(pages, many)) == [("1",) * 25]
