@@ -39,10 +39,14 @@ def feed(spark: SparkSession, sf: str) -> DataFrame:
         F.when(kind == "click", "0001").otherwise("0003").alias("msg_type"), ms.alias("msg_queue_timestamp")
     )
     line = F.to_json(F.array(F.struct(header.alias("header"), body.alias("body"))))
-    cut = F.when(kind == "error", F.substring(line, 1, 40)).otherwise(line)
+    # One use of the line, outside of any condition: rendered once, with shared parts computed once.
+    cut = F.substring(line, F.lit(1), F.when(kind == "error", 40).otherwise(2147483647))
     return table(spark, sf, "events").select(cut.alias("value"))
 
 
+# None of the packed files can be split, so each holds a bounded number of lines.
+PACKED = {"compression": "snappy", "maxRecordsPerFile": 25_000}
+
 RELAYED = StructType([StructField("value", StringType()), StructField("reason", StringType())])
 LETTERS = StructType([StructField("raw", StringType()), StructField("reason", StringType())])
 
@@ -50,16 +54,16 @@ LETTERS = StructType([StructField("raw", StringType()), StructField("reason", St
 def _run_streams(spark: SparkSession, sf: str) -> str:
     """Feed files -> relayed records and dead lines -> landed movements and dead letters; the base folder."""
     base = shared_dir(spark, "movements")
-    feed(spark, sf).write.text(f"{base}/feed")
+    feed(spark, sf).write.options(**PACKED).text(f"{base}/feed")
     day = F.coalesce(F.to_date("actual_timestamp"), F.lit("1970-01-01").cast("date"))
     relayed = mv.relay_feed(mv.stream_files(spark, f"{base}/feed"))
     mv.land_stream(
-        relayed, f"{base}/topic", f"{base}/topic-state", ingestion_date=F.lit("1970-01-01").cast("date")
+        relayed, f"{base}/topic", f"{base}/topic-state", ingestion_date=F.lit("1970-01-01").cast("date"), **PACKED
     ).awaitTermination()
     # The file sink's log tells readers which files are complete.
     sent = spark.readStream.schema("value string, status string").json(f"{base}/topic").where("status = 'sent'")
     judged = mv.judge_movements(mv.parse_movements(sent))
-    mv.land_stream(judged, f"{base}/raw", f"{base}/raw-state", ingestion_date=day).awaitTermination()
+    mv.land_stream(judged, f"{base}/raw", f"{base}/raw-state", ingestion_date=day, **PACKED).awaitTermination()
     return base
 
 

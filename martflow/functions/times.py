@@ -53,6 +53,6 @@ def epoch_ms_to_london_text(col: Column) -> Column:
     wall = epoch_ms_to_london(col)
     utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), epoch_ms(col).cast("timestamp_ntz"))
     offset = F.when(wall == utc, "+00:00").otherwise("+01:00")
-    micros = F.date_format(wall, "SSSSSS")
-    fraction = F.when(micros == "000000", "").otherwise(F.concat(F.lit("."), micros))
-    return F.concat(F.date_format(wall, "yyyy-MM-dd HH:mm:ss"), fraction, offset)
+    # Formatted once; the fraction holds the only dot.
+    text = F.replace(F.date_format(wall, "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit(".000000"), F.lit(""))
+    return F.concat(text, offset)

@@ -6,7 +6,8 @@ Everything up to the sink works on batch and streaming frames alike.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -18,6 +19,7 @@ from martflow.sinks.writers import write
 from martflow.sources.readers import read_json
 
 MOVEMENT_TYPE = "0003"
+LANDING = {"spark.sql.maxConcurrentOutputFileWriters": "100"}
 
 
 def stream_topic(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
@@ -94,9 +96,11 @@ def relay_feed(df: DataFrame, value: str = "value", code: str = MOVEMENT_TYPE) -
     parsed = df.select(raw.alias("raw"), F.from_json(raw, FEED).alias("messages"))
     each = parsed.select("raw", F.col("messages").isNull().alias("broken"), F.explode_outer("messages").alias("message"))
     wanted = F.col("message.header.msg_type") == code
+    # Outside of a condition the parts that a record's fields share are computed once.
+    texts = F.array(topic_record(), "raw")
     return each.where(F.col("broken") | wanted).select(
         F.when(F.col("broken"), "dead").otherwise("sent").alias("status"),
-        F.when(F.col("broken"), F.col("raw")).otherwise(topic_record()).alias("value"),
+        F.get(texts, F.col("broken").cast("int")).alias("value"),
         F.when(F.col("broken"), "broken JSON").alias("reason"),
     )
 
@@ -109,7 +113,7 @@ def parse_movements(df: DataFrame, value: str = "value") -> DataFrame:
 
 
 def _reason() -> Column:
-    document = F.try_parse_json("raw")
+    document = F.col("_document")
     # The key must be there; its value may be null.
     train = F.try_variant_get(document, "$.train_id", "variant")
     return F.when(document.isNull(), "broken JSON").when(train.isNull(), "no train_id")
@@ -117,7 +121,7 @@ def _reason() -> Column:
 
 def judge_movements(parsed: DataFrame) -> DataFrame:
     """All topic records in one frame: ``status`` (good or dead), raw text, reason and the 29 fields."""
-    judged = parsed.withColumn("reason", _reason())
+    judged = parsed.withColumn("_document", F.try_parse_json("raw")).withColumn("reason", _reason())
     status = F.when(F.col("reason").isNull(), "good").otherwise("dead")
     return judged.select(status.alias("status"), "raw", "reason", "movement.*")
 
@@ -129,6 +133,22 @@ def split_dead_letters(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, judged.where(F.col("status") == "dead").select("raw", "reason")
 
 
+@contextmanager
+def folders_open(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside write up to 100 folders at a time in each task; only rows of further ones are sorted, which may spill."""
+    before = {name: spark.conf.get(name, None) for name in LANDING}
+    for name, value in LANDING.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def land_stream(
     df: DataFrame,
     path: str,
@@ -136,12 +156,14 @@ def land_stream(
     fmt: str = "json",
     ingestion_date: Column | None = None,
     available_now: bool = True,
+    **options: str,
 ) -> StreamingQuery:
     """Land a stream in folders by status (where ``df`` has one) and ingestion date.
 
     Good rows and dead letters so land from one read of the source. The
     checkpoint makes it resumable and the file sink exactly-once. With
-    ``available_now`` it ends when the backlog is done.
+    ``available_now`` it ends when the backlog is done. ``options`` are the
+    files' own, like ``compression``.
     """
     day = F.current_date() if ingestion_date is None else ingestion_date
     writer = (
@@ -149,11 +171,13 @@ def land_stream(
         .writeStream.format(fmt)
         .option("path", path)
         .option("checkpointLocation", checkpoint)
+        .options(**options)
         .partitionBy(*(["status"] if "status" in df.columns else []), "ingestion_date")
     )
     if available_now:
         writer = writer.trigger(availableNow=True)
-    return writer.start()
+    with folders_open(df.sparkSession):
+        return writer.start()
 
 
 def landed(spark: SparkSession, path: str, fields: T.StructType) -> DataFrame:

@@ -110,3 +110,26 @@ def test_topic_source_needs_its_jar(spark):
         pytest.skip("the Kafka source is on the classpath")
     with pytest.raises(Exception, match="kafka"):
         mv.stream_topic(spark, "localhost:0", "t")
+
+
+def test_the_streams_files_are_compressed(spark, tmp_path):
+    from pathlib import Path
+
+    from martflow.catalog import stream
+
+    events = "event_id bigint, user_id bigint, event_type string, ts timestamp_ntz, props string"
+    some = [(i, i % 4, ["view", "signup", "error"][i % 3], dt.datetime(2024, 7, 1 + i % 3), None) for i in range(1, 31)]
+    spark.createDataFrame(some, events).write.parquet(str(tmp_path / "events.parquet"))
+    base = Path(stream._run_streams(spark, str(tmp_path)).removeprefix("file:"))
+    files = [x for part in ("feed", "topic", "raw") for x in (base / part).rglob("part-*")]
+    assert len(files) > 3 and all(x.name.endswith(".snappy") for x in files)
+    assert rows(stream.landed_dead_letters(spark, str(tmp_path))) == [("feed", "broken JSON", 10)]
+    assert stream.movement_stream(spark, str(tmp_path)).count() == 20
+
+
+def test_london_text_keeps_its_fraction(spark):
+    from martflow.functions.times import epoch_ms_to_london_text
+
+    df = spark.createDataFrame([("1720000000000",), ("1720000000001",), ("1704067200120",), ("x",), (None,)], "ms string")
+    assert [r[0] for r in df.select(epoch_ms_to_london_text(F.col("ms"))).collect()] == [
+        "2024-07-03 10:46:40+01:00", "2024-07-03 10:46:40.001000+01:00", "2024-01-01 00:00:00.120000+00:00", None, None]
