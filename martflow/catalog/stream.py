@@ -7,7 +7,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from martflow.catalog.retail import table
 from martflow.schemas import MOVEMENT_FIELDS, MOVEMENT_TIMES, MOVEMENTS
-from martflow.session import shared_dir
+from martflow.session import settle, shared_dir
 from martflow.streaming import movements as mv
 from martflow.streaming import validity
 from martflow.streaming.redelivery import land_once, state_on_disk
@@ -89,14 +89,17 @@ def landed_dead_letters(spark: SparkSession, sf: str) -> DataFrame:
 def redelivered_movements(spark: SparkSession, sf: str) -> DataFrame:
     """Movements of a topic that is read from its start again after a restart, with repeats and late records: how often each landed."""
     base = shared_dir(spark, "redelivered")
-    records = mv.to_topic_records(mv.explode_feed(feed(spark, sf)))
-    number = F.get_json_object("value", "$.toc_id").cast("bigint")
-    early = records.where(number % 5 != 0)
-    deliveries = [early.unionByName(early.where(number % 3 == 0)), records]
+    number = F.col("message.body.toc_id").cast("bigint").alias("number")
+    # Both deliveries are of the same records: rendered once.
+    records = settle(mv.explode_feed(feed(spark, sf)).select(mv.topic_record().alias("value"), number), "records")
+    early = records.where(F.col("number") % 5 != 0)
+    repeats = F.when(F.col("number") % 3 == 0, 2).otherwise(1)
+    deliveries = [early.select("value", F.explode(F.array_repeat(F.lit(0), repeats))), records]
     for lines in deliveries:
-        lines.write.mode("append").text(f"{base}/topic")
+        lines.select("value").write.mode("append").options(**PACKED).text(f"{base}/topic")
         topic = mv.stream_files(spark, f"{base}/topic")
-        land_once(topic, f"{base}/raw", f"{base}/state", F.lit("1970-01-01").cast("date")).awaitTermination()
+        day = F.lit("1970-01-01").cast("date")
+        land_once(topic, f"{base}/raw", f"{base}/state", day, **PACKED).awaitTermination()
     good = mv.landed(spark, f"{base}/raw", MOVEMENTS).where("status = 'good'")
     at = F.col("actual_timestamp").cast("timestamp_ntz").alias("actual_timestamp")
     return good.groupBy("train_id", "event_type", at).agg(F.count("*").alias("n"))

@@ -67,15 +67,15 @@ def first_arrivals(df: DataFrame, identity: Column, horizon: str = "7 days") ->
 
 def land_once(
     records: DataFrame, path: str, checkpoint: str, ingestion_date: Column | None = None, horizon: str = "7 days",
-    available_now: bool = True,
+    available_now: bool = True, **options: str,
 ) -> StreamingQuery:
     """Judge topic records and land each once, good ones and dead letters, as ``movements.land_stream`` lands them.
 
     The checkpoint holds the state and the sink's log together: after a restart
     the records of a batch that was not committed are judged again, and those
-    that were are known.
+    that were are known. ``options`` are the files' own, like ``compression``.
     """
     judged = mv.judge_movements(mv.parse_movements(records))
     new = first_arrivals(judged, movement_identity(judged), horizon)
     with state_on_disk(records.sparkSession):
-        return mv.land_stream(new, path, checkpoint, ingestion_date=ingestion_date, available_now=available_now)
+        return mv.land_stream(new, path, checkpoint, ingestion_date=ingestion_date, available_now=available_now, **options)

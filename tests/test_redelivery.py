@@ -86,3 +86,31 @@ def test_batch_frames_and_null_identities(spark):
     assert found.columns == judged.columns and found.count() == 3  # a null and an empty line are the same dead letter
     assert redelivery.first_arrivals(lines, F.col("value")).count() == 5
     assert redelivery.first_arrivals(lines.limit(0), F.col("value")).count() == 0
+
+
+def test_landed_files_are_compressed_where_asked(spark, tmp_path):
+    from martflow.catalog.stream import PACKED
+
+    put(tmp_path / "topic", "a.txt", [A, A, B, "broken"])
+    drain(spark, tmp_path / "topic", tmp_path, **PACKED)
+    files = [x for x in (tmp_path / "raw" / "status=good").rglob("part-*")]
+    assert files and all(x.name.endswith(".json.snappy") for x in files)
+    assert landed(spark, tmp_path).count() == 3
+    assert all(spark.conf.get(name, None) is None for name in mv.LANDING)
+
+
+def test_redelivered_query_renders_its_records_once(spark, tmp_path, monkeypatch):
+    from martflow.catalog import stream
+
+    made = []
+    monkeypatch.setattr(stream, "settle", lambda df, label: made.append(df) or stream_settle(df, label))
+    stream_settle = __import__("martflow.session", fromlist=["settle"]).settle
+    events = "event_id bigint, user_id bigint, event_type string, ts timestamp_ntz, props string"
+    at = __import__("datetime").datetime(2024, 7, 3, 10, 0, 0, 1000)
+    some = [(i, i % 4, ["view", "signup", "click", "error", None][i % 5], at, None) for i in range(1, 41)]
+    spark.createDataFrame(some, events).write.parquet(str(tmp_path / "events.parquet"))
+    found = stream.redelivered_movements(spark, str(tmp_path))
+    assert len(made) == 1
+    by_kind = {(r.train_id, r.event_type): r.n for r in found.collect()}
+    # Signups name no train: each is told by its whole text, and landed once.
+    assert by_kind[None, "signup"] == 8 and all(n == 1 for (train, _), n in by_kind.items() if train)
