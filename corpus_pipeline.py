@@ -44,7 +44,9 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row, and digests of them and of the bytes they decode to."""
     path, pattern = tokens.vocabulary()
-    done = tokens.decode(tokens.encode(docs, path, pattern).drop("text"), path, pattern)
+    # Written in between: a task then has one Python worker with a vocabulary, not one that encodes and one that decodes.
+    ids = settle(tokens.encode(docs, path, pattern).drop("text"), "token-ids")
+    done = tokens.decode(ids, path, pattern)
     return tokens.digests(done.withColumn("tokens", F.col("ids"))).withColumnRenamed("tokens", "ids")
 
 
